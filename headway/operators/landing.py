@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headway.operators.demux import (
     alert_rows,
     audit_rows,
     bad_payloads,
+    detail_counts,
     good_payloads,
     stop_rows,
     vehicle_rows,
 )
-from headway.schemas import INGEST_ERRORS, POLL_LOG, project
+from headway.schemas import INGEST_ERRORS, POLL_LOG, RAW_FEED_FETCHES, project
 from headway.sources.gtfs_rt import decode_payloads
 from headway.sources.tables import (
     BATCH,
@@ -131,7 +133,9 @@ def land_batch(payloads: DataFrame, root: str, batch_id: int) -> None:
     polls = with_snapshot_date(snapshots).select(
         "fetch_id", "fetched_at", "path", "poll_id", "snapshot_date"
     )
-    landed = _landed_on_days_of(polls, root, published)
+    landed = landed_on_days_of(
+        polls, f"{root}/raw_feed_fetches", RAW_FEED_FETCHES, published
+    )
     new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.mode(
         "overwrite"
     ).parquet(accepted_path)
@@ -152,23 +156,21 @@ def land_next(payloads: DataFrame, root: str) -> int:
     return batch_id
 
 
-def _landed_on_days_of(polls: DataFrame, root: str, published: set[int]) -> DataFrame:
-    """Ids already landed, on the days ``polls`` has snapshots of.
+def landed_on_days_of(
+    polls: DataFrame, table_path: str, schema: StructType, published: set[int]
+) -> DataFrame:
+    """Snapshots already landed, on the days ``polls`` has snapshots of.
 
     An id fixes its day, so other days cannot hold a duplicate; the day range
-    is one row and prunes the audit to a few folders however long it grows.
+    is one row and prunes the table to a few folders however long it grows.
     """
-    audit = read_batches(
-        polls.sparkSession,
-        f"{root}/raw_feed_fetches",
-        LANDED["raw_feed_fetches"],
-        published,
-        SNAPSHOT_FOLDERS,
-    )
+    landed = read_batches(polls.sparkSession, table_path, schema, published, SNAPSHOT_FOLDERS)
+    if not published:
+        return landed
     first_day, last_day = polls.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     if first_day is None:
-        return audit.limit(0)
-    return audit.filter(F.col("snapshot_date").between(first_day, last_day))
+        return landed.limit(0)
+    return landed.filter(F.col("snapshot_date").between(first_day, last_day))
 
 
 def store_summary(raw: RawTables) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
     IntegerType,
     LongType,
     StringType,
@@ -88,6 +89,40 @@ POLL_LOG = _struct(
     ("path", _S),
 )
 
+# What the streams write beside the raw tables.
+FIRST_POLLS = _struct(
+    ("fetch_id", _S),
+    ("fetched_at", _T),
+    ("path", _S),
+    ("header_timestamp", _T),
+    ("feed_key", _S),
+)
+
+POLL_COUNTS = _struct(("fetch_id", _S), ("poll_count", _L), ("last_polled_at", _T))
+
+DRIFT_OBSERVATIONS = _struct(
+    ("trip_key", _S),
+    ("trip_id", _S),
+    ("route_id", _S),
+    ("direction", _S),
+    ("stop_id", _S),
+    ("observation_count", _L),
+    ("first_observed_at", _T),
+    ("last_observed_at", _T),
+    ("first_predicted_arrival", _T),
+    ("last_predicted_arrival", _T),
+    ("first_seconds_to_arrival", _L),
+)
+
+SNAPSHOT_GAPS = _struct(
+    ("feed_key", _S),
+    ("fetch_id", _S),
+    ("header_timestamp", _T),
+    ("seconds_since_previous_snapshot", _L),
+    ("is_late", BooleanType()),
+    ("is_after_ingestion_gap", BooleanType()),
+)
+
 RAW_TABLES = {
     "raw_feed_fetches": RAW_FEED_FETCHES,
     "raw_vehicle_positions": RAW_VEHICLE_POSITIONS,

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_PACKAGE = Path(__file__).parent
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the time zone: every timestamp in the feed is a UTC instant."""
+    """Pin the time zone and give the Python workers this package.
+
+    Every timestamp in the feed is a UTC instant. Decoding runs on executors,
+    which import this package from the archive sent to them once per context.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context = spark.sparkContext
+    if not any(name.endswith(f"{_PACKAGE.name}.zip") for name in context._python_includes):
+        folder = tempfile.mkdtemp(prefix="package-")
+        archive = shutil.make_archive(
+            f"{folder}/{_PACKAGE.name}", "zip", _PACKAGE.parent, _PACKAGE.name
+        )
+        context.addPyFile(archive)
     return spark
 
 

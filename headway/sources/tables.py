@@ -57,9 +57,11 @@ def _batch_of(path: str) -> int:
     return int(path.rstrip("/").split(f"{BATCH}=")[1].split("/")[0])
 
 
-def published_batches(spark: SparkSession, root: str) -> set[int]:
-    """Batches whose audit rows, the last thing a batch writes, are committed."""
-    done = _folders(spark, f"{root}/raw_feed_fetches/{BATCH}=*/_SUCCESS")
+def published_batches(
+    spark: SparkSession, root: str, last_written: str = "raw_feed_fetches"
+) -> set[int]:
+    """Batches whose last table, the audit for a landing, is committed."""
+    done = _folders(spark, f"{root}/{last_written}/{BATCH}=*/_SUCCESS")
     return {_batch_of(path) for path in done}
 
 
