@@ -175,11 +175,16 @@ def landed_on_days_of(
 
 def store_summary(raw: RawTables) -> DataFrame:
     """Rows in each raw table, first and last fetch and how many feeds."""
-    tables = dict(zip(raw._fields, raw))
-    names = dict(zip(raw._fields, LANDED))
+    tables = {
+        "raw_feed_fetches": raw.fetches,
+        "raw_vehicle_positions": raw.vehicles,
+        "raw_trip_stop_updates": raw.stops,
+        "raw_alerts": raw.alerts,
+        "ingest_errors": raw.errors,
+    }
     counts = None
-    for field, name in names.items():
-        one = tables[field].agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+    for name, table in tables.items():
+        one = table.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
         counts = one if counts is None else counts.unionByName(one)
     window = raw.fetches.agg(
         F.min("fetched_at").alias("first_fetch_at"),
@@ -190,7 +195,7 @@ def store_summary(raw: RawTables) -> DataFrame:
     return rows.agg(
         *[
             F.max(F.when(F.col("table") == name, F.col("rows"))).alias(name)
-            for name in names.values()
+            for name in tables
         ],
         *[F.max(name).alias(name) for name in window.columns],
     )

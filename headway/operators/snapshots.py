@@ -21,20 +21,31 @@ def newest_snapshots(rows: DataFrame) -> DataFrame:
     return rows.groupBy("feed_key").agg(F.max("header_timestamp").alias("header_timestamp"))
 
 
+def newest_landed(audit: DataFrame) -> DataFrame:
+    """The same from the audit of a landing root, with the folder dates to look in.
+
+    The audit tells which snapshots have trains, so the positions need not be
+    read to find the newest.
+    """
+    with_trains = audit.filter(F.col("vehicle_rows") > 0)
+    newest = only_newest(with_trains, newest_snapshots(with_trains))
+    return newest.select("feed_key", "snapshot_date", "header_timestamp").distinct()
+
+
 def only_newest(rows: DataFrame, newest: DataFrame) -> DataFrame:
     """Rows of each feed's newest snapshot.
 
     ``newest`` has one row per feed of a fixed catalogue, so it is broadcast
     and the rows, which may be the largest table there is, are not shuffled.
+    On a landed table its feeds and dates also prune the folders to read.
     """
+    by_folder = ["snapshot_date"] if "snapshot_date" in newest.columns else []
     latest = F.broadcast(
-        newest.select(
-            F.col("feed_key").alias("_feed"), F.col("header_timestamp").alias("_published")
-        )
-    )
-    matches = (rows["feed_key"] == latest["_feed"]) & rows["header_timestamp"].eqNullSafe(
-        latest["_published"]
+        newest.withColumnsRenamed({name: f"_newest_{name}" for name in newest.columns})
     )
+    matches = rows["header_timestamp"].eqNullSafe(latest["_newest_header_timestamp"])
+    for name in ("feed_key", *by_folder):
+        matches = matches & (rows[name] == latest[f"_newest_{name}"])
     return rows.join(latest, matches, "left_semi")
 
 
@@ -62,7 +73,11 @@ def snapshot_recency(rows: DataFrame) -> DataFrame:
         )
     )
     in_day = Window.partitionBy("feed_key", "_day").orderBy(F.desc_nulls_last("header_timestamp"))
-    same_day = (F.col("feed_key") == F.col("_feed")) & F.col("_day").eqNullSafe(F.col("_on"))
+    # Null-safe on both: a plain equality would add a filter to one side only and
+    # the two branches could no longer share one scan and shuffle.
+    same_day = F.col("feed_key").eqNullSafe(F.col("_feed")) & F.col("_day").eqNullSafe(
+        F.col("_on")
+    )
     return (
         seen.withColumn("_place", F.row_number().over(in_day))
         .join(days, same_day)

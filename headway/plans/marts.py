@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from headway.functions.labels import drift_label, percent, status_label
 from headway.functions.times import minutes, seconds_between
 from headway.operators.skew import attach_group_stats, salted_left_join
-from headway.operators.snapshots import GAP_SECONDS, newest_snapshots, only_newest, with_gaps
+from headway.operators.snapshots import (
+    GAP_SECONDS,
+    newest_landed,
+    newest_snapshots,
+    only_newest,
+    with_gaps,
+)
 from headway.plans.staging import positions, stg_alerts, stg_trip_stop_updates
+from headway.session import stored
 from headway.sources.tables import RawTables
 
 # A prediction counts as ahead of the train when first seen this far before.
@@ -67,7 +74,8 @@ def fct_current_trains(raw: RawTables) -> DataFrame:
     they meet on snapshot, trip, start date and stop. The sides joined on have
     one row per key, which keeps one row per train.
     """
-    newest = newest_snapshots(raw.vehicles)
+    landed = "snapshot_date" in raw.fetches.columns
+    newest = newest_landed(raw.fetches) if landed else newest_snapshots(raw.vehicles)
     trains = positions(only_newest(raw.vehicles, newest))
     stops = stg_trip_stop_updates(only_newest(raw.stops, newest))
     alerts = stg_alerts(only_newest(raw.alerts, newest))
@@ -230,8 +238,13 @@ def drift_from_observations(observed: DataFrame) -> DataFrame:
 
 
 def fct_prediction_drift(raw: RawTables) -> DataFrame:
-    """How far the predicted arrival at a stop moved between first and last sight."""
-    return drift_from_observations(drift_observations(stg_trip_stop_updates(raw.stops)))
+    """How far the predicted arrival at a stop moved between first and last sight.
+
+    The observations are stored in between, as both the rows and their trip
+    medians come from them: the stop updates are read and shuffled once.
+    """
+    observed = drift_observations(stg_trip_stop_updates(raw.stops))
+    return drift_from_observations(stored(observed, "drift-observations"))
 
 
 def position_health(vehicles: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).parent
 
@@ -37,3 +37,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     return f"{base.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to shared scratch and read back.
+
+    For a reduced result that several branches of a plan need: they would each
+    compute it again from the source, as column pruning makes them differ. It
+    also cuts the lineage, so a lost executor costs a re-read.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

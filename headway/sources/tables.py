@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ SNAPSHOT_FOLDERS = ("snapshot_date", "feed_key")
 LANDED = RAW_TABLES | {"poll_log": POLL_LOG}
 
 
-class RawTables(NamedTuple):
+@dataclass(frozen=True)
+class RawTables:
     """The five raw tables every model is built from."""
 
     fetches: DataFrame

@@ -8,6 +8,7 @@ consecutive events is a snapshot) to put through the decode and landing jobs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -196,14 +197,35 @@ def errors(events: DataFrame) -> DataFrame:
     )
 
 
+class EventTables:
+    """The raw tables of the test feed, each planned when it is first asked for."""
+
+    def __init__(self, events: DataFrame) -> None:
+        self._events = events
+
+    @cached_property
+    def fetches(self) -> DataFrame:
+        return fetches(self._events)
+
+    @cached_property
+    def vehicles(self) -> DataFrame:
+        return vehicles(self._events)
+
+    @cached_property
+    def stops(self) -> DataFrame:
+        return stops(self._events)
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return alerts(self._events)
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return quarantine(errors(self._events))
+
+
 def raw_tables(events: DataFrame) -> RawTables:
-    return RawTables(
-        fetches=fetches(events),
-        vehicles=vehicles(events),
-        stops=stops(events),
-        alerts=alerts(events),
-        errors=quarantine(errors(events)),
-    )
+    return EventTables(events)
 
 
 def poll_log(events: DataFrame) -> DataFrame:
@@ -301,8 +323,13 @@ def payloads(events: DataFrame) -> DataFrame:
         _route().alias("route_id"),
         _start_date().alias("start_date"),
     )
+    # Encoding is Python work on little data; a fixed number of partitions keeps
+    # the adaptive planner from packing it all into one task.
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
-        events.groupBy(block.alias("block"))
+        events.withColumn("block", block)
+        .repartition(tasks, "block")
+        .groupBy("block")
         .agg(F.collect_list(event).alias("events"))
         .withColumn("events", F.array_sort("events"))
     )
