@@ -17,19 +17,35 @@ from headway.schemas import (
 )
 
 SNAPSHOT = ("fetch_id", "feed_key", "fetched_at", "header_timestamp")
+KINDS = {"vehicle": "vehicles", "trip_update": "trip_updates", "alert": "alerts"}
 
 
-def good_payloads(decoded: DataFrame) -> DataFrame:
-    """Decoded snapshots, with the publish time and id the header gives them."""
-    published = epoch_to_ts(F.col("header.timestamp"))
-    return decoded.filter(F.col("error_type").isNull()).withColumns(
-        {
-            "header_timestamp": published,
-            "fetch_id": snapshot_id(F.col("feed_key"), published, F.col("fetched_at")),
-        }
+def split_entities(decoded: DataFrame) -> DataFrame:
+    """Decoded messages with one array per kind of entity instead of a mixed one.
+
+    Each kind is a column of its own, so a job that flattens one kind reads
+    only that column of a stored message.
+    """
+
+    def only(kind: str) -> Column:
+        present = F.filter("entity", lambda e: e[kind].isNotNull())
+        return F.transform(present, lambda e: F.struct(e["id"].alias("id"), e[kind].alias(kind)))
+
+    kept = [name for name in decoded.columns if name not in ("header", "entity")]
+    return decoded.select(
+        *kept,
+        epoch_to_ts(F.col("header.timestamp")).alias("header_timestamp"),
+        F.array_size("entity").alias("entity_count"),
+        *[only(kind).alias(column) for kind, column in KINDS.items()],
     )
 
 
+def good_payloads(split: DataFrame) -> DataFrame:
+    """The snapshots: payloads that decoded, with the id their publish time gives them."""
+    identity = snapshot_id(F.col("feed_key"), F.col("header_timestamp"), F.col("fetched_at"))
+    return split.filter(F.col("error_type").isNull()).withColumn("fetch_id", identity)
+
+
 def bad_payloads(decoded: DataFrame) -> DataFrame:
     """Rejected payloads as rows of the error table, message still whole."""
     return decoded.filter(F.col("error_type").isNotNull()).select(
@@ -59,11 +75,9 @@ def _trip(path: str) -> list[Column]:
 
 
 def _entities(snapshots: DataFrame, kind: str) -> DataFrame:
-    """One row per entity that carries ``kind``."""
-    rows = snapshots.select(*SNAPSHOT, F.explode("entity").alias("e"))
-    return rows.filter(F.col(f"e.{kind}").isNotNull()).select(
-        *SNAPSHOT, _text("e.id").alias("entity_id"), F.col(f"e.{kind}").alias(kind)
-    )
+    """One row per entity of a kind."""
+    rows = snapshots.select(*SNAPSHOT, F.explode(KINDS[kind]).alias("e"))
+    return rows.select(*SNAPSHOT, _text("e.id").alias("entity_id"), F.col(f"e.{kind}").alias(kind))
 
 
 def vehicle_rows(snapshots: DataFrame) -> DataFrame:
@@ -88,9 +102,9 @@ def stop_rows(snapshots: DataFrame) -> DataFrame:
         *_trip("trip_update.trip"),
         F.col("trip_update.stop_time_update").alias("stops"),
     )
-    rows = trips.select(
-        "*", *parse_trip_id(F.col("trip_id")), F.posexplode("stops").alias("stop_index", "stop")
-    ).select(
+    # The trip id is read once per trip, below the generator, not once per stop.
+    parsed = trips.select("*", *parse_trip_id(F.col("trip_id")))
+    rows = parsed.select("*", F.posexplode("stops").alias("stop_index", "stop")).select(
         *[name for name in RAW_TRIP_STOP_UPDATES.names[:11]],
         "stop_index",
         _text("stop.stop_id").alias("stop_id"),
@@ -127,25 +141,21 @@ def alert_rows(snapshots: DataFrame) -> DataFrame:
 
 
 def detail_counts() -> list[Column]:
-    """How many rows of each kind a decoded message holds, from the message itself."""
+    """How many rows of each kind a snapshot holds, from its own arrays."""
 
-    def total(rows_of) -> Column:
-        return F.aggregate("entity", F.lit(0), lambda so_far, e: so_far + rows_of(e))
-
-    def vehicles(e: Column) -> Column:
-        return e["vehicle"].isNotNull().cast("int")
+    def total(column: str, rows_of) -> Column:
+        return F.aggregate(column, F.lit(0), lambda so_far, e: so_far + rows_of(e))
 
     def stops(e: Column) -> Column:
         return F.coalesce(F.array_size(e["trip_update"]["stop_time_update"]), F.lit(0))
 
-    def alerts(e: Column) -> Column:
-        rows = F.greatest(F.array_size(e["alert"]["informed"]), F.lit(1))
-        return F.when(e["alert"].isNotNull(), rows).otherwise(0)
+    def named(e: Column) -> Column:
+        return F.greatest(F.array_size(e["alert"]["informed"]), F.lit(1))
 
     return [
-        total(vehicles).alias("vehicle_rows"),
-        total(stops).alias("trip_stop_rows"),
-        total(alerts).alias("alert_rows"),
+        F.array_size("vehicles").alias("vehicle_rows"),
+        total("trip_updates", stops).alias("trip_stop_rows"),
+        total("alerts", named).alias("alert_rows"),
     ]
 
 
@@ -156,7 +166,6 @@ def audit_rows(snapshots: DataFrame) -> DataFrame:
     """
     rows = snapshots.select(
         "*",
-        F.array_size("entity").alias("entity_count"),
         *detail_counts(),
         F.lit(1).alias("poll_count"),
         F.col("fetched_at").alias("last_polled_at"),

@@ -12,6 +12,7 @@ from headway.operators.demux import (
     bad_payloads,
     detail_counts,
     good_payloads,
+    split_entities,
     stop_rows,
     vehicle_rows,
 )
@@ -66,13 +67,13 @@ def new_snapshots(
     return first_polls(polls, poll_id).join(landed.select("fetch_id"), "fetch_id", "left_anti")
 
 
-def classify_polls(decoded: DataFrame, landed: DataFrame) -> DataFrame:
+def classify_polls(split: DataFrame, landed: DataFrame) -> DataFrame:
     """Each poll as ``inserted``, ``duplicate`` or ``failed``, with the rows it lands.
 
     ``POLL_ID`` tells polls of one snapshot apart, so the join back to the
     polls is spread over it and a much-polled snapshot stays in many tasks.
     """
-    polls = good_payloads(decoded).select("*", *detail_counts()).select(
+    polls = good_payloads(split).select("*", *detail_counts()).select(
         "feed_key",
         "fetch_id",
         *POLL_ID,
@@ -88,7 +89,7 @@ def classify_polls(decoded: DataFrame, landed: DataFrame) -> DataFrame:
         F.when(landing, "inserted").otherwise("duplicate").alias("status"),
         F.when(landing, F.col("rows")).otherwise(0).alias("rows"),
     )
-    failed = decoded.filter(F.col("error_type").isNotNull()).select(
+    failed = split.filter(F.col("error_type").isNotNull()).select(
         "feed_key", *POLL_ID, F.lit("failed").alias("status"), F.lit(0).cast("long").alias("rows")
     )
     return good.unionByName(failed)
@@ -121,9 +122,8 @@ def land_batch(payloads: DataFrame, root: str, batch_id: int) -> None:
     staging = f"{root}/staging/{BATCH}={batch_id}"
     decoded_path, accepted_path = f"{staging}/decoded", f"{staging}/accepted"
 
-    decode_payloads(payloads).withColumn("poll_id", F.expr("uuid()")).write.mode(
-        "overwrite"
-    ).parquet(decoded_path)
+    staged = split_entities(decode_payloads(payloads)).withColumn("poll_id", F.expr("uuid()"))
+    staged.write.mode("overwrite").parquet(decoded_path)
     decoded = spark.read.parquet(decoded_path)
     snapshots = good_payloads(decoded)
 

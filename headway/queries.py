@@ -87,7 +87,7 @@ def over_snapshots(name: str):
     """A query over the payloads that decoded well."""
 
     def register(make: Callable[[DataFrame], DataFrame]):
-        over_decoded(name)(lambda decoded: make(demux.good_payloads(decoded)))
+        over_decoded(name)(lambda decoded: make(demux.good_payloads(demux.split_entities(decoded))))
         return make
 
     return register
@@ -207,8 +207,9 @@ def _(good):
 
 @over_decoded("cycle_counters")
 def _(decoded):
-    landed = demux.good_payloads(decoded).filter("feed_key = 'F0'")
-    return landing.cycle_counters(landing.classify_polls(decoded, landed))
+    split = demux.split_entities(decoded)
+    landed = demux.good_payloads(split).filter("feed_key = 'F0'")
+    return landing.cycle_counters(landing.classify_polls(split, landed))
 
 
 over_events("error_quarantine")(lambda events: landing.quarantine(testfeed.errors(events)))

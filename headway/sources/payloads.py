@@ -1,4 +1,9 @@
-"""Payload files dropped by a poller: ``feed_key=<key>/<epoch millis>.pb``."""
+"""Payload files dropped by a poller: ``feed_key=<key>/<epoch millis>.pb``.
+
+Spark's file sources never list a file of no bytes. A poller that is to have
+empty responses recorded as errors writes payload rows to a table instead;
+decoding takes either.
+"""
 
 from __future__ import annotations
 
