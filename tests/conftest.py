@@ -15,7 +15,7 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("headway-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-"))
         .getOrCreate()
