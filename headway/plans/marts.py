@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.labels import drift_label, percent, status_label
@@ -21,6 +21,7 @@ from headway.sources.tables import RawTables
 
 # A prediction counts as ahead of the train when first seen this far before.
 AHEAD_SECONDS = 60
+OBSERVED_NAMES = ("trip_id", "route_id", "direction")
 
 
 def next_stops(stops: DataFrame) -> DataFrame:
@@ -174,43 +175,74 @@ def fct_line_activity(current_trains: DataFrame) -> DataFrame:
     )
 
 
-def drift_observations(stops: DataFrame) -> DataFrame:
-    """First and last prediction seen for every stop of every trip.
+def _sightings(stops: DataFrame) -> DataFrame:
+    """Each stop update as an observation of its own, ready to be merged.
 
-    One aggregate with map-side combine. Where two snapshots or entities tie,
-    the entity id decides, so the result does not depend on row order.
+    Which sighting is first or last is told by one number: the publish time,
+    and among equals the sooner arrival, at both ends, so that two trains
+    sharing a trip id do not seem to drift. Publish times are whole seconds;
+    25 bits beside them order arrivals up to 194 days from the snapshot.
     """
-    published = F.col("header_timestamp")
-    seen = F.when(
-        published.isNotNull(),
-        F.struct("header_timestamp", "entity_id", "arrival_time", "seconds_to_arrival"),
+    reach = 2**24 - 1
+    ahead = F.greatest(F.least("seconds_to_arrival", F.lit(reach)), F.lit(-reach))
+    published = F.unix_seconds("header_timestamp") * 2**25
+    return stops.select(
+        "trip_key",
+        "stop_id",
+        *OBSERVED_NAMES,
+        F.lit(1).cast("long").alias("observation_count"),
+        F.col("header_timestamp").alias("first_observed_at"),
+        F.col("header_timestamp").alias("last_observed_at"),
+        F.col("arrival_time").alias("first_predicted_arrival"),
+        F.col("arrival_time").alias("last_predicted_arrival"),
+        (published + ahead).alias("_first"),
+        (published - ahead).alias("_last"),
     )
+
+
+_MERGE = {
+    "observation_count": F.sum,
+    "first_observed_at": F.min,
+    "last_observed_at": F.max,
+    "first_predicted_arrival": lambda arrival: F.min_by(arrival, "_first"),
+    "last_predicted_arrival": lambda arrival: F.max_by(arrival, "_last"),
+    "_first": F.min,
+    "_last": F.max,
+}
+
+
+def _merged() -> list[Column]:
+    return [merge(name).alias(name) for name, merge in _MERGE.items()]
+
+
+def _named(observations: DataFrame) -> DataFrame:
+    """Observations merged to one per stop of a trip, with one name of each kind."""
+    names = [F.min(name).alias(name) for name in OBSERVED_NAMES]
+    ahead = seconds_between(F.col("first_observed_at"), F.col("first_predicted_arrival"))
     return (
-        stops.groupBy("trip_key", "stop_id")
-        .agg(
-            F.min("trip_id").alias("trip_id"),
-            F.min("route_id").alias("route_id"),
-            F.min("direction").alias("direction"),
-            F.count(F.lit(1)).alias("observation_count"),
-            F.min(seen).alias("first"),
-            F.max(seen).alias("last"),
-        )
-        .select(
-            "trip_key",
-            "trip_id",
-            "route_id",
-            "direction",
-            "stop_id",
-            "observation_count",
-            F.col("first.header_timestamp").alias("first_observed_at"),
-            F.col("last.header_timestamp").alias("last_observed_at"),
-            F.col("first.arrival_time").alias("first_predicted_arrival"),
-            F.col("last.arrival_time").alias("last_predicted_arrival"),
-            F.col("first.seconds_to_arrival").alias("first_seconds_to_arrival"),
-        )
+        observations.groupBy("trip_key", "stop_id")
+        .agg(*names, *_merged())
+        .drop("_first", "_last")
+        .withColumn("first_seconds_to_arrival", ahead)
     )
 
 
+def drift_observations(stops: DataFrame) -> DataFrame:
+    """First and last prediction seen for every stop of every trip.
+
+    Merged with the names as keys first: without text in its buffers that is a
+    hash aggregate, which reduces the history on the map side without sorting
+    it. What is left, about a row per stop and trip, is merged again.
+    """
+    by_name = _sightings(stops).groupBy("trip_key", "stop_id", *OBSERVED_NAMES).agg(*_merged())
+    return _named(by_name)
+
+
+def running_observations(stops: DataFrame) -> DataFrame:
+    """The same in one aggregation, as a stream may hold only one."""
+    return _named(_sightings(stops))
+
+
 def drift_from_observations(observed: DataFrame) -> DataFrame:
     """Drift per stop, and per trip as the median over its stops."""
     drift = seconds_between(F.col("first_predicted_arrival"), F.col("last_predicted_arrival"))

@@ -139,13 +139,13 @@ def stops(events: DataFrame) -> DataFrame:
         F.timestamp_seconds(F.when(F.col("user_id") % 23 == 0, past).otherwise(ahead)),
     )
     relationship = F.when(F.col("event_id") % 50 == 0, "SKIPPED").otherwise("SCHEDULED")
-    rows = observations(events).select(
+    trips = observations(events).select(
         "*",
         *parse_trip_id(F.col("trip_id")),
         (F.col("event_id") + 1_000_000).alias("entity_id"),
-        F.explode(F.sequence(F.lit(0), F.lit(3))).alias("stop_index"),
         relationship.alias("schedule_relationship"),
     )
+    rows = trips.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("stop_index"))
     rows = rows.withColumn("arrival_time", arrival).withColumns(
         {"stop_id": _stop(index), "departure_time": _later(F.col("arrival_time"), F.lit(30))}
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from headway.plans.marts import drift_from_observations, drift_observations
+from headway.plans.marts import drift_from_observations, running_observations
 from headway.plans.staging import stg_trip_stop_updates
 from headway.schemas import DRIFT_OBSERVATIONS, POLL_COUNTS
 from headway.streaming.sinks import CATCH_UP, read_latest, write_updates
@@ -37,7 +37,7 @@ def read_poll_counts(spark: SparkSession, root: str) -> DataFrame:
 
 def stream_drift(stops: DataFrame, root: str, trigger: dict = CATCH_UP) -> StreamingQuery:
     """First and last prediction per trip and stop, over a stream of raw stop updates."""
-    observed = drift_observations(stg_trip_stop_updates(stops))
+    observed = running_observations(stg_trip_stop_updates(stops))
     return write_updates(observed, root, OBSERVATION_TABLE, trigger=trigger)
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,14 +216,44 @@ def test_drift(spark):
     assert {r.trip_median_drift_minutes for r in rows} == {1.0}
 
 
-def test_drift_ties_are_settled_by_entity(spark):
+def test_trains_sharing_a_trip_id_do_not_drift_apart(spark):
+    """At both ends the sooner arrival of those published together counts."""
+    stops = [
+        stop("b", 0, "s", 600, "t"), stop("a", 0, "s", 700, "t"),
+        stop("a", 0, "s", 800, "t") | snapshot("f2", "A", 30),
+        stop("b", 0, "s", 650, "t") | snapshot("f2", "A", 30),
+    ]
+    (row,) = marts.fct_prediction_drift(raw(spark, stops=stops)).collect()
+    assert row.drift_seconds == 50 and row.observation_count == 4
+
+
+def test_drift_of_extreme_times(spark):
+    """Times at the ends of the calendar neither overflow nor win by it."""
+    ends = [datetime(2, 1, 1, tzinfo=UTC), datetime(9999, 12, 31, 23, 59, 59, tzinfo=UTC)]
+    stops = [
+        stop("a", 0, "s", 600, "t"),
+        stop("a", 0, "s", 600, "t") | {"header_timestamp": ends[1], "arrival_time": ends[0]},
+        stop("a", 0, "s", 600, "t") | {"header_timestamp": None, "arrival_time": ends[1]},
+        stop("a", 0, "s", 600, "u") | {"header_timestamp": ends[0], "arrival_time": ends[1]},
+    ]
+    observed = marts.drift_observations(
+        staging.stg_trip_stop_updates(raw(spark, stops=stops).stops)
+    )
+    got = {
+        r.trip_id: (r.observation_count, r.first_predicted_arrival, r.last_predicted_arrival)
+        for r in observed.collect()
+    }
+    first, last = (end.replace(tzinfo=None) for end in ends)
+    assert got == {"t": (3, at(600).replace(tzinfo=None), first), "u": (1, last, last)}
+
+
+def test_drift_names_come_from_any_row_that_has_them(spark):
     stops = [
-        stop("b", 0, "s", 700, "t"), stop("a", 0, "s", 600, "t"),
-        stop("a", 0, "s", 650, "t") | snapshot("f2", "A", 30),
-        stop("b", 0, "s", 800, "t") | snapshot("f2", "A", 30),
+        stop("a", 0, "s", 600, "t", route_id=None), stop("a", 1, "s", 600, "t", route_id="5"),
+        stop("a", 2, "s", 660, "t", route_id="4") | snapshot("f2", "A", 30),
     ]
     (row,) = marts.fct_prediction_drift(raw(spark, stops=stops)).collect()
-    assert row.drift_seconds == 200 and row.observation_count == 4
+    assert (row.route_id, row.observation_count, row.drift_seconds) == ("4", 3, 60)
 
 
 def test_gaps(spark):
