@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from headway.operators.quality import run_checks
 from headway.operators.snapshots import GAP_SECONDS
 from headway.plans import marts, staging
 from headway.sources.tables import RawTables, read_models, register_views, write_models
@@ -56,3 +57,15 @@ def rebuild(
     models = build_staging(raw) | read_models(spark, root, MARTS)
     register_views(models)
     return models
+
+
+def check_models(raw: RawTables, models: dict[str, DataFrame]) -> DataFrame:
+    """The report of all declared checks over the raw tables and rebuilt models."""
+    return run_checks(
+        models
+        | {
+            "raw_feed_fetches": raw.fetches,
+            "raw_vehicle_positions": raw.vehicles,
+            "stg_vehicle_positions": staging.positions_to_check(raw.vehicles),
+        }
+    )

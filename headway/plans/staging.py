@@ -2,44 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.times import seconds_between
 from headway.functions.trips import joined_key, trip_key
 from headway.operators.skew import attach_group_stats
-from headway.operators.snapshots import with_recency
-
-POSITION_COLUMNS = (
-    "snapshot_train_key",
-    "trip_key",
-    "fetch_id",
-    "feed_key",
-    "entity_id",
-    "trip_id",
-    "start_date",
-    "route_id",
-    "direction",
-    "trip_path",
-    "stop_id",
-    "current_status",
-    "current_stop_sequence",
-    "header_timestamp",
-    "fetched_at",
-    "vehicle_timestamp",
-    "ingest_lag_seconds",
-    "position_age_seconds",
-    "origin_departure_seconds",
-    "has_reused_trip_id",
-    "is_unparsed_trip_id",
-)
+from headway.operators.snapshots import newest_snapshots, with_recency
+
+def keyed_positions(vehicles: DataFrame, *more: Column) -> DataFrame:
+    """Train positions with what can be told from one row: keys, ages and a flag."""
+    return vehicles.select(
+        joined_key(F.col("fetch_id"), F.col("entity_id")).alias("snapshot_train_key"),
+        trip_key(F.col("trip_id"), F.col("start_date")).alias("trip_key"),
+        "fetch_id",
+        "feed_key",
+        "entity_id",
+        "trip_id",
+        "start_date",
+        "route_id",
+        "direction",
+        "trip_path",
+        "stop_id",
+        "current_status",
+        "current_stop_sequence",
+        "header_timestamp",
+        "fetched_at",
+        "vehicle_timestamp",
+        seconds_between(F.col("header_timestamp"), F.col("fetched_at")).alias(
+            "ingest_lag_seconds"
+        ),
+        seconds_between(F.col("vehicle_timestamp"), F.col("header_timestamp")).alias(
+            "position_age_seconds"
+        ),
+        "origin_departure_seconds",
+        *more,
+        F.col("direction").isNull().alias("is_unparsed_trip_id"),
+    )
 
 
 def positions(vehicles: DataFrame) -> DataFrame:
-    """Train positions without their recency rank: row-local columns and W-1.
+    """Train positions, flagged where their snapshot has the trip id more than once.
 
-    A trip id is reused where a snapshot has it twice. Only those few
-    (snapshot, trip id) pairs are joined back; all others are false.
+    Only the few reused (snapshot, trip id) pairs are joined back; every other
+    row is false.
     """
     reused = attach_group_stats(
         vehicles,
@@ -48,18 +54,25 @@ def positions(vehicles: DataFrame) -> DataFrame:
         spread_by=["entity_id", "stop_id"],
         having=F.col("_sharing") > 1,
     )
-    return reused.withColumns(
-        {
-            "snapshot_train_key": joined_key(F.col("fetch_id"), F.col("entity_id")),
-            "trip_key": trip_key(F.col("trip_id"), F.col("start_date")),
-            "ingest_lag_seconds": seconds_between(F.col("header_timestamp"), F.col("fetched_at")),
-            "position_age_seconds": seconds_between(
-                F.col("vehicle_timestamp"), F.col("header_timestamp")
-            ),
-            "has_reused_trip_id": F.col("_sharing").isNotNull(),
-            "is_unparsed_trip_id": F.col("direction").isNull(),
-        }
-    ).select(*POSITION_COLUMNS)
+    flag = F.col("_sharing").isNotNull().alias("has_reused_trip_id")
+    return keyed_positions(reused, flag)
+
+
+def positions_to_check(vehicles: DataFrame) -> DataFrame:
+    """Train positions as the data checks need them, without a shuffle.
+
+    The recency rank is given for the newest snapshots only, the ones the
+    checks ask for.
+    """
+    newest = newest_snapshots(vehicles).select(
+        F.col("feed_key").alias("_feed"), F.col("header_timestamp").alias("_published")
+    )
+    rows = keyed_positions(vehicles)
+    is_newest = (F.col("feed_key") == F.col("_feed")) & F.col("header_timestamp").eqNullSafe(
+        F.col("_published")
+    )
+    rank = F.when(F.col("_feed").isNotNull(), 1).alias("snapshot_recency_rank")
+    return rows.join(F.broadcast(newest), is_newest, "left").select(*rows.columns, rank)
 
 
 def stg_vehicle_positions(vehicles: DataFrame) -> DataFrame:

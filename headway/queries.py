@@ -21,7 +21,7 @@ from headway.functions.trips import parse_trip_id, snapshot_id
 from headway.operators import demux, landing, quality, snapshots
 from headway.operators.filters import filter_trains
 from headway.plans import marts, preview, serving, staging
-from headway.plans.build import rebuild
+from headway.plans.build import check_models, rebuild
 from headway.schemas import RAW_FEED_FETCHES, RAW_VEHICLE_POSITIONS, project
 from headway.session import prepare, scratch_dir
 from headway.sources import testfeed
@@ -443,8 +443,7 @@ def _(raw):
 def _(spark, sf_dir):
     raw = testfeed.raw_tables(testfeed.read_events(spark, sf_dir))
     models = rebuild(spark, raw, scratch_dir(spark, "models"), testfeed.GAP_SECONDS)
-    sources = {"raw_feed_fetches": raw.fetches, "raw_vehicle_positions": raw.vehicles}
-    return quality.run_checks(models | sources)
+    return check_models(raw, models)
 
 
 # Streams, each over the events table read as a stream

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).parent
+_sent: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,12 +21,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     context = spark.sparkContext
-    if not any(name.endswith(f"{_PACKAGE.name}.zip") for name in context._python_includes):
+    if context.applicationId not in _sent:
         folder = tempfile.mkdtemp(prefix="package-")
         archive = shutil.make_archive(
             f"{folder}/{_PACKAGE.name}", "zip", _PACKAGE.parent, _PACKAGE.name
         )
         context.addPyFile(archive)
+        _sent.add(context.applicationId)
     return spark
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from headway.operators.filters import filter_trains
 from headway.operators import quality
 from headway.plans import marts, preview, serving
+from headway.plans.build import build_marts, build_staging, check_models
 from headway.sources.feeds import FEEDS, resolve_feeds, select_feeds
 from tests.builders import alert, at, fetch, raw, stop, train
 
@@ -201,11 +202,10 @@ def test_prediction_coverage(spark, found, fails):
 
 def test_report_counts_each_check_once(spark):
     tables = raw(spark, trains=[train("1", status="7"), train("1", route_id=None)], fetches=[fetch()])
-    from headway.plans.build import build_marts, build_staging
-
     models = build_staging(tables) | build_marts(tables)
-    models |= {"raw_feed_fetches": tables.fetches, "raw_vehicle_positions": tables.vehicles}
-    rows = quality.run_checks(models).collect()
+    rows = check_models(tables, models).collect()
+    sources = {"raw_feed_fetches": tables.fetches, "raw_vehicle_positions": tables.vehicles}
+    assert sorted(quality.run_checks(models | sources).collect()) == sorted(rows)
     assert len(rows) == len(quality.CHECKS) == len({r.check_name for r in rows}) == 41
     bad = {r.check_name: (r.failures, r.status) for r in rows if r.failures}
     assert bad == {
