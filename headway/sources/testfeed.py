@@ -323,9 +323,10 @@ def payloads(events: DataFrame) -> DataFrame:
         _route().alias("route_id"),
         _start_date().alias("start_date"),
     )
-    # Encoding is Python work on little data; a fixed number of partitions keeps
+    # Encoding is Python work on little data; a given number of partitions keeps
     # the adaptive planner from packing it all into one task.
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, events.rdd.getNumPartitions())
     blocks = (
         events.withColumn("block", block)
         .repartition(tasks, "block")
