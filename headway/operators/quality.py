@@ -27,6 +27,10 @@ MAX_TRAINS_PER_LINE = 150
 MIN_PREDICTION_COVERAGE = 80
 WARN_AFTER_SECONDS, ERROR_AFTER_SECONDS = 5 * 60, 30 * 60
 
+# What the checks of the numbers themselves report.
+IMPLAUSIBLE_COUNT = "Implausible train count for one line"
+NO_PREDICTIONS = "Arrival predictions are not joining to train positions"
+
 
 def unique(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
     """Values that occur more than once. NULLs do not count."""
@@ -105,7 +109,7 @@ def plausible_train_counts(lines: DataFrame) -> DataFrame:
     """Lines with more trains than can run, as a join that multiplies rows would show."""
     running = F.col("trains_running")
     return lines.filter((running > MAX_TRAINS_PER_LINE) | (running < 1)).select(
-        "route_id", "trains_running", F.lit("Implausible train count for one line").alias("failure_reason")
+        "route_id", "trains_running", F.lit(IMPLAUSIBLE_COUNT).alias("failure_reason")
     )
 
 
@@ -120,9 +124,7 @@ def prediction_coverage(current_trains: DataFrame) -> DataFrame:
             percent(predicted, total, 1).alias("pct_with_prediction"),
         )
         .filter(F.col("pct_with_prediction") < MIN_PREDICTION_COVERAGE)
-        .withColumn(
-            "failure_reason", F.lit("Arrival predictions are not joining to train positions")
-        )
+        .withColumn("failure_reason", F.lit(NO_PREDICTIONS))
     )
 
 

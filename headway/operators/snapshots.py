@@ -95,6 +95,13 @@ def with_recency(rows: DataFrame, spread_by: list[str]) -> DataFrame:
     return salted_left_join(rows, snapshot_recency(rows), keys, spread_by, null_safe=True)
 
 
+def last_of_previous_day(dated: DataFrame) -> DataFrame:
+    """For every feed and ``_day``, the last snapshot of the day with data before it."""
+    days = dated.groupBy("feed_key", "_day").agg(F.max("header_timestamp").alias("_last"))
+    by_day = Window.partitionBy("feed_key").orderBy("_day")
+    return days.select("feed_key", "_day", F.lag("_last").over(by_day).alias("_carried"))
+
+
 def with_gaps(audit: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     """Audit rows with the seconds since the feed's previous snapshot.
 
@@ -103,13 +110,10 @@ def with_gaps(audit: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     dated = audit.filter(F.col("header_timestamp").isNotNull()).withColumn(
         "_day", F.to_date("header_timestamp")
     )
-    days = dated.groupBy("feed_key", "_day").agg(F.max("header_timestamp").alias("_last"))
-    by_day = Window.partitionBy("feed_key").orderBy("_day")
-    carried = days.select("feed_key", "_day", F.lag("_last").over(by_day).alias("_carried"))
     in_day = Window.partitionBy("feed_key", "_day").orderBy("header_timestamp")
     gaps = (
         dated.withColumn("_previous", F.lag("header_timestamp").over(in_day))
-        .join(carried, ["feed_key", "_day"])
+        .join(last_of_previous_day(dated), ["feed_key", "_day"])
         .withColumn(
             "seconds_since_previous_snapshot",
             seconds_between(F.coalesce("_previous", "_carried"), F.col("header_timestamp")),

@@ -488,6 +488,5 @@ def _(spark, sf_dir):
     root = scratch_dir(spark, "stream-gaps")
     polls = testfeed.poll_log(testfeed.stream_events(spark, sf_dir))
     land.stream_dedupe(polls, root).awaitTermination()
-    arriving = gaps.read_snapshot_stream(spark, root)
-    gaps.stream_gaps(arriving, root, testfeed.GAP_SECONDS).awaitTermination()
-    return gaps.read_gaps(spark, root)
+    gaps.stream_gaps(gaps.read_snapshot_stream(spark, root), root).awaitTermination()
+    return gaps.read_gaps(spark, root, testfeed.GAP_SECONDS)

@@ -114,13 +114,13 @@ DRIFT_OBSERVATIONS = _struct(
     ("first_seconds_to_arrival", _L),
 )
 
-SNAPSHOT_GAPS = _struct(
+SNAPSHOT_WAITS = _struct(
     ("feed_key", _S),
     ("fetch_id", _S),
     ("header_timestamp", _T),
-    ("seconds_since_previous_snapshot", _L),
+    ("waited", _L),
+    ("opens_day", BooleanType()),
     ("is_late", BooleanType()),
-    ("is_after_ingestion_gap", BooleanType()),
 )
 
 RAW_TABLES = {

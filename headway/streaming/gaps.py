@@ -10,46 +10,57 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from headway.operators.snapshots import GAP_SECONDS
-from headway.schemas import FIRST_POLLS, SNAPSHOT_GAPS
-from headway.sources.tables import BATCH
+from headway.functions.times import seconds_between
+from headway.operators.snapshots import GAP_SECONDS, last_of_previous_day
+from headway.schemas import FIRST_POLLS, SNAPSHOT_WAITS
 from headway.streaming.land import SNAPSHOTS
 from headway.streaming.sinks import CATCH_UP, read_updates, write_updates
 
-GAPS = "gaps"
-_EMITTED = "feed_key string, fetch_id string, published long, waited long, is_late boolean"
+WAITS = "waits"
+UNDATED_GROUPS = 64
+_EMITTED = "feed_key string, fetch_id string, published long, waited long, opens_day boolean, is_late boolean"
 
 
 def _waits(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Seconds each snapshot of a feed came after the one before it.
+    """Seconds each snapshot of a feed and day came after the one before it.
 
-    The state is the newest publish time seen. A snapshot older than that is
-    late: what it was waited for cannot be told here, the batch model does.
+    The state is the newest publish time seen that day. A snapshot older than
+    that is late: what it was waited for cannot be told here, the batch model
+    does. The first of a day is marked, its wait began on another day.
     """
-    (newest,) = state.get if state.exists else (None,)
+    feed, _, undated = key
+    if pd.notna(undated):
+        for rows in chunks:
+            yield _emit(feed, rows, rows["published"].astype("Int64"), None, False, False)
+        return
     rows = pd.concat(chunks).sort_values("published", kind="stable", ignore_index=True)
     published = rows["published"].astype("Int64")
-    late = (published <= newest) if newest is not None else published.isna() & False
-    late = late.fillna(False).astype(bool)
+    (newest,) = state.get if state.exists else (None,)
+    late = pd.Series(False, index=rows.index) if newest is None else published <= newest
     on_time = published[~late]
     before = on_time.shift(1)
-    if newest is not None and len(on_time):
-        before.iloc[0] = newest
-    if on_time.notna().any():
-        state.update((int(on_time.max()),))
-    yield pd.DataFrame(
+    if len(on_time):
+        before.iloc[0] = pd.NA if newest is None else newest
+        state.update((int(on_time.iloc[-1]),))
+    waited = (on_time - before).reindex(rows.index)
+    yield _emit(feed, rows, published, waited, waited.isna() & ~late, late)
+
+
+def _emit(feed, rows, published, waited, opens_day, late) -> pd.DataFrame:
+    return pd.DataFrame(
         {
-            "feed_key": key[0],
+            "feed_key": feed,
             "fetch_id": rows["fetch_id"],
             "published": published,
-            "waited": (on_time - before).reindex(rows.index),
+            "waited": pd.Series(waited, index=rows.index, dtype="Int64"),
+            "opens_day": opens_day,
             "is_late": late,
         }
     )
 
 
 def read_snapshot_stream(spark: SparkSession, root: str, files_per_trigger: int = 100) -> DataFrame:
-    """The deduped snapshots as a stream; the limit bounds what one feed brings at once."""
+    """The deduped snapshots as a stream."""
     return (
         spark.readStream.schema(FIRST_POLLS)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -57,30 +68,46 @@ def read_snapshot_stream(spark: SparkSession, root: str, files_per_trigger: int
     )
 
 
-def stream_gaps(
-    snapshots: DataFrame, root: str, gap_seconds: int = GAP_SECONDS, trigger: dict = CATCH_UP
-) -> StreamingQuery:
-    """Gaps of a stream of snapshots, one row each; only id and time are shuffled."""
+def stream_gaps(snapshots: DataFrame, root: str, trigger: dict = CATCH_UP) -> StreamingQuery:
+    """How long each snapshot of a stream was waited for, within its day.
+
+    A group is one feed and day, at most 86,400 snapshots, of which only id
+    and time are shuffled. Snapshots without a publish time have no order; they
+    pass through many groups, chunk by chunk.
+    """
+    spread = F.pmod(F.xxhash64("fetch_id"), F.lit(UNDATED_GROUPS)).cast("int")
     waits = (
         snapshots.select(
-            "feed_key", "fetch_id", F.unix_seconds("header_timestamp").alias("published")
+            "feed_key",
+            F.to_date("header_timestamp").alias("day"),
+            F.when(F.col("header_timestamp").isNull(), spread).alias("undated"),
+            "fetch_id",
+            F.unix_seconds("header_timestamp").alias("published"),
         )
-        .groupBy("feed_key")
+        .groupBy("feed_key", "day", "undated")
         .applyInPandasWithState(
             _waits, _EMITTED, "newest long", "append", GroupStateTimeout.NoTimeout
         )
     )
-    waited = F.col("waited")
-    rows = waits.select(
+    rows = waits.withColumn("header_timestamp", F.timestamp_seconds("published"))
+    return write_updates(rows.select(*SNAPSHOT_WAITS.names), root, WAITS, "append", trigger)
+
+
+def read_gaps(spark: SparkSession, root: str, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """The waits so far, those that began on an earlier day filled in, and which are gaps."""
+    rows = read_updates(spark, root, WAITS, SNAPSHOT_WAITS).withColumn(
+        "_day", F.to_date("header_timestamp")
+    )
+    carried = last_of_previous_day(rows.filter(F.col("_day").isNotNull()))
+    since_carried = F.when(
+        F.col("opens_day"), seconds_between(F.col("_carried"), F.col("header_timestamp"))
+    )
+    waited = F.coalesce("waited", since_carried)
+    return rows.join(carried, ["feed_key", "_day"], "left").select(
         "feed_key",
         "fetch_id",
-        F.timestamp_seconds("published").alias("header_timestamp"),
+        "header_timestamp",
         waited.alias("seconds_since_previous_snapshot"),
         "is_late",
         (F.coalesce(waited, F.lit(0)) > gap_seconds).alias("is_after_ingestion_gap"),
     )
-    return write_updates(rows, root, GAPS, mode="append", trigger=trigger)
-
-
-def read_gaps(spark: SparkSession, root: str) -> DataFrame:
-    return read_updates(spark, root, GAPS, SNAPSHOT_GAPS).drop(BATCH)

@@ -72,7 +72,8 @@ def test_poll_counts(spark, tmp_path, root):
 def test_gaps_keep_their_place_between_batches(spark, tmp_path, root):
     stream = files(spark, str(tmp_path / "in"), FIRST_POLLS, [poll("f2", 300), poll("f1", 0)],
                    [poll("f4", 902), poll("g1", 0, feed_key="B")],
-                   [poll("f3", 601), poll("n", None), poll("g2", 400, feed_key="B")])
+                   [poll("f3", 601), poll("n", None), poll("g2", 400, feed_key="B")],
+                   [poll("late morning", 11_000), poll("dawn", 10_000), poll("f5", 905)])
     gaps.stream_gaps(stream, root).awaitTermination()
     got = {
         row.fetch_id: (row.seconds_since_previous_snapshot, row.is_late, row.is_after_ingestion_gap)
@@ -81,7 +82,9 @@ def test_gaps_keep_their_place_between_batches(spark, tmp_path, root):
     assert got == {
         "f1": (None, False, False), "f2": (300, False, False), "f4": (602, False, True),
         "g1": (None, False, False), "g2": (400, False, True),
-        "f3": (None, True, False), "n": (None, False, False),
+        "f3": (None, True, False), "n": (None, False, False), "f5": (3, False, False),
+        # The day changes; the wait began at the last snapshot of the day before.
+        "dawn": (9095, False, True), "late morning": (1000, False, True),
     }
 
 
