@@ -20,6 +20,7 @@ from headway.functions.labels import (
     percent,
 )
 from headway.functions.times import elapsed_seconds, instant, minutes
+from headway.operators.skew import salted_left_join
 from headway.sources.tables import RawTables
 
 # Thresholds of the checks.
@@ -61,11 +62,23 @@ def at_most(df: DataFrame, column: str, max_value: float) -> DataFrame:
     return df.filter(F.col(column) > max_value)
 
 
-def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose key the parent lacks; NULL keys pass."""
-    known = parent.select(F.col(field).alias("_known"))
+def relationships(
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    field: str,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Child rows whose key the parent lacks; NULL keys pass.
+
+    Rows of one key are spread by ``spread_by``, or by all their columns, so a
+    parent with most of the children does not gather them in one task.
+    """
+    known = parent.select(F.col(field).alias("_known"), F.lit(True).alias("_found")).distinct()
     keyed = child.filter(F.col(column).isNotNull())
-    return keyed.join(known, keyed[column] == known["_known"], "left_anti")
+    spread = list(spread_by or child.columns)
+    matched = salted_left_join(keyed, known, [(column, "_known")], spread)
+    return matched.filter(F.col("_found").isNull()).drop("_found")
 
 
 def source_freshness(raw: RawTables, as_of) -> DataFrame:
@@ -141,7 +154,8 @@ def _is_not_positive(column: str) -> Column:
 
 
 class Check(NamedTuple):
-    """One declared check; ``argument`` is the values, or the parent and its key."""
+    """One declared check; ``argument`` is the accepted values, or the parent, its key
+    and the column that spreads the children."""
 
     model: str
     column: str
@@ -174,7 +188,12 @@ CHECKS = [
         "route_id",
         "current_status",
     ),
-    Check("stg_vehicle_positions", "fetch_id", "relationships", ("raw_feed_fetches", "fetch_id")),
+    Check(
+        "stg_vehicle_positions",
+        "fetch_id",
+        "relationships",
+        ("raw_feed_fetches", "fetch_id", "snapshot_train_key"),
+    ),
     Check(
         "stg_vehicle_positions",
         "current_status",
@@ -252,8 +271,8 @@ def _failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     if check.kind == "unique":
         return unique(model, check.column, check.where)
     if check.kind == "relationships":
-        parent, field = check.argument
-        return relationships(model, check.column, models[parent], field)
+        parent, field, spread_by = check.argument
+        return relationships(model, check.column, models[parent], field, [spread_by])
     singular = {
         "ingestion_gaps": ingestion_gaps,
         "plausible_train_counts": plausible_train_counts,

@@ -1,14 +1,10 @@
 from __future__ import annotations
 
-import tempfile
-
 import pytest
 from pyspark.sql import SparkSession
 
 from headway.session import prepare
 
-TESTDATA = "/root/testdata"
-
 
 def make_session() -> SparkSession:
     spark = (
@@ -17,7 +13,6 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
