@@ -34,10 +34,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a bare local test) falls
-    back to a temporary folder, which executors on other hosts could not see.
+    That is ``spark.checkpoint.dir`` or what ``setCheckpointDir`` was given. A
+    bare local session may go without and gets a temporary folder; on a cluster
+    executors on other hosts would not see that, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
 
 
