@@ -63,7 +63,7 @@ ORACLE["op9_ngram_join"] = r"""
         SELECT doc_id,
                list_filter(regexp_split_to_array(
                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                   '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
         FROM documents
     ),
     s AS (
@@ -71,7 +71,7 @@ ORACLE["op9_ngram_join"] = r"""
                CASE WHEN len(words) = 0 THEN []
                     WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
                     ELSE list_distinct(list_transform(range(1, len(words) - 1),
-                         i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+                         lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
         FROM w
     ),
     t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
