@@ -75,3 +75,17 @@ def python_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples."""
     for one in batches:
         yield from zip(*(column.to_pylist() for column in one.columns))
+
+
+def matching(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (doc_id, text_key) names, each once, with all columns."""
+    names = docs.columns
+    keyed = docs.withColumns(
+        {
+            "__id": F.col(id_col).cast("long"),
+            "__key": F.xxhash64(F.col(text_col).cast("string")),
+        }
+    )
+    keys = chosen.select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k"))
+    on = keyed["__id"].eqNullSafe(keys["__i"]) & (keyed["__key"] == keys["__k"])
+    return keyed.join(keys, on, "left_semi").dropDuplicates(["__id", "__key"]).select(*names)

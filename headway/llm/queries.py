@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm.common import read_table
+from headway.llm import toxicity
+from headway.llm.common import read_table, remainder
 from headway.llm.exact_dedup import exact_dedup
 from headway.llm.ngram_join import ngram_join
+from headway.llm.packing import pack_documents
 from headway.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +26,19 @@ def _query(name: str):
     return register
 
 
+@_query("op1_pack")
+def _(spark, sf_dir):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)
+
+
+@_query("op2_toxicity")
+def _(spark, sf_dir):
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = remainder("doc_id", 5) == 0
+    return toxicity.score(docs, toxicity.train(docs, labels, ~held_out), held_out)
+
+
 @_query("op3_suffix_dedup")
 def _(spark, sf_dir):
     found = suffix_dedup(read_table(spark, sf_dir, "documents"))
