@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from headway.llm.common import in_batches, python_rows, staged
 
@@ -18,9 +19,10 @@ TRAIN_VECTORS = 20_000
 #: Centroids of a half, at most; there are this many squared cells.
 MOST_CENTROIDS = 1024
 #: Vectors that a cell should hold.
-CELL_VECTORS = 25
-#: A query walks through cells until it has met this share of all vectors ...
-PROBE_SHARE = 0.1
+CELL_VECTORS = 50
+#: A query walks through cells until it has met this share of all vectors: the least
+#: that finds nine of ten neighbours where vectors have as good as no clusters ...
+PROBE_SHARE = 0.55
 #: ... and at least so many.
 PROBE_LEAST = 2000
 #: Vectors, and queries, of a cell that are compared in one task.
@@ -104,7 +106,7 @@ _ENTRY_SQL = "cell long, vec_id long, vector binary"
 _ENTRY = pa.schema([("cell", pa.int64()), ("vec_id", pa.int64()), ("vector", pa.binary())])
 
 
-def _entries(index: MultiIndex):
+def _entries(index: MultiIndex, kind: str):
     def run(batches):
         def rows():
             for one in batches:
@@ -113,21 +115,21 @@ def _entries(index: MultiIndex):
                 if pairs:
                     cells = index.cells(_unit(np.stack([v for _, v in pairs])))
                     for cell, (vec_id, vector) in zip(cells.tolist(), pairs):
-                        yield cell, vec_id, vector.tobytes()
+                        yield cell, vec_id, vector.astype(kind).tobytes()
 
         return in_batches(_ENTRY, rows(), 1000)
 
     return run
 
 
-def _probes(index: MultiIndex, sizes: dict[int, int], wanted: int):
+def _probes(index: MultiIndex, kind: str, sizes: dict[int, int], wanted: int):
     """The cells that each query looks into: until they hold ``wanted`` vectors."""
 
     def run(batches):
         def rows():
             for _, vec_id, raw in python_rows(batches):
                 met = 0
-                for cell in index.walk(_unit(np.frombuffer(raw, np.float64)[None, :])[0]):
+                for cell in index.walk(_unit(np.frombuffer(raw, kind).astype(np.float64)[None, :])[0]):
                     size = sizes.get(cell)
                     if size:
                         yield cell, vec_id, raw
@@ -140,37 +142,57 @@ def _probes(index: MultiIndex, sizes: dict[int, int], wanted: int):
     return run
 
 
-def _cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of each row with the query; equal rows get the same bits."""
-    top, own = np.abs(vectors).max(axis=1, keepdims=True), np.abs(query).max()
-    vectors, query = vectors / top, query / own
-    dots = (vectors * query).sum(axis=1)
-    return dots / (np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum()))
+def _cosines(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Cosine of each row with the query's row; equal rows get the same bits."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    queries = queries / np.abs(queries).max(axis=1, keepdims=True)
+    dots = (vectors * queries).sum(axis=1)
+    return dots / (np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((queries * queries).sum(axis=1)))
 
 
 _FOUND_SQL = "query_id long, vec_id long, score double"
 
 
-def _rerank(top: int):
+def _block_nearest(ids, vectors, query_ids, queries, top: int):
+    """(query's place, entry's place, score) of the ``top`` nearest entries of each query."""
+    rough = _unit(queries) @ _unit(vectors).T
+    rough[query_ids[:, None] == ids[None, :]] = -np.inf
+    least = np.full(len(queries), -2.0)
+    if rough.shape[1] > top:
+        least = np.maximum(least, np.partition(rough, -top, axis=1)[:, -top] - 1e-9)
+    near = rough >= least[:, None]
+    del rough
+    # Many entries may tie, so queries are taken few enough at a time.
+    ends = np.cumsum(near.sum(axis=1)) // 100_000
+    for lot in np.unique(ends):
+        own = np.flatnonzero(ends == lot)
+        q, e = np.nonzero(near[own])
+        q = own[q]
+        score = _cosines(vectors[e], queries[q])
+        order = np.lexsort((ids[e], -score, q))
+        q, e, score = q[order], e[order], score[order]
+        first = np.searchsorted(q, q)
+        kept = np.arange(len(q)) - first < top
+        yield q[kept], e[kept], score[kept]
+
+
+def _rerank(top: int, kind: str):
     """The ``top`` nearest of a block's entries for each of the block's queries."""
 
     def run(_key, entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(entries) and len(queries):
-            ids = entries["vec_id"].to_numpy(np.int64)
-            vectors = np.frombuffer(b"".join(entries["vector"]), np.float64).reshape(len(ids), -1)
-            units = _unit(vectors)
-            for query_id, raw in zip(queries["vec_id"].tolist(), queries["vector"]):
-                query = np.frombuffer(raw, np.float64)
-                rough = units @ _unit(query[None, :])[0]
-                other = np.flatnonzero(ids != query_id)
-                if len(other) > top:
-                    least = np.partition(rough[other], len(other) - top)[len(other) - top] - 1e-9
-                    other = other[rough[other] >= least]
-                exact = _cosines(vectors[other], query)
-                order = np.lexsort((ids[other], -exact))[:top]
-                out += [(query_id, int(ids[other[i]]), float(exact[i])) for i in order]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        names = ["query_id", "vec_id", "score"]
+        if not len(entries) or not len(queries):
+            return pd.DataFrame({n: np.empty(0) for n in names})
+        ids = entries["vec_id"].to_numpy(np.int64)
+        vectors = np.frombuffer(b"".join(entries["vector"]), kind).reshape(len(ids), -1).astype(np.float64)
+        asked = queries["vec_id"].to_numpy(np.int64)
+        wanted = np.frombuffer(b"".join(queries["vector"]), kind).reshape(len(asked), -1).astype(np.float64)
+        found = []
+        for start in range(0, len(asked), 500):
+            part = slice(start, start + 500)
+            for q, e, score in _block_nearest(ids, vectors, asked[part], wanted[part], top):
+                found.append(pd.DataFrame({"query_id": asked[part][q], "vec_id": ids[e], "score": score}))
+        return pd.concat(found) if found else pd.DataFrame({n: np.empty(0) for n in names})
 
     return run
 
@@ -199,6 +221,9 @@ def nearest(
     split, so are the queries of a cell, and a block gives ``top`` rows a query.
     """
     spark = vectors.sparkSession
+    # Single-precision vectors travel as they are; nothing is lost.
+    single = vectors.select(vector_col).schema[0].dataType == ArrayType(FloatType())
+    kind = "<f4" if single else "<f8"
     plain = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(vector_col).cast("array<double>").alias("vector"),
@@ -216,13 +241,13 @@ def nearest(
     points = _unit(np.array([row["vector"] for row in sample if len(row["vector"]) == width]))
     k = int(min(MOST_CENTROIDS, max(4, round((total / CELL_VECTORS) ** 0.5)), len(points)))
     index = MultiIndex(points, k)
-    entries = staged(good.select("vec_id", "vector").mapInArrow(_entries(index), _ENTRY_SQL), "cells")
+    entries = staged(good.select("vec_id", "vector").mapInArrow(_entries(index, kind), _ENTRY_SQL), "cells")
     queries = good.filter("is_query").select("vec_id", "vector").dropDuplicates(["vec_id"])
-    queries = queries.mapInArrow(_entries(index), _ENTRY_SQL)
+    queries = queries.mapInArrow(_entries(index, kind), _ENTRY_SQL)
     # At most MOST_CENTROIDS squared rows, whatever the number of vectors.
     sizes = {row["cell"]: row["n"] for row in entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     wanted = max(probe_least, int(probe_share * total))
-    probes = staged(queries.mapInArrow(_probes(index, sizes, wanted), _ENTRY_SQL), "probes")
+    probes = staged(queries.mapInArrow(_probes(index, kind, sizes, wanted), _ENTRY_SQL), "probes")
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         n = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
@@ -240,7 +265,7 @@ def nearest(
         own.select(*key, *columns)
         .groupBy(*key)
         .cogroup(asked.select(*key, *columns).groupBy(*key))
-        .applyInPandas(_rerank(top), _FOUND_SQL)
+        .applyInPandas(_rerank(top, kind), _FOUND_SQL)
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from headway.llm import toxicity
+from headway.llm import language, suffix_tree_lm, toxicity
+from headway.llm.byte_bpe import decode_documents, encode_documents
+from headway.llm.chat import format_conversations, read_back
 from headway.llm.common import read_table, remainder
 from headway.llm.exact_dedup import exact_dedup
+from headway.llm.multi_index import nearest
 from headway.llm.ngram_join import ngram_join
 from headway.llm.packing import pack_documents
 from headway.llm.suffix_dedup import suffix_dedup
@@ -68,6 +72,36 @@ ORACLE["op4_exact_dedup"] = r"""
 """
 
 
+@_query("op5_multi_index")
+def _(spark, sf_dir):
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, top=5)
+
+
+@_query("op6_language")
+def _(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    return language.predict(docs, language.train(docs, ~held_out), held_out)
+
+
+@_query("op7_byte_bpe")
+def _(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode_documents(encoded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query("op8_suffix_tree_lm")
+def _(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return suffix_tree_lm.score(docs, remainder("doc_id", 7) == 2)
+
+
 @_query("op9_ngram_join")
 def _(spark, sf_dir):
     found = ngram_join(read_table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -106,3 +140,15 @@ ORACLE["op9_ngram_join"] = r"""
     SELECT s.doc_id, len(s.shingles) AS n_shingles, c.component_id
     FROM s JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) c ON s.doc_id = c.node
 """
+
+
+#: A conversation whose texts look like the marks of a template.
+_TRAP = r"\### Assistant: </turn> ok"
+
+
+@_query("op10_chat")
+def _(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, 0, "user", _TRAP), (-7, 1, "assistant", _TRAP)], rows.schema)
+    formatted = format_conversations(rows.unionByName(trap), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_back(formatted)

@@ -1,0 +1,248 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import language, multi_index, suffix_tree_lm, toxicity
+from headway.llm.common import remainder
+from tests.llm.data import ODD, documents, frame, prose, words
+
+
+def test_remainder_is_of_the_id_as_text(spark):
+    rows = documents(spark, [(i, "") for i in (1, 23, -5, 10**12)] + [(None, "")])
+    got = {r.doc_id: r.m for r in rows.select("doc_id", remainder("doc_id", 7).alias("m")).collect()}
+    assert got == {i: zlib.crc32(str(i).encode()) % 7 for i in (1, 23, -5, 10**12)} | {None: 0}
+
+
+# Toxicity
+
+
+def insulted(rng, n, bad):
+    sents = [" ".join(words(rng, rng.randrange(6, 12), 400)) for _ in range(n)]
+    if bad:
+        at = rng.randrange(n)
+        sents[at] += " you " + rng.choice(["blorgface", "snurkel", "blorghead", "snurkels"])
+    return ". ".join(sents)
+
+
+def test_toxicity_is_learnt_from_documents_and_found_in_sentences(spark):
+    rng = random.Random(3)
+    marks = [int(rng.random() < 0.3) for _ in range(700)]
+    docs = documents(spark, [insulted(rng, rng.randrange(1, 40), m) for m in marks])
+    labels = frame(spark, [(i, m) for i, m in enumerate(marks, 1)], "doc_id long, toxic int")
+    held = remainder("doc_id", 5) == 0
+    model = toxicity.train(docs, labels, ~held)
+    out = toxicity.score(docs, model, held).collect()
+    assert len(out) == 700 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
+    checked = [r for r in out if r.held_out]
+    assert len(checked) > 80 and sum(r.predicted == marks[r.doc_id - 1] for r in checked) >= 0.95 * len(checked)
+    found = toxicity.offending_sentences(docs, model).collect()
+    hits = [r for r in found if "blorg" in r.sentence or "snurk" in r.sentence]
+    assert len(hits) >= 0.9 * sum(marks) and len(hits) >= 0.95 * len(found)
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in out if not r.predicted}
+
+
+def test_toxicity_takes_odd_and_empty_tables(spark):
+    docs = documents(spark, ODD).withColumn("score", F.lit("x"))
+    labels = frame(spark, [(1, None), (None, 1), (2, 1), (2, 0)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    out = toxicity.score(docs, model, F.lit(False)).collect()
+    assert len(out) == len(ODD) and out[0].score == 0 and out[0].predicted == 0
+    empty = toxicity.train(docs.filter("false"), labels, F.lit(True))
+    assert toxicity.score(docs.filter("false"), empty, F.lit(False)).count() == 0
+
+
+def test_noisy_or_is_one_less_the_product():
+    logits = [-3.0, 0.5, -800.0, 2.0]
+    product = math.prod(1 - 1 / (1 + math.exp(-z)) for z in logits)
+    assert toxicity.noisy_or(logits) == pytest.approx(1 - product)
+    assert toxicity.noisy_or([]) == 0 and toxicity.noisy_or([900.0]) == 1
+
+
+# Language
+
+SYLLABLES = {"aa": "ka lo mi tu", "bb": "scht ung eit ver", "cc": "oux eau ille que"}
+
+
+def spoken(rng, lang, n):
+    return " ".join("".join(rng.choice(SYLLABLES[lang].split()) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+def test_languages_are_told_apart_and_scores_calibrated(spark):
+    rng = random.Random(4)
+    langs = [rng.choice(sorted(SYLLABLES)) for _ in range(500)]
+    rows = [(i, spoken(rng, lang, rng.randrange(3, 60)), lang, "s", 0) for i, lang in enumerate(langs)]
+    docs = frame(spark, rows + [(1000 + i, t[1] if isinstance(t, tuple) else t, None, "s", 0) for i, t in enumerate([*ODD, "12 34", "!?"])])
+    held = remainder("doc_id", 4) == 2
+    out = {r.doc_id: r for r in language.predict(docs, language.train(docs, ~held), held).collect()}
+    assert sum(out[i].lang_pred == lang for i, lang in enumerate(langs)) >= 495
+    assert all(0 <= r.score <= 1 for r in out.values())
+    assert {out[1000 + i].lang_pred for i in (0, 1, 2, len(ODD), len(ODD) + 1)} == {"und"}
+    nothing = docs.filter("false")
+    assert language.predict(nothing, language.train(nothing, ~held), held).count() == 0
+    assert language.train(nothing, ~held).predict("text") == ("und", 0.0)
+
+
+def test_ngram_counts_are_whole(monkeypatch):
+    text = prose(3, 400)
+    found, counts = language.ngram_counts(text)
+    monkeypatch.setattr(language, "_PIECE", 37)
+    again, more = language.ngram_counts(text)
+    assert (found == again).all() and (counts == more).all()
+    chars = len(text) + 2
+    assert counts.sum() == chars + (chars - 1) + (chars - 2)
+
+
+def test_elastic_net_leaves_zeros():
+    rng = np.random.default_rng(2)
+    examples = [(np.array([y, 2 + rng.integers(40)]), np.array([1.0, 0.02]), y) for y in rng.integers(0, 2, 400).tolist()]
+    weights, _ = language.follow_the_regularised_leader(examples, 42, 2)
+    assert (weights[:2] != 0).all() and (weights[2:] == 0).mean() > 0.5
+
+
+def test_temperature_is_found():
+    rng = np.random.default_rng(1)
+    logits = rng.normal(size=(4000, 3))
+    p = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    labels = (p.cumsum(axis=1) < rng.random((4000, 1))).sum(axis=1)
+    assert language.best_temperature(logits * 3, labels) == pytest.approx(3, rel=0.1)
+
+
+# Nearest neighbours
+
+
+def brute_nearest(pairs, top):
+    out = {}
+    for i, q in pairs:
+        if i % 50:
+            continue
+        scored = [(-float(q @ v / math.sqrt((q @ q) * (v @ v))), j) for j, v in pairs if j != i]
+        out[i] = sorted(scored)[:top]
+    return out
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(30, 16))
+    vectors = {i: (centres[i % 30] + rng.normal(size=16) * 0.4).astype(np.float32) for i in range(6000)}
+    for i in range(100, 2100):
+        vectors[i] = vectors[100]  # a hot vector, many ties
+    odd = [(6001, None), (6002, []), (6003, [0.0] * 16), (6004, [None] * 16), (6005, [float("nan")] * 16), (6050, [float("inf")] + [1.0] * 15), (6006, [1.0] * 5), (None, [1.0] * 16)]
+    rows = [(i, v.tolist(), 1) for i, v in vectors.items()] + [(i, v, 1) for i, v in odd]
+    df = frame(spark, rows, "vec_id long, embedding array<float>, label int")
+    found: dict = {}
+    for r in multi_index.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = brute_nearest([(i, v.astype(float)) for i, v in vectors.items()], 5)
+    assert set(found) == set(want)
+    hits = 0
+    for query, rows in found.items():
+        rows.sort()
+        assert [r[0] for r in rows] == [1, 2, 3, 4, 5]
+        assert all((-a[2], a[1]) < (-b[2], b[1]) for a, b in zip(rows, rows[1:]))
+        for _, j, score in rows:
+            a, b = vectors[query].astype(float), vectors[j].astype(float)
+            assert score == pytest.approx(a @ b / math.sqrt((a @ a) * (b @ b)), abs=1e-12)
+        hits += sum(-score <= want[query][-1][0] + 1e-12 for _, _, score in rows)
+    assert hits >= 0.9 * 5 * len(want)
+    # Ties go to the smaller ids.
+    assert [j for _, j, _ in found[150]] == [100, 101, 102, 103, 104]
+
+
+def test_neighbours_of_few_and_none(spark):
+    df = frame(spark, [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id) for r in multi_index.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 1), (0, 2, 2)]
+    assert multi_index.nearest(df.filter("false"), F.lit(True)).count() == 0
+
+
+def test_cells_are_walked_by_distance():
+    rng = np.random.default_rng(3)
+    index = multi_index.MultiIndex(rng.normal(size=(300, 7)), 12)
+    query = rng.normal(size=7)
+    cells = list(index.walk(query))
+    a = ((index.first - query[:3]) ** 2).sum(axis=1)
+    b = ((index.second - query[3:]) ** 2).sum(axis=1)
+    far = [a[c // 12] + b[c % 12] for c in cells]
+    assert sorted(cells) == list(range(144)) and far == sorted(far)
+
+
+# Suffix tree
+
+
+def chain_text(rng, n):
+    """Words whose next word depends on the two before."""
+    out = ["a", "b"]
+    for _ in range(n):
+        out.append({("a", "b"): "c", ("c", "b"): "a"}.get(tuple(out[-2:]), rng.choice("abcd")))
+    return " ".join(out)
+
+
+def lm_rows(spark, texts, **options):
+    docs = documents(spark, texts)
+    return suffix_tree_lm.score(docs.repartition(3), remainder("doc_id", 7) == 2, **options).collect()
+
+
+def test_base_scores_equal_brute_force(spark):
+    texts = [prose(i, 40, 300).upper() for i in range(60)] + [t[1] if isinstance(t, tuple) else t for t in ODD]
+    count: Counter = Counter()
+    split = {i: (t or "").encode().lower().split() + [None] for i, t in enumerate(texts, 1)}
+    for i, tokens in split.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            count.update(tokens)
+    n, v = sum(count.values()), len(count)
+    for options in ({}, {"block_tokens": 50}):
+        rows = lm_rows(spark, texts, **options)
+        assert len(rows) == len(texts)
+        for r in rows:
+            own = split[r.doc_id]
+            base = sum(math.log10((count[t] + 1) / (n + v + 1)) for t in own)
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(count[t] > 0 for t in own), n)
+            assert r.base_score == pytest.approx(base) and r.score <= 0
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+
+
+def test_contexts_help_where_they_tell_and_not_where_they_do_not(spark):
+    rng = random.Random(9)
+    rows = [r for r in lm_rows(spark, [chain_text(rng, 150) for _ in range(80)]) if r.held_out]
+    assert sum(r.score for r in rows) > 0.85 * sum(r.base_score for r in rows)
+    flat = [r for r in lm_rows(spark, [" ".join(rng.choice("abcd") for _ in range(150)) for _ in range(80)]) if r.held_out]
+    assert sum(r.score for r in flat) == pytest.approx(sum(r.base_score for r in flat), rel=0.01)
+
+
+def test_next_symbols_sum_to_one(spark):
+    rng = random.Random(2)
+    texts = [chain_text(rng, 200) for _ in range(30)]
+    docs = documents(spark, texts).selectExpr("cast(text as binary) as text")
+    count: Counter = Counter()
+    for t in texts:
+        count.update(suffix_tree_lm.tokens(t.encode()))
+    n, v = sum(count.values()), len(count)
+    counts = frame(spark, [(suffix_tree_lm.word_hash(w), c) for w, c in count.items()], "hash long, c long")
+    tree = suffix_tree_lm.grow(docs, counts, n)
+    assert int(tree.level.max()) >= 2
+    for before in ("a", "a b", "b c b", "d d a b", "x a b", "x"):
+        given = [tree.symbols.get(suffix_tree_lm.word_hash(w.encode()), -1) for w in before.split()]
+        total = 0.0
+        for word in [*count, b"never"]:
+            symbol = np.array([*given, tree.symbols.get(suffix_tree_lm.word_hash(word), -1)])
+            root = np.ones(len(symbol))
+            head = tree.log10(symbol[:-1], root[:-1])
+            root[-1] = (count[word] + 1) / (n + v + 1)
+            total += 10 ** (tree.log10(symbol, root) - head)
+        assert total == pytest.approx(1)
+
+
+def test_suffix_tree_of_nothing(spark):
+    docs = documents(spark, ["a"]).filter("false")
+    assert suffix_tree_lm.score(docs, F.lit(False)).count() == 0
+    (row,) = suffix_tree_lm.score(documents(spark, ["a b"]), F.lit(True)).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
