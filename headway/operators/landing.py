@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,13 +19,13 @@ from headway.operators.demux import (
     vehicle_rows,
 )
 from headway.schemas import INGEST_ERRORS, POLL_LOG, RAW_FEED_FETCHES, project
+from headway.session import scratch_dir
 from headway.sources.gtfs_rt import decode_payloads
+from headway.sources.store import Batch, Files, commit_once, new_source
 from headway.sources.tables import (
-    BATCH,
-    LANDED,
+    FOLDERS,
     SNAPSHOT_FOLDERS,
     RawTables,
-    published_batches,
     read_batches,
     remove_folder,
     with_snapshot_date,
@@ -104,77 +106,91 @@ def cycle_counters(polls: DataFrame) -> DataFrame:
     return polls.agg(*counts, F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
 
 
-def land_batch(payloads: DataFrame, root: str, batch_id: int) -> None:
+def payload_fingerprint(polls: DataFrame, size: Column) -> str:
+    """Tells one batch of payloads from another, whatever the order of its rows."""
+    each = F.xxhash64("path", "feed_key", "fetched_at", F.coalesce(size, F.lit(0)).cast("long"))
+    rows = polls.agg(F.count(F.lit(1)), F.sum(each.cast("decimal(38,0)"))).first()
+    return f"{rows[0]}:{rows[1]}"
+
+
+def land_batch(payloads: DataFrame, root: str, batch: Batch) -> None:
     """Land one batch of payloads under ``root``. Landing it again changes nothing.
 
-    Each table has a folder per batch and the audit folder is written last:
-    until it is committed readers do not see the batch, and a replay replaces
-    whatever a crash left behind. Once it is, a replay has nothing to do, so
-    published folders are never rewritten under a reader.
+    A batch is its source's name and a number, so batches of different sources
+    never stand in for each other; another batch of the same name is an error.
+    All tables show the batch at once when its record is written: a crash leaves
+    rows that no reader sees.
 
     Messages are decoded once, into a staging table on shared storage, which
     the jobs below read column by column; a lost executor costs a re-read.
     """
+    commit_once(
+        payloads.sparkSession,
+        root,
+        batch,
+        lambda: payload_fingerprint(payloads, F.octet_length("payload")),
+        lambda attempt: _write_tables(payloads, root, attempt),
+    )
+
+
+def _write_tables(payloads: DataFrame, root: str, attempt: str) -> str:
     spark = payloads.sparkSession
-    published = published_batches(spark, root)
-    if batch_id in published:
-        return
-    staging = f"{root}/staging/{BATCH}={batch_id}"
+    staging = scratch_dir(spark, "landing")
     decoded_path, accepted_path = f"{staging}/decoded", f"{staging}/accepted"
 
     # A number tells staged polls apart, so a million accepted ones still fit a
     # broadcast and the messages themselves are not shuffled to be picked out.
-    staged = split_entities(decode_payloads(payloads)).withColumn(
+    split_entities(decode_payloads(payloads)).withColumn(
         "poll_id", F.monotonically_increasing_id()
-    )
-    staged.write.mode("overwrite").parquet(decoded_path)
+    ).write.parquet(decoded_path)
     decoded = spark.read.parquet(decoded_path)
     snapshots = good_payloads(decoded)
 
-    write_batch(quarantine(bad_payloads(decoded)), f"{root}/ingest_errors", batch_id, ())
-    write_batch(poll_rows(snapshots), f"{root}/poll_log", batch_id, ())
+    errors = quarantine(bad_payloads(decoded)).withColumn("error_date", F.to_date("occurred_at"))
+    write_batch(errors, root, "ingest_errors", attempt, FOLDERS["ingest_errors"])
+    log = poll_rows(snapshots).withColumn("poll_date", F.to_date("polled_at"))
+    write_batch(log, root, "poll_log", attempt, FOLDERS["poll_log"])
 
     polls = with_snapshot_date(snapshots).select(
         "fetch_id", "fetched_at", "path", "poll_id", "snapshot_date"
     )
-    landed = landed_on_days_of(
-        polls, f"{root}/raw_feed_fetches", RAW_FEED_FETCHES, published
-    )
-    new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.mode(
-        "overwrite"
-    ).parquet(accepted_path)
+    landed = landed_on_days_of(polls, root, "raw_feed_fetches", RAW_FEED_FETCHES)
+    new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.parquet(accepted_path)
     accepted = snapshots.join(spark.read.parquet(accepted_path), "poll_id", "left_semi")
 
-    for table, rows_of in DETAILS.items():
+    for table, rows_of in (DETAILS | {"raw_feed_fetches": audit_rows}).items():
         rows = with_snapshot_date(rows_of(accepted))
-        write_batch(rows, f"{root}/{table}", batch_id, SNAPSHOT_FOLDERS)
-    audit = with_snapshot_date(audit_rows(accepted))
-    write_batch(audit, f"{root}/raw_feed_fetches", batch_id, SNAPSHOT_FOLDERS)
+        write_batch(rows, root, table, attempt, SNAPSHOT_FOLDERS)
+    content = payload_fingerprint(decoded, F.col("payload_bytes"))
     remove_folder(spark, staging)
+    return content
+
+
+def write_hidden(payloads: DataFrame, root: str) -> str:
+    """Write a batch and stop short of its record, as a crash would; for drills and tests."""
+    attempt = f"{new_source('drill')}.0.0"
+    Files(payloads.sparkSession, root).write(f"{root}/marks/{attempt}", json.dumps([attempt]))
+    _write_tables(payloads, root, attempt)
+    return attempt
 
 
-def land_next(payloads: DataFrame, root: str) -> int:
-    """Land payloads as the batch after the last published one; returns its id."""
-    batch_id = max(published_batches(payloads.sparkSession, root), default=-1) + 1
-    land_batch(payloads, root, batch_id)
-    return batch_id
+def land_next(payloads: DataFrame, root: str) -> Batch:
+    """Land payloads as a batch of a source of its own; returns its name."""
+    batch = Batch(new_source("batch"), 0)
+    land_batch(payloads, root, batch)
+    return batch
 
 
 def landed_on_days_of(
-    polls: DataFrame, table_path: str, schema: StructType, published: set[int]
+    polls: DataFrame, root: str, table: str, schema: StructType
 ) -> DataFrame:
-    """Snapshots already landed, on the days ``polls`` has snapshots of.
+    """Snapshots already landed, on the very days ``polls`` has snapshots of.
 
-    An id fixes its day, so other days cannot hold a duplicate; the day range
-    is one row and prunes the table to a few folders however long it grows.
+    An id fixes its day, so other days cannot hold a duplicate. The days of a
+    batch are few; only their folders are listed, however long the table grows.
     """
-    landed = read_batches(polls.sparkSession, table_path, schema, published, SNAPSHOT_FOLDERS)
-    if not published:
-        return landed
-    first_day, last_day = polls.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
-    if first_day is None:
-        return landed.limit(0)
-    return landed.filter(F.col("snapshot_date").between(first_day, last_day))
+    days = [str(row[0]) for row in polls.select("snapshot_date").distinct().collect()]
+    return read_batches(polls.sparkSession, root, table, schema, SNAPSHOT_FOLDERS, days)
 
 
 def store_summary(raw: RawTables) -> DataFrame:

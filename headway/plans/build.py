@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.operators.quality import run_checks
+from headway.operators.quality import columns_checked, run_checks
 from headway.operators.snapshots import GAP_SECONDS
 from headway.plans import marts, staging
-from headway.sources.tables import RawTables, read_models, register_views, write_models
+from headway.session import scratch_dir, stored
+from headway.sources.tables import (
+    RawTables,
+    new_version,
+    publish_version,
+    read_models,
+    register_views,
+    remove_folder,
+    write_models,
+)
 
 MARTS = (
     "fct_current_trains",
@@ -19,7 +28,7 @@ MARTS = (
 
 def build_staging(raw: RawTables) -> dict[str, DataFrame]:
     return {
-        "stg_vehicle_positions": staging.stg_vehicle_positions(raw.vehicles),
+        "stg_vehicle_positions": staging.stg_vehicle_positions(raw.vehicles, raw.fetches),
         "stg_trip_stop_updates": staging.stg_trip_stop_updates(raw.stops),
         "stg_alerts": staging.stg_alerts(raw.alerts),
     }
@@ -40,32 +49,41 @@ def rebuild(
 ) -> dict[str, DataFrame]:
     """Rebuild the marts under ``root`` and register all models as views.
 
-    Staging stays lazy, as views over the raw tables. Line activity is made
-    from the stored current trains, so those are computed once.
+    All marts are written to a new version, which readers see in one step when
+    it is whole; a rebuild that fails leaves them the marts they had. Staging
+    stays lazy, as views over the raw tables. Line activity is made from the
+    stored current trains and drift from stored observations, so the raw tables
+    are read once for each.
     """
-    built = build_marts(raw, gap_seconds)
-    write_models({"fct_current_trains": built["fct_current_trains"]}, root)
-    stored = read_models(spark, root, ["fct_current_trains"])["fct_current_trains"]
+    folder = new_version(root)
+    write_models({"fct_current_trains": marts.fct_current_trains(raw)}, folder)
+    trains = spark.read.parquet(f"{folder}/fct_current_trains")
+    observed = marts.drift_observations(staging.stg_trip_stop_updates(raw.stops))
+    steps = scratch_dir(spark, "observations")
+    observed.write.parquet(steps)
+    observed = spark.read.schema(observed.schema).parquet(steps)
     write_models(
         {
-            "fct_line_activity": marts.fct_line_activity(stored),
-            "fct_prediction_drift": built["fct_prediction_drift"],
-            "dq_ingestion_health": built["dq_ingestion_health"],
+            "fct_line_activity": marts.fct_line_activity(trains),
+            "fct_prediction_drift": marts.drift_from_observations(observed),
+            "dq_ingestion_health": marts.dq_ingestion_health(raw, gap_seconds),
         },
-        root,
+        folder,
     )
+    remove_folder(spark, steps)
+    publish_version(spark, root, folder)
     models = build_staging(raw) | read_models(spark, root, MARTS)
     register_views(models)
     return models
 
 
 def check_models(raw: RawTables, models: dict[str, DataFrame]) -> DataFrame:
-    """The report of all declared checks over the raw tables and rebuilt models."""
-    return run_checks(
-        models
-        | {
-            "raw_feed_fetches": raw.fetches,
-            "raw_vehicle_positions": raw.vehicles,
-            "stg_vehicle_positions": staging.positions_to_check(raw.vehicles),
-        }
-    )
+    """The report of all declared checks over the raw tables and rebuilt models.
+
+    What the checks need of a lazy model is stored first if several look at it,
+    so the model is worked out once.
+    """
+    tables = models | {"raw_feed_fetches": raw.fetches, "raw_vehicle_positions": raw.vehicles}
+    name = "stg_vehicle_positions"
+    slim = tables[name].select(*columns_checked(name), "snapshot_recency_rank")
+    return run_checks(tables | {name: stored(slim, "to-check")})

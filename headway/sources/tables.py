@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from headway.schemas import POLL_LOG, RAW_TABLES
+from headway.sources.store import Files, hidden_attempts, new_source
 
 BATCH = "landing_batch_id"
 SNAPSHOT_FOLDERS = ("snapshot_date", "feed_key")
 LANDED = RAW_TABLES | {"poll_log": POLL_LOG}
+# The folders of each landed table, the day first.
+FOLDERS = dict.fromkeys(LANDED, SNAPSHOT_FOLDERS) | {
+    "poll_log": ("poll_date",),
+    "ingest_errors": ("error_date",),
+}
 
 
 @dataclass(frozen=True)
@@ -34,84 +42,125 @@ def with_snapshot_date(df: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(df: DataFrame, table_path: str, batch_id: int, partition_by: Iterable[str]) -> None:
-    """Write one landing batch into its own folder; writing it again replaces it.
+def write_batch(
+    df: DataFrame, root: str, table: str, attempt: str, partition_by: Iterable[str]
+) -> None:
+    """File the rows of one attempt under the table's day (and feed) folders.
 
     ``rebalance`` sizes files per folder and splits a folder that is too big
     for one task, so a feed or day holding most rows does not slow the write.
+    The rows are written aside and their folders renamed into place, so jobs
+    that write at the same time do not meet.
     """
-    columns = list(partition_by)
-    writer = df.hint("rebalance", *columns).write.mode("overwrite")
-    if columns:
-        writer = writer.partitionBy(*columns)
-    writer.parquet(f"{table_path}/{BATCH}={batch_id}")
-
-
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match, from a listing of folder names only."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
-
-
-def _batch_of(path: str) -> int:
-    return int(path.rstrip("/").split(f"{BATCH}=")[1].split("/")[0])
+    spark, columns = df.sparkSession, list(partition_by)
+    files, aside = Files(spark, root), f"{root}/aside/{attempt}/{table}"
+    df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(aside)
 
+    def settle(folder: str, depth: int) -> None:
+        for name in files.names(f"{aside}{folder}"):
+            if depth > 1:
+                settle(f"{folder}/{name}", depth - 1)
+            else:
+                place = f"{folder}/{name}/{BATCH}={attempt}"
+                files.move(f"{aside}{folder}/{name}", f"{root}/{table}{place}")
 
-def published_batches(
-    spark: SparkSession, root: str, last_written: str = "raw_feed_fetches"
-) -> set[int]:
-    """Batches whose last table, the audit for a landing, is committed."""
-    done = _folders(spark, f"{root}/{last_written}/{BATCH}=*/_SUCCESS")
-    return {_batch_of(path) for path in done}
+    settle("", len(columns))
+    files.remove(aside)
 
 
 def read_batches(
     spark: SparkSession,
-    table_path: str,
+    root: str,
+    table: str,
     schema: StructType,
-    batches: set[int],
-    partition_by: Iterable[str] = (),
+    partition_by: Iterable[str],
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The given batches of a table with its folder columns.
+    """The rows of a table that count, with its folder columns.
 
-    Unpublished folders are never opened, so no join is needed to hide them.
+    With ``days`` only the folders of these days are listed, so the cost does
+    not grow with what was landed on others. ``partition_by`` begins with the
+    day.
     """
-    kinds = {BATCH: LongType(), "snapshot_date": DateType()}
+    columns = list(partition_by)
     folder_columns = [
-        StructField(name, kinds[name])
-        for name in (BATCH, *partition_by)
+        StructField(name, DateType() if name == columns[0] else StringType())
+        for name in (*columns, BATCH)
         if name not in schema.names
     ]
     full = StructType(schema.fields + folder_columns)
-    paths = [p for p in _folders(spark, f"{table_path}/{BATCH}=*") if _batch_of(p) in batches]
+    files, path = Files(spark, root), f"{root}/{table}"
+    if days is None:
+        paths = [path] if files.names(path) else []
+    else:
+        paths = [p for day in days if files.exists(p := f"{path}/{columns[0]}={day}")]
     if not paths:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", table_path).parquet(*paths)
+    # Marks are read first: a batch committed after that is hidden as a whole.
+    hidden = sorted(hidden_attempts(spark, root))
+    rows = spark.read.schema(full).option("basePath", path).parquet(*paths)
+    for condition in _hiding(table, columns[0], hidden):
+        rows = rows.filter(~condition)
+    return rows
+
+
+def _hiding(table: str, day_column: str, hidden: list[str]) -> list[Column]:
+    found = [F.col(BATCH).isin(whole)] if (whole := [h for h in hidden if "/" not in h]) else []
+    for entry in hidden:
+        if entry.startswith(f"{table}/"):
+            _, day, attempt = entry.split("/")
+            found.append((F.col(day_column) == F.lit(day).cast("date")) & (F.col(BATCH) == attempt))
+    return found
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    Files(spark, folder).remove(folder)
+
 
+def _attempt_folders(files: Files, root: str, table: str, day: str, attempts: set[str]) -> list[str]:
+    """Folders of the given attempts on one day."""
+    base = f"{root}/{table}/{FOLDERS[table][0]}={day}"
+    within = [base] if len(FOLDERS[table]) == 1 else [f"{base}/{n}" for n in files.names(base)]
+    return [
+        f"{folder}/{BATCH}={name}" for folder in within for name in attempts
+        if files.exists(f"{folder}/{BATCH}={name}")
+    ]
 
-def published_only(details: DataFrame, audit: DataFrame, on: tuple[str, ...] = ("fetch_id",)) -> DataFrame:
-    """Detail rows whose audit row exists; the audit is written last."""
-    return details.join(audit.select(*on), list(on), "left_semi")
+
+def compact_day(spark: SparkSession, root: str, table: str, day: str) -> int:
+    """Rewrite the committed batches of a day as one; returns how many there were.
+
+    The new folders are hidden by a mark. Rewriting the mark in one step shows
+    them and hides the old ones, which are then removed, and the mark with them.
+    A reader that listed the old folders before that must read again.
+    """
+    columns = FOLDERS[table]
+    rows = read_batches(spark, root, table, LANDED[table], columns, [day])
+    old = {row[0] for row in rows.select(BATCH).distinct().collect()}
+    if len(old) < 2:
+        return len(old)
+    files, attempt = Files(spark, root), f"{new_source('compact')}.{table}.{day}"
+    mark = f"{root}/marks/{attempt}"
+    files.write(mark, json.dumps([attempt]))
+    write_batch(rows.drop(BATCH), root, table, attempt, columns)
+    files.write(mark, json.dumps([f"{table}/{day}/{name}" for name in sorted(old)]))
+    for folder in _attempt_folders(files, root, table, day, old):
+        files.remove(folder)
+    files.remove(mark)
+    return len(old)
 
 
 def read_raw(spark: SparkSession, root: str) -> RawTables:
-    """The published raw tables of a landing root."""
-    batches = published_batches(spark, root)
+    """The committed raw tables of a landing root."""
 
-    def table(name: str, partition_by: Iterable[str] = ()) -> DataFrame:
-        return read_batches(spark, f"{root}/{name}", LANDED[name], batches, partition_by)
+    def table(name: str) -> DataFrame:
+        return read_batches(spark, root, name, LANDED[name], FOLDERS[name])
 
     return RawTables(
-        fetches=poll_audit(table("raw_feed_fetches", SNAPSHOT_FOLDERS), table("poll_log")),
-        vehicles=table("raw_vehicle_positions", SNAPSHOT_FOLDERS),
-        stops=table("raw_trip_stop_updates", SNAPSHOT_FOLDERS),
-        alerts=table("raw_alerts", SNAPSHOT_FOLDERS),
+        fetches=poll_audit(table("raw_feed_fetches"), table("poll_log")),
+        vehicles=table("raw_vehicle_positions"),
+        stops=table("raw_trip_stop_updates"),
+        alerts=table("raw_alerts"),
         errors=table("ingest_errors"),
     )
 
@@ -135,14 +184,36 @@ def poll_audit(audit: DataFrame, polls: DataFrame) -> DataFrame:
     return counted.select(*audit.columns)
 
 
-def write_models(models: Mapping[str, DataFrame], root: str) -> None:
-    """Rebuild each model table whole."""
+def write_models(models: Mapping[str, DataFrame], folder: str) -> None:
+    """Write each model as a table of its own under a new folder."""
     for name, model in models.items():
-        model.write.mode("overwrite").parquet(f"{root}/{name}")
+        model.write.parquet(f"{folder}/{name}")
+
+
+def new_version(root: str) -> str:
+    """The folder of a rebuild that nobody reads yet."""
+    return f"{root}/versions/{uuid.uuid4().hex}"
+
+
+def publish_version(spark: SparkSession, root: str, folder: str) -> None:
+    """Let readers of ``root`` see this rebuild from now on; all models change in one step.
+
+    The version before stays for those who read it still, older ones go.
+    """
+    files, version = Files(spark, root), folder.rsplit("/", 1)[1]
+    before = files.read(f"{root}/current")
+    files.write(f"{root}/current", version)
+    for name in files.names(f"{root}/versions"):
+        if name not in (version, before):
+            files.remove(f"{root}/versions/{name}")
 
 
 def read_models(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    """The models of the version published last."""
+    version = Files(spark, root).read(f"{root}/current")
+    if version is None:
+        raise ModelsNotBuilt(root)
+    return {name: spark.read.parquet(f"{root}/versions/{version}/{name}") for name in names}
 
 
 def register_views(models: Mapping[str, DataFrame]) -> None:

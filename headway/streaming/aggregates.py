@@ -19,6 +19,8 @@ from headway.streaming.sinks import CATCH_UP, read_latest, write_updates
 
 POLL_COUNT_TABLE = "poll_counts"
 OBSERVATION_TABLE = "drift_observations"
+POLL_COUNT_KEYS = ["fetch_id"]
+OBSERVATION_KEYS = ["trip_key", "stop_id"]
 
 
 def poll_counts(polls: DataFrame) -> DataFrame:
@@ -28,22 +30,23 @@ def poll_counts(polls: DataFrame) -> DataFrame:
 
 
 def stream_poll_count(polls: DataFrame, root: str, trigger: dict = CATCH_UP) -> StreamingQuery:
-    return write_updates(poll_counts(polls), root, POLL_COUNT_TABLE, trigger=trigger)
+    return write_updates(
+        poll_counts(polls), root, POLL_COUNT_TABLE, trigger=trigger, keys=POLL_COUNT_KEYS
+    )
 
 
 def read_poll_counts(spark: SparkSession, root: str) -> DataFrame:
-    return read_latest(spark, root, POLL_COUNT_TABLE, POLL_COUNTS, ["fetch_id"])
+    return read_latest(spark, root, POLL_COUNT_TABLE, POLL_COUNTS, POLL_COUNT_KEYS)
 
 
 def stream_drift(stops: DataFrame, root: str, trigger: dict = CATCH_UP) -> StreamingQuery:
     """First and last prediction per trip and stop, over a stream of raw stop updates."""
     observed = running_observations(stg_trip_stop_updates(stops))
-    return write_updates(observed, root, OBSERVATION_TABLE, trigger=trigger)
+    return write_updates(observed, root, OBSERVATION_TABLE, trigger=trigger, keys=OBSERVATION_KEYS)
 
 
 def read_drift(spark: SparkSession, root: str) -> DataFrame:
     """Prediction drift from the running observations; the trip medians are batch."""
-    keys = ["trip_key", "stop_id"]
     return drift_from_observations(
-        read_latest(spark, root, OBSERVATION_TABLE, DRIFT_OBSERVATIONS, keys)
+        read_latest(spark, root, OBSERVATION_TABLE, DRIFT_OBSERVATIONS, OBSERVATION_KEYS)
     )

@@ -12,8 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from headway.functions.times import seconds_between
 from headway.operators.snapshots import GAP_SECONDS, last_of_previous_day
-from headway.schemas import FIRST_POLLS, SNAPSHOT_WAITS
-from headway.streaming.land import SNAPSHOTS
+from headway.schemas import SNAPSHOT_WAITS
 from headway.streaming.sinks import CATCH_UP, read_updates, write_updates
 
 WAITS = "waits"
@@ -59,15 +58,6 @@ def _emit(feed, rows, published, waited, opens_day, late) -> pd.DataFrame:
     )
 
 
-def read_snapshot_stream(spark: SparkSession, root: str, files_per_trigger: int = 100) -> DataFrame:
-    """The deduped snapshots as a stream."""
-    return (
-        spark.readStream.schema(FIRST_POLLS)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(f"{root}/{SNAPSHOTS}")
-    )
-
-
 def stream_gaps(snapshots: DataFrame, root: str, trigger: dict = CATCH_UP) -> StreamingQuery:
     """How long each snapshot of a stream was waited for, within its day.
 

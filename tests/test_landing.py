@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import shutil
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from headway.operators import landing
 from headway.operators.demux import good_payloads, split_entities
 from headway.sources.gtfs_rt import decode_payloads
-from headway.sources.tables import published_batches, published_only, read_raw
+from headway.sources.store import Batch, BatchMismatch, Files, committed, failed_attempts
+from headway.sources.tables import BATCH, compact_day, read_raw
 from headway.schemas import RAW_FEED_FETCHES
-from tests.builders import FETCHED, HEADER, default_payload, fetch, frame, payloads, raw, train
+from tests.builders import FETCHED, HEADER, default_payload, frame, payloads, raw
 
 
 @pytest.fixture
@@ -90,33 +94,123 @@ def test_batch_of_only_bad_payloads(spark, root):
 @pytest.mark.parametrize("failing", ["raw_vehicle_positions", "raw_alerts", "raw_feed_fetches"])
 def test_crash_shows_nothing_and_retry_shows_all(spark, root, monkeypatch, failing):
     landing.land_next(payloads(spark, (default_payload(), 0)), root)
-    second = payloads(spark, (default_payload(HEADER + 30), 30))
+    second, name = payloads(spark, (default_payload(HEADER + 30), 30)), Batch("s", 1)
     write = landing.write_batch
 
-    def crash(df, table_path, *rest):
-        if table_path.endswith(failing):
+    def crash(df, root, table, *rest):
+        write(df, root, table, *rest)
+        if table == failing:
             raise OSError("disk full")
-        write(df, table_path, *rest)
 
     with monkeypatch.context() as patched:
         patched.setattr(landing, "write_batch", crash)
         with pytest.raises(OSError):
-            landing.land_batch(second, root, 1)
-    assert published_batches(spark, root) == {0}
+            landing.land_batch(second, root, name)
+    assert committed(spark, root, name) is None and len(failed_attempts(spark, root)) == 1
     assert counts(spark, root) == (1, 2, 2, 1, 0)
-    landing.land_batch(second, root, 1)
+    landing.land_batch(second, root, name)
     assert counts(spark, root) == (2, 4, 4, 2, 0)
 
 
 def test_replay_after_publishing_changes_nothing(spark, root):
-    batch = payloads(spark, (default_payload(), 0), (b"", 5))
-    landing.land_batch(batch, root, 0)
+    batch, name = payloads(spark, (default_payload(), 0), (b"", 5)), Batch("s", 0)
+    landing.land_batch(batch, root, name)
     before = read_raw(spark, root).fetches.collect()
-    landing.land_batch(batch, root, 0)
+    landing.land_batch(batch, root, name)
     assert read_raw(spark, root).fetches.collect() == before
     assert counts(spark, root) == (1, 2, 2, 1, 1)
 
 
+def test_a_name_stands_for_one_content(spark, root):
+    landing.land_batch(payloads(spark, (default_payload(), 0)), root, Batch("s", 0))
+    other = payloads(spark, (default_payload(HEADER + 30), 30))
+    with pytest.raises(BatchMismatch):
+        landing.land_batch(other, root, Batch("s", 0))
+    # The same number of another source is another batch.
+    landing.land_batch(other, root, Batch("t", 0))
+    assert counts(spark, root) == (2, 4, 4, 2, 0)
+
+
+def test_nothing_depends_on_success_files(spark, root):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        for later in (0, 30):
+            landing.land_next(payloads(spark, (default_payload(HEADER + later), later)), root)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert counts(spark, root) == (2, 4, 4, 2, 0)
+
+
+def test_listings_do_not_grow_with_other_days(spark, root, monkeypatch):
+    """500 batches of other days were landed; a batch lists what it would without them."""
+    listed: list[str] = []
+    names = Files.names
+
+    def spy(self, folder):
+        found = names(self, folder)
+        listed.extend(found)
+        return found
+
+    monkeypatch.setattr(Files, "names", spy)
+    landing.land_next(payloads(spark, (default_payload(), 0)), root)
+    del listed[:]
+    landing.land_next(payloads(spark, (default_payload(HEADER + 30), 30)), root)
+    before = len(listed)
+    lake = Path(root)
+    day = next((lake / "raw_feed_fetches").iterdir())
+    for number in range(500):
+        shutil.copytree(day, lake / "raw_feed_fetches" / "snapshot_date=2020-01-01" / f"feed_key=x{number}", dirs_exist_ok=True)
+        (lake / "commits" / "old").mkdir(exist_ok=True)
+        (lake / "commits" / "old" / f"{number}.json").write_text("{}")
+    del listed[:]
+    landing.land_next(payloads(spark, (default_payload(HEADER + 60), 60)), root)
+    assert len(listed) <= before + 1
+    (files,) = read_days(spark, root)
+    assert "2020-01-01" not in files
+
+
+def read_days(spark, root):
+    polls = good_payloads(split_entities(decode_payloads(payloads(spark, (default_payload(), 0)))))
+    dated = polls.withColumn("snapshot_date", F.to_date("header_timestamp"))
+    rows = landing.landed_on_days_of(dated, root, "raw_feed_fetches", RAW_FEED_FETCHES)
+    return [" ".join(rows.inputFiles())]
+
+
+def test_compaction_keeps_the_rows(spark, root):
+    for later in (0, 30, 60):
+        landing.land_next(payloads(spark, (default_payload(HEADER + later), later)), root)
+    before = counts(spark, root)
+    day = str(read_raw(spark, root).vehicles.first().snapshot_date)
+    for table in ("raw_vehicle_positions", "raw_feed_fetches"):
+        assert compact_day(spark, root, table, day) == 3
+    assert counts(spark, root) == before
+    assert read_raw(spark, root).vehicles.select(BATCH).distinct().count() == 1
+    assert compact_day(spark, root, "raw_vehicle_positions", day) == 1
+    landing.land_next(payloads(spark, (default_payload(HEADER + 30), 90)), root)
+    assert counts(spark, root) == before
+
+
+def test_crash_during_compaction_shows_the_old_rows(spark, root, monkeypatch):
+    from headway.sources import tables
+
+    for later in (0, 30):
+        landing.land_next(payloads(spark, (default_payload(HEADER + later), later)), root)
+    before = counts(spark, root)
+    day = str(read_raw(spark, root).vehicles.first().snapshot_date)
+    write = tables.write_batch
+
+    def crash(*args):
+        write(*args)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "write_batch", crash)
+        with pytest.raises(OSError):
+            compact_day(spark, root, "raw_vehicle_positions", day)
+    assert counts(spark, root) == before
+
+
 def test_cycle_counters(spark):
     polls = payloads(
         spark,
@@ -137,11 +231,6 @@ def test_long_error_is_cut(spark):
     assert len(landing.quarantine(errors).first().error_message) == 1000
 
 
-def test_published_only(spark):
-    tables = raw(spark, trains=[train("1"), train("2", fetch_id="f2")], fetches=[fetch()])
-    assert [r.entity_id for r in published_only(tables.vehicles, tables.fetches).collect()] == ["1"]
-
-
 def test_store_summary_of_nothing(spark):
     row = landing.store_summary(raw(spark)).first()
     assert row.raw_feed_fetches == 0 and row.distinct_feeds == 0 and row.first_fetch_at is None

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import shutil
+from pathlib import Path
 
 import pytest
 
@@ -9,6 +11,7 @@ from headway.plans import marts
 from headway.plans.staging import stg_trip_stop_updates
 from headway.schemas import FIRST_POLLS, PAYLOADS, RAW_TRIP_STOP_UPDATES
 from headway.sources.payloads import stream_payloads
+from headway.sources.store import Files
 from headway.sources.tables import read_raw
 from headway.streaming import aggregates, gaps, land
 from tests.builders import (
@@ -130,10 +133,10 @@ def test_landing_survives_a_crash_and_resumes(spark, tmp_path, root, monkeypatch
     stream = files(spark, str(tmp_path / "in"), PAYLOADS, payloads(spark, (default_payload(), 0)))
     write = landing.write_batch
 
-    def crash(df, table_path, *rest):
-        if table_path.endswith("raw_feed_fetches"):
+    def crash(df, root, table, *rest):
+        write(df, root, table, *rest)
+        if table == "raw_feed_fetches":
             raise OSError("lost")
-        write(df, table_path, *rest)
 
     with monkeypatch.context() as patched:
         patched.setattr(landing, "write_batch", crash)
@@ -146,10 +149,73 @@ def test_landing_survives_a_crash_and_resumes(spark, tmp_path, root, monkeypatch
     assert tables.fetches.first().poll_count == 1
 
 
+def test_a_batch_beside_a_stream_loses_nothing(spark, tmp_path, root):
+    land_next(payloads(spark, (default_payload(), 0)), root)
+    parts = [payloads(spark, (default_payload(HEADER + s), s)) for s in (30, 60, 0)]
+    stream = files(spark, str(tmp_path / "in"), PAYLOADS, *parts)
+    query = land.stream_land(stream, root)
+    query.awaitTermination()
+    assert len({p["batchId"] for p in query.recentProgress if p["numInputRows"]}) == 3
+    assert read_raw(spark, root).fetches.count() == 3
+    land_next(payloads(spark, (default_payload(HEADER + 90), 90)), root)
+    assert read_raw(spark, root).fetches.count() == 4
+
+
+def test_a_lost_checkpoint_loses_nothing(spark, tmp_path, root):
+    first = [payloads(spark, (default_payload(HEADER + s), s)) for s in (0, 30)]
+    files(spark, str(tmp_path / "a"), PAYLOADS, *first)
+    stream = spark.readStream.schema(PAYLOADS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "a"))
+    land.stream_land(stream, root).awaitTermination()
+    shutil.rmtree(f"{root}/checkpoint")
+    more = files(spark, str(tmp_path / "b"), PAYLOADS, *[payloads(spark, (default_payload(HEADER + s), s)) for s in (60, 90, 30)])
+    land.stream_land(more, root).awaitTermination()
+    tables = read_raw(spark, root)
+    assert (tables.fetches.count(), tables.vehicles.count()) == (4, 8)
+
+
+def test_update_logs_are_folded_and_follow_the_newest_checkpoint(spark, tmp_path, root, monkeypatch):
+    from headway.streaming import sinks
+
+    monkeypatch.setattr(sinks, "FOLD_EVERY", 3)
+    batches = [[poll("f1", 0, i), poll(f"n{i}", i, i)] for i in range(10)]
+    stream = files(spark, str(tmp_path / "in"), FIRST_POLLS, *batches)
+    aggregates.stream_poll_count(stream, root).awaitTermination()
+    got = {r.fetch_id: r.poll_count for r in aggregates.read_poll_counts(spark, root).collect()}
+    assert got == {"f1": 10} | {f"n{i}": 1 for i in range(10)}
+    log = Path(root) / aggregates.POLL_COUNT_TABLE
+    (source,) = [p for p in log.iterdir() if p.is_dir()]
+    assert len([p for p in source.iterdir() if not p.name.startswith(".")]) <= 6
+    shutil.rmtree(f"{root}/checkpoint")
+    short = files(spark, str(tmp_path / "new"), FIRST_POLLS, [poll("f1", 0, 1)])
+    aggregates.stream_poll_count(short, root).awaitTermination()
+    got = {r.fetch_id: r.poll_count for r in aggregates.read_poll_counts(spark, root).collect()}
+    assert got == {"f1": 1}
+
+
+def test_the_snapshot_feed_has_committed_snapshots_once(spark, tmp_path, root, monkeypatch):
+    stream = files(spark, str(tmp_path / "in"), FIRST_POLLS, *POLLS)
+    move = Files.move
+
+    def crash(self, source, target):
+        if f"/{land.FEED}/" in target:
+            raise OSError("lost")
+        move(self, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Files, "move", crash)
+        with pytest.raises(Exception, match="lost"):
+            land.stream_dedupe(stream, root).awaitTermination()
+    land.stream_dedupe(stream, root).awaitTermination()
+    fed = spark.read.schema(FIRST_POLLS).parquet(f"{root}/{land.FEED}/*")
+    assert sorted(r.fetch_id for r in fed.collect()) == sorted(r.fetch_id for r in land.read_snapshots(spark, root).collect())
+    gaps.stream_gaps(land.read_snapshot_stream(spark, root, 1), root).awaitTermination()
+    assert gaps.read_gaps(spark, root).count() == 7
+
+
 def test_payload_folder_as_a_stream(spark, tmp_path, root):
     folder = tmp_path / "drop" / "feed_key=ACE"
     folder.mkdir(parents=True)
     for i in range(3):
-        (folder / f"{1_789_075_148_000 + i}.pb").write_bytes(default_payload(HEADER + 30 * i))
+        (folder / f"{1_741_962_600_000 + i}.pb").write_bytes(default_payload(HEADER + 30 * i))
     land.stream_land(stream_payloads(spark, str(tmp_path / "drop"), 2), root).awaitTermination()
     assert read_raw(spark, root).fetches.count() == 3
