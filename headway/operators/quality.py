@@ -118,10 +118,10 @@ def ingestion_gaps(health: DataFrame) -> DataFrame:
     )
 
 
-def plausible_train_counts(lines: DataFrame) -> DataFrame:
+def plausible_train_counts(lines: DataFrame, most: int = MAX_TRAINS_PER_LINE) -> DataFrame:
     """Lines with more trains than can run, as a join that multiplies rows would show."""
     running = F.col("trains_running")
-    return lines.filter((running > MAX_TRAINS_PER_LINE) | (running < 1)).select(
+    return lines.filter((running > most) | (running < 1)).select(
         "route_id", "trains_running", F.lit(IMPLAUSIBLE_COUNT).alias("failure_reason")
     )
 
@@ -266,10 +266,44 @@ def _row_condition(check: Check) -> Column | None:
     return None
 
 
+def columns_checked(model: str, checks: Sequence[Check] = CHECKS) -> list[str]:
+    """The columns of a model that some check reads."""
+    return list(dict.fromkeys(c.column for c in checks if c.model == model and c.column))
+
+
+def _count_repeated(model: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """How many values occur more than once, for all unique checks of a model in one pass."""
+    values = [
+        F.struct(
+            F.lit(c.name).alias("check_name"),
+            (F.when(F.expr(c.where), F.col(c.column)) if c.where else F.col(c.column))
+            .cast("string")
+            .alias("value"),
+        )
+        for c in checks
+    ]
+    counts = (
+        model.select(F.inline(F.array(*values)))
+        .filter("value IS NOT NULL")
+        .groupBy("check_name", "value")
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+    )
+    totals = counts.agg(
+        *[F.count_if((F.col("check_name") == c.name) & (F.col("occurrences") > 1)).alias(c.name) for c in checks]
+    )
+    return _as_rows(totals, checks)
+
+
+def _as_rows(one_row: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """A row per check of one row with a column per check."""
+    pairs = [
+        F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("failures")) for c in checks
+    ]
+    return one_row.select(F.inline(F.array(*pairs)))
+
+
 def _failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     model = models[check.model]
-    if check.kind == "unique":
-        return unique(model, check.column, check.where)
     if check.kind == "relationships":
         parent, field, spread_by = check.argument
         return relationships(model, check.column, models[parent], field, [spread_by])
@@ -284,22 +318,20 @@ def _failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """A row per check: its severity, failing rows and status.
 
-    All one-row checks of a model are counted in a single pass over it; only
-    checks that group or join take a pass of their own.
+    All one-row checks of a model are counted in a single pass over it, and all
+    its unique checks in another; only the rest take a pass of their own.
     """
     counts: list[DataFrame] = []
     for model in dict.fromkeys(check.model for check in checks):
-        local = [c for c in checks if c.model == model and _row_condition(c) is not None]
+        own = [c for c in checks if c.model == model]
+        local = [c for c in own if _row_condition(c) is not None]
         if local:
             failures = [F.count_if(_row_condition(c)).alias(c.name) for c in local]
-            one_row = models[model].agg(*failures)
-            pairs = [
-                F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("failures"))
-                for c in local
-            ]
-            counts.append(one_row.select(F.inline(F.array(*pairs))))
+            counts.append(_as_rows(models[model].agg(*failures), local))
+        if repeated := [c for c in own if c.kind == "unique"]:
+            counts.append(_count_repeated(models[model], repeated))
     for check in checks:
-        if _row_condition(check) is None:
+        if _row_condition(check) is None and check.kind != "unique":
             failing = _failing_rows(check, models).agg(F.count(F.lit(1)).alias("failures"))
             counts.append(failing.select(F.lit(check.name).alias("check_name"), "failures"))
 

@@ -89,10 +89,10 @@ def snapshot_recency(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_recency(rows: DataFrame, spread_by: list[str]) -> DataFrame:
+def with_recency(rows: DataFrame, recency: DataFrame, spread_by: list[str]) -> DataFrame:
     """Rows with the recency rank of their snapshot."""
     keys = [(name, name) for name in ("feed_key", "header_timestamp")]
-    return salted_left_join(rows, snapshot_recency(rows), keys, spread_by, null_safe=True)
+    return salted_left_join(rows, recency, keys, spread_by, null_safe=True)
 
 
 def last_of_previous_day(dated: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ from headway.operators.snapshots import (
     with_gaps,
 )
 from headway.plans.staging import positions, stg_alerts, stg_trip_stop_updates
-from headway.session import stored
 from headway.sources.tables import RawTables
 
 # A prediction counts as ahead of the train when first seen this far before.
@@ -180,12 +179,12 @@ def _sightings(stops: DataFrame) -> DataFrame:
 
     Which sighting is first or last is told by one number: the publish time,
     and among equals the sooner arrival, at both ends, so that two trains
-    sharing a trip id do not seem to drift. Publish times are whole seconds;
-    25 bits beside them order arrivals up to 194 days from the snapshot.
+    sharing a trip id do not seem to drift. Both are whole seconds of 13 digits
+    at most, so 14 digits hold any arrival; the number has a fixed width and is
+    updated in place by a hash aggregate.
     """
-    reach = 2**24 - 1
-    ahead = F.greatest(F.least("seconds_to_arrival", F.lit(reach)), F.lit(-reach))
-    published = F.unix_seconds("header_timestamp") * 2**25
+    arrival = F.unix_seconds("arrival_time").cast("decimal(14,0)")
+    published = F.unix_seconds("header_timestamp").cast("decimal(14,0)") * F.lit(10**14).cast("decimal(15,0)")
     return stops.select(
         "trip_key",
         "stop_id",
@@ -195,8 +194,8 @@ def _sightings(stops: DataFrame) -> DataFrame:
         F.col("header_timestamp").alias("last_observed_at"),
         F.col("arrival_time").alias("first_predicted_arrival"),
         F.col("arrival_time").alias("last_predicted_arrival"),
-        (published + ahead).alias("_first"),
-        (published - ahead).alias("_last"),
+        (published + arrival).cast("decimal(38,0)").alias("_first"),
+        (published - arrival).cast("decimal(38,0)").alias("_last"),
     )
 
 
@@ -272,11 +271,10 @@ def drift_from_observations(observed: DataFrame) -> DataFrame:
 def fct_prediction_drift(raw: RawTables) -> DataFrame:
     """How far the predicted arrival at a stop moved between first and last sight.
 
-    The observations are stored in between, as both the rows and their trip
-    medians come from them: the stop updates are read and shuffled once.
+    Lazy. Both the rows and their trip medians come from the observations, so a
+    rebuild stores those in between.
     """
-    observed = drift_observations(stg_trip_stop_updates(raw.stops))
-    return drift_from_observations(stored(observed, "drift-observations"))
+    return drift_from_observations(drift_observations(stg_trip_stop_updates(raw.stops)))
 
 
 def position_health(vehicles: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from headway.sources.tables import RawTables
 
 Moment = datetime | str | Column
 
+# Thresholds of the reports.
 RECENT_MINUTES = 15
 MODEL_LAG_SECONDS = 120
 LOST_MINUTES = 2

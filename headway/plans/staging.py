@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from headway.functions.times import seconds_between
 from headway.functions.trips import joined_key, trip_key
 from headway.operators.skew import attach_group_stats
-from headway.operators.snapshots import newest_snapshots, with_recency
+from headway.operators.snapshots import snapshot_recency, with_recency
+
 
 def keyed_positions(vehicles: DataFrame, *more: Column) -> DataFrame:
     """Train positions with what can be told from one row: keys, ages and a flag."""
@@ -58,26 +59,14 @@ def positions(vehicles: DataFrame) -> DataFrame:
     return keyed_positions(reused, flag)
 
 
-def positions_to_check(vehicles: DataFrame) -> DataFrame:
-    """Train positions as the data checks need them, without a shuffle.
+def stg_vehicle_positions(vehicles: DataFrame, audit: DataFrame) -> DataFrame:
+    """One row per train and snapshot, over all history.
 
-    The recency rank is given for the newest snapshots only, the ones the
-    checks ask for.
+    The audit tells which snapshots have trains, so the recency rank needs no
+    pass over the positions.
     """
-    newest = newest_snapshots(vehicles).select(
-        F.col("feed_key").alias("_feed"), F.col("header_timestamp").alias("_published")
-    )
-    rows = keyed_positions(vehicles)
-    is_newest = (F.col("feed_key") == F.col("_feed")) & F.col("header_timestamp").eqNullSafe(
-        F.col("_published")
-    )
-    rank = F.when(F.col("_feed").isNotNull(), 1).alias("snapshot_recency_rank")
-    return rows.join(F.broadcast(newest), is_newest, "left").select(*rows.columns, rank)
-
-
-def stg_vehicle_positions(vehicles: DataFrame) -> DataFrame:
-    """One row per train and snapshot, over all history."""
-    return with_recency(positions(vehicles), spread_by=["snapshot_train_key"])
+    recency = snapshot_recency(audit.filter(F.col("vehicle_rows") > 0))
+    return with_recency(positions(vehicles), recency, spread_by=["snapshot_train_key"])
 
 
 def stg_trip_stop_updates(stops: DataFrame) -> DataFrame:

@@ -32,11 +32,12 @@ def test_every_model_builds_on_empty_tables(spark):
 
 def test_position_columns(spark):
     rows = staging.stg_vehicle_positions(
-        raw(spark, trains=[train("1", vehicle_timestamp=at(-9), start_date=None, direction="N")]).vehicles
+        raw(spark, trains=[train("1", vehicle_timestamp=at(-9), start_date=None, direction="N")]).vehicles,
+        raw(spark, fetches=[fetch(vehicle_rows=1)]).fetches,
     )
     assert rows.columns == POSITIONS
     (row,) = rows.collect()
-    assert row.snapshot_train_key == "f1|1" and row.trip_key == "098150_1..N15R|unknown"
+    assert row.snapshot_train_key == "f1|1" and row.trip_key == "041300_5..N07R|unknown"
     assert row.ingest_lag_seconds == 5 and row.position_age_seconds == 9
     assert not row.has_reused_trip_id and not row.is_unparsed_trip_id
 
@@ -61,8 +62,16 @@ def test_recency_runs_over_days_and_feeds(spark):
         for i, seconds in enumerate(published)
         for copy in "xy"
     ]
-    vehicles = raw(spark, trains=trains).vehicles
-    got = by_entity(staging.stg_vehicle_positions(vehicles), "snapshot_recency_rank")
+    fetches = [
+        fetch(fetch_id=f"{feed}{i}", feed_key=feed, published=seconds, vehicle_rows=2)
+        for feed, published in times.items()
+        for i, seconds in enumerate(published)
+    ]
+    # A snapshot without trains has no rank and moves none.
+    fetches.append(fetch(fetch_id="empty", feed_key="A", published=9 * day, vehicle_rows=0))
+    tables = raw(spark, trains=trains, fetches=fetches)
+    vehicles = tables.vehicles
+    got = by_entity(staging.stg_vehicle_positions(vehicles, tables.fetches), "snapshot_recency_rank")
     ranks = {"A0": 4, "A1": 3, "A2": 2, "A3": 1, "A4": 5, "B0": 1}
     assert got == {f"{k}{copy}": (rank,) for k, rank in ranks.items() for copy in "xy"}
     assert snapshot_recency(vehicles).count() == 6
@@ -79,18 +88,18 @@ def test_alert_flags(spark):
     alerts = [alert("1", "Trains are DELAYED"), alert("2", None), alert("3", "x", trip_id=None)]
     got = by_entity(staging.stg_alerts(raw(spark, alerts=alerts).alerts),
                     "is_delay_alert", "is_trip_level", "trip_key")
-    assert got["1"] == (True, True, "098150_1..N15R|20260910")
+    assert got["1"] == (True, True, "041300_5..N07R|20250314")
     assert got["2"][:2] == (False, True)
-    assert got["3"] == (False, False, "unknown|20260910")
+    assert got["3"] == (False, False, "unknown|20250314")
 
 
 def test_trains_sharing_a_trip_id_do_not_multiply(spark):
     tables = raw(
         spark,
-        trains=[train("v1", "t", "719S"), train("v2", "t", "723S")],
+        trains=[train("v1", "t", "310S"), train("v2", "t", "402S")],
         stops=[
-            stop("u1", 0, "719S", 60, "t"), stop("u1", 1, "720S", 120, "t"),
-            stop("u2", 0, "723S", 90, "t"), stop("u2", 1, "724S", 180, "t"),
+            stop("u1", 0, "310S", 60, "t"), stop("u1", 1, "311S", 120, "t"),
+            stop("u2", 0, "402S", 90, "t"), stop("u2", 1, "403S", 180, "t"),
         ],
         alerts=[alert("a", "Delay one", "t"), alert("b", "Another", "t"), alert("c", "Another", "t")],
     )
@@ -100,7 +109,7 @@ def test_trains_sharing_a_trip_id_do_not_multiply(spark):
         "has_reused_trip_id",
     )
     both = ("Another; Delay one", "Delayed (MTA alert)", True)
-    assert got == {"v1": ("719S", 1.0, "720S", *both), "v2": ("723S", 1.5, "724S", *both)}
+    assert got == {"v1": ("310S", 1.0, "311S", *both), "v2": ("402S", 1.5, "403S", *both)}
 
 
 def test_predictions_meet_positions_by_trip_date_and_stop(spark):
@@ -108,7 +117,7 @@ def test_predictions_meet_positions_by_trip_date_and_stop(spark):
         spark,
         trains=[
             train("dateless", "a", start_date=None), train("other stop", "b", "999N"),
-            train("other date", "c", start_date="20260911"), train("no trip", None),
+            train("other date", "c", start_date="20250315"), train("no trip", None),
             train("no stop", "d", None),
         ],
         stops=[
@@ -227,6 +236,22 @@ def test_trains_sharing_a_trip_id_do_not_drift_apart(spark):
     assert row.drift_seconds == 50 and row.observation_count == 4
 
 
+@pytest.mark.parametrize("days", [-400, -200, 200, 300])
+def test_ties_far_from_the_snapshot_go_to_the_sooner_arrival(spark, days):
+    far = [
+        stop(entity, 0, "s", days * 86_400 + more, "t") for entity, more in (("a", 0), ("b", 86_400))
+    ]
+    for stops in (far, far[::-1]):
+        observed = marts.drift_observations(
+            staging.stg_trip_stop_updates(raw(spark, stops=stops).stops.coalesce(1))
+        )
+        plan = observed._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan
+        (row,) = observed.collect()
+        sooner = at(days * 86_400).replace(tzinfo=None)
+        assert (row.first_predicted_arrival, row.last_predicted_arrival) == (sooner, sooner)
+
+
 def test_drift_of_extreme_times(spark):
     """Times at the ends of the calendar neither overflow nor win by it."""
     ends = [datetime(2, 1, 1, tzinfo=UTC), datetime(9999, 12, 31, 23, 59, 59, tzinfo=UTC)]
@@ -290,6 +315,31 @@ def test_health_counts(spark):
     assert empty.seconds_since_previous_snapshot == 600 and empty.is_after_ingestion_gap
 
 
+def test_a_failed_rebuild_leaves_the_marts_as_they_were(spark, tmp_path, monkeypatch):
+    from headway.plans import build
+    from headway.sources.tables import read_models
+
+    root = str(tmp_path / "m")
+    rebuild(spark, raw(spark, trains=[train("v")], fetches=[fetch()]), root)
+    write = build.write_models
+
+    def crash(models, folder):
+        if "dq_ingestion_health" in models:
+            raise OSError("lost")
+        write(models, folder)
+
+    monkeypatch.setattr(build, "write_models", crash)
+    with pytest.raises(OSError):
+        rebuild(spark, raw(spark, trains=[train("v"), train("w", "t")], fetches=[fetch()]), root)
+    assert read_models(spark, root, MARTS)["fct_line_activity"].first().trains_running == 1
+    monkeypatch.undo()
+    rebuild(spark, raw(spark, trains=[train("v"), train("w", "t")], fetches=[fetch()]), root)
+    assert read_models(spark, root, MARTS)["fct_line_activity"].first().trains_running == 2
+    assert len(list((tmp_path / "m" / "versions").iterdir())) == 2
+    for name in build.MARTS + ("stg_vehicle_positions", "stg_trip_stop_updates", "stg_alerts"):
+        spark.catalog.dropTempView(name)
+
+
 def test_rebuild_registers_every_model(spark, tmp_path):
     for name in MARTS:
         spark.catalog.dropTempView(name)

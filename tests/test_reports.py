@@ -190,6 +190,7 @@ def test_source_freshness(spark):
 def test_plausible_counts(spark, running, fails):
     lines = spark.createDataFrame([("1", running)], "route_id string, trains_running long")
     assert quality.plausible_train_counts(lines).count() == fails
+    assert quality.plausible_train_counts(lines, 10**6).count() == (1 if running < 1 else 0)
 
 
 @pytest.mark.parametrize("found, fails", [(0, True), (7, True), (8, False), (10, False)])
@@ -201,7 +202,7 @@ def test_prediction_coverage(spark, found, fails):
 
 
 def test_report_counts_each_check_once(spark):
-    tables = raw(spark, trains=[train("1", status="7"), train("1", route_id=None)], fetches=[fetch()])
+    tables = raw(spark, trains=[train("1", status="7"), train("1", route_id=None)], fetches=[fetch(vehicle_rows=2)])
     models = build_staging(tables) | build_marts(tables)
     rows = check_models(tables, models).collect()
     sources = {"raw_feed_fetches": tables.fetches, "raw_vehicle_positions": tables.vehicles}
@@ -217,3 +218,16 @@ def test_report_counts_each_check_once(spark):
         "accepted_values_stg_vehicle_positions_current_status": (1, "error"),
         "prediction_coverage_fct_current_trains": (1, "warn"),
     }
+
+
+def test_report_looks_at_the_models_it_names(spark):
+    tables = raw(spark, trains=[train("1"), train("2", "t")], fetches=[fetch(vehicle_rows=2)])
+    models = build_staging(tables) | build_marts(tables)
+    staged = models["stg_vehicle_positions"]
+
+    def failures(positions):
+        rows = check_models(tables, models | {"stg_vehicle_positions": positions}).collect()
+        return {r.check_name: r.failures for r in rows}["unique_stg_vehicle_positions_snapshot_train_key"]
+
+    assert failures(staged) == 0
+    assert failures(staged.union(staged)) == 2
