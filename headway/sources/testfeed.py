@@ -49,6 +49,11 @@ FEED_URL = "events"
 CATALOGUE = {"F0": FEED_URL, "F1": FEED_URL, "F2": FEED_URL}
 # Snapshots are a day apart here, so only more than a day is a gap.
 GAP_SECONDS = 86_400
+# Blocks of a feed are 90 seconds apart, bad ones leave holes.
+LANDED_GAP_SECONDS = 100
+# More than most lines of this feed have.
+MANY_TRAINS = 12
+FIRST_EVENT = 1_704_067_200  # 2024-01-01 00:00:00 UTC
 # A little after the last event.
 AS_OF = "2024-01-31 00:00:00"
 
@@ -57,11 +62,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, file: str = "events.parquet") -> DataFrame:
-    """The same table as a stream of its files."""
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", file).parquet(sf_dir)
-
-
 def _trip_id() -> Column:
     user = F.col("user_id")
     dots = F.when(user % 13 == 0, ".").otherwise("..")

@@ -50,16 +50,24 @@ TYPES = {
 }
 
 
-def assert_same(df, con: duckdb.DuckDBPyConnection, sql: str) -> int:
+def expected(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[dict[str, str], list]:
+    """Names and types of the columns of a query, and its rows."""
+    found = con.execute(sql)
+    return {column[0]: str(column[1]) for column in found.description}, found.fetchall()
+
+
+def assert_same_rows(schema, rows, types: dict[str, str], want: list) -> int:
     """The same columns, types and rows, in any order; returns the row count."""
-    expected = con.execute(sql)
-    names = [column[0] for column in expected.description]
-    types = {column[0]: str(column[1]) for column in expected.description}
-    assert sorted(df.columns) == sorted(names)
-    assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields} == types
-    want = sorted_rows(names, expected.fetchall())
-    got = sorted_rows(df.columns, df.collect())
-    assert len(got) == len(want)
-    for got_row, want_row in zip(got, want):
+    names = schema.names
+    assert sorted(names) == sorted(types)
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in schema.fields} == types
+    want_rows = sorted_rows(list(types), want)
+    got_rows = sorted_rows(names, rows)
+    assert len(got_rows) == len(want_rows)
+    for got_row, want_row in zip(got_rows, want_rows):
         assert got_row == want_row
-    return len(got)
+    return len(got_rows)
+
+
+def assert_same(df, con: duckdb.DuckDBPyConnection, sql: str) -> int:
+    return assert_same_rows(df.schema, df.collect(), *expected(con, sql))
