@@ -11,8 +11,8 @@ from headway import schemas
 from headway.sources.gtfs_rt import encode_payload
 from headway.sources.tables import RawTables
 
-HEADER = 1_789_075_148  # 2026-09-10 21:19:08 UTC
-FETCHED = datetime(2026, 9, 10, 21, 30, tzinfo=UTC)
+HEADER = 1_741_962_600  # 2025-03-14 14:30:00 UTC
+FETCHED = datetime(2025, 3, 14, 14, 42, tzinfo=UTC)
 
 
 def at(seconds: int) -> datetime:
@@ -30,20 +30,20 @@ def snapshot(fetch_id="f1", feed_key="A", published=0, **rest) -> dict:
     return row | {"fetched_at": at((published or 0) + 5)} | rest
 
 
-def train(entity_id, trip_id="098150_1..N15R", stop_id="101N", status="STOPPED_AT", **rest) -> dict:
+def train(entity_id, trip_id="041300_5..N07R", stop_id="101N", status="STOPPED_AT", **rest) -> dict:
     row = {"entity_id": entity_id, "trip_id": trip_id, "stop_id": stop_id, "route_id": "1"}
-    return snapshot() | row | {"start_date": "20260910", "current_status": status} | rest
+    return snapshot() | row | {"start_date": "20250314", "current_status": status} | rest
 
 
-def stop(entity_id, index=0, stop_id="101N", arrival=120, trip_id="098150_1..N15R", **rest) -> dict:
+def stop(entity_id, index=0, stop_id="101N", arrival=120, trip_id="041300_5..N07R", **rest) -> dict:
     row = {"entity_id": entity_id, "stop_index": index, "stop_id": stop_id, "trip_id": trip_id}
-    row |= {"route_id": "1", "start_date": "20260910", "schedule_relationship": "SCHEDULED"}
+    row |= {"route_id": "1", "start_date": "20250314", "schedule_relationship": "SCHEDULED"}
     return snapshot() | row | {"arrival_time": None if arrival is None else at(arrival)} | rest
 
 
-def alert(entity_id, text="Train delayed", trip_id="098150_1..N15R", **rest) -> dict:
+def alert(entity_id, text="Train delayed", trip_id="041300_5..N07R", **rest) -> dict:
     row = {"entity_id": entity_id, "alert_header": text, "trip_id": trip_id}
-    return snapshot() | row | {"start_date": "20260910", "route_id": "1"} | rest
+    return snapshot() | row | {"start_date": "20250314", "route_id": "1"} | rest
 
 
 def fetch(**rest) -> dict:
@@ -65,14 +65,14 @@ def raw(spark, trains=(), stops=(), alerts=(), fetches=(), errors=()) -> RawTabl
 # Payloads
 
 
-def vehicle_entity(entity_id, trip_id="098150_1..N15R", stop_id="101N", status=1, **rest) -> dict:
-    trip = {"trip_id": trip_id, "route_id": "1", "start_date": "20260910"}
+def vehicle_entity(entity_id, trip_id="041300_5..N07R", stop_id="101N", status=1, **rest) -> dict:
+    trip = {"trip_id": trip_id, "route_id": "1", "start_date": "20250314"}
     vehicle = {"trip": trip, "stop_id": stop_id, "current_status": status}
     return {"id": entity_id, "vehicle": vehicle | rest}
 
 
-def update_entity(entity_id, stops, trip_id="098150_1..N15R") -> dict:
-    trip = {"trip_id": trip_id, "route_id": "1", "start_date": "20260910"}
+def update_entity(entity_id, stops, trip_id="041300_5..N07R") -> dict:
+    trip = {"trip_id": trip_id, "route_id": "1", "start_date": "20250314"}
     return {"id": entity_id, "trip_update": {"trip": trip, "stop_time_update": stops}}
 
 
@@ -83,15 +83,15 @@ def alert_entity(entity_id, texts, informed) -> dict:
 def default_entities() -> list[dict]:
     return [
         vehicle_entity("000001"),
-        vehicle_entity("000002", "098250_1..S15R", "140S"),
+        vehicle_entity("000002", "052210_5..S07R", "140S"),
         update_entity(
             "000003",
             [
-                {"stop_id": "101N", "arrival": 1_789_075_200},
-                {"stop_id": "103N", "arrival": 1_789_075_500},
+                {"stop_id": "101N", "arrival": 1_741_962_690},
+                {"stop_id": "103N", "arrival": 1_741_963_020},
             ],
         ),
-        alert_entity("000004", ["Train delayed"], [{"trip": {"trip_id": "098150_1..N15R"}}]),
+        alert_entity("000004", ["Train delayed"], [{"trip": {"trip_id": "041300_5..N07R"}}]),
     ]
 
 

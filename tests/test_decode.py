@@ -49,7 +49,7 @@ def test_round_trip(spark):
     assert decoded["header"] == {"version": "1.0", "timestamp": HEADER}
     assert vehicle["id"] == "v" and vehicle["trip_update"] is None and vehicle["alert"] is None
     assert vehicle["vehicle"] == {
-        "trip": {"trip_id": "098150_1..N15R", "route_id": "1", "start_date": "20260910"},
+        "trip": {"trip_id": "041300_5..N07R", "route_id": "1", "start_date": "20250314"},
         "current_stop_sequence": 4,
         "current_status": 1,
         "timestamp": HEADER - 9,
@@ -98,7 +98,7 @@ def test_vehicles(spark):
     last = got.collect()[-1]
     assert last.trip_id is None and last.stop_id is None and last.current_stop_sequence is None
     assert last.vehicle_timestamp is None and last.direction is None
-    assert got.collect()[4].vehicle_timestamp == datetime(2026, 9, 10, 21, 19, 8)
+    assert got.collect()[4].vehicle_timestamp == datetime(2025, 3, 14, 14, 30, 0)
 
 
 def test_stops_keep_their_place_in_the_list(spark):
@@ -112,7 +112,7 @@ def test_stop_without_times_is_kept(spark):
     got = stop_rows(snapshots(spark, [update_entity("u", stops)]))
     assert rows(got, "arrival_time", "departure_time", "schedule_relationship") == [
         (None, None, "SCHEDULED"),
-        (None, datetime(2026, 9, 10, 21, 19, 8), "SCHEDULED"),
+        (None, datetime(2025, 3, 14, 14, 30, 0), "SCHEDULED"),
     ]
 
 
@@ -147,11 +147,11 @@ def test_positions_and_predictions_never_share_an_entity(spark):
 def test_payload_files(spark, tmp_path):
     folder = tmp_path / "feed_key=ACE"
     folder.mkdir()
-    (folder / "1789075148123.pb").write_bytes(default_payload())
+    (folder / "1741962600123.pb").write_bytes(default_payload())
     (folder / "unnamed.pb").write_bytes(b"junk")
     (folder / "empty.pb").write_bytes(b"")
     (folder / "notes.txt").write_text("not a payload")
     named, unnamed = read_payloads(spark, str(tmp_path)).orderBy("path").collect()
     assert named.feed_key == "ACE" and named.feed_url.endswith("nyct%2Fgtfs-ace")
-    assert named.fetched_at == datetime(2026, 9, 10, 21, 19, 8, 123000)
+    assert named.fetched_at == datetime(2025, 3, 14, 14, 30, 0, 123000)
     assert unnamed.fetched_at is not None and unnamed.payload == b"junk"
