@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +21,14 @@ from headway.llm.common import in_batches, staged, text_bytes
 END = b"\0\0\0\0"
 #: Pieces packed together. A shard wastes at most its last sequence.
 SHARD_PIECES = 20_000
-_WORD_CACHE = 300_000
+_CORE_CACHE = 1_000_000
+#: Marks that end words; an apostrophe may join what follows it.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The printable stand-ins of bytes in byte-level vocabularies. Printable
+#: Latin-1 characters stand for themselves, the others for characters from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_STAND_IN = [chr(b) if b in _PRINTABLE else chr(256 + _OTHERS.index(b)) for b in range(256)]
 
 
 class WordTokenizer:
@@ -26,7 +36,10 @@ class WordTokenizer:
 
     The vocabulary's rules never look across ASCII white space: it normalises to
     a space, composes with nothing, and no split keeps it. So the ids of a text
-    are those of its words, one after the other.
+    are those of its words, one after the other. Marks after a letter or digit
+    are a piece of their own, so a word is looked up by its core and its marks.
+    A core of Latin letters is one piece already: it goes straight to the
+    vocabulary's merges. Any other goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -35,25 +48,67 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._ids: dict[bytes, bytes] = {}
+        self._merge = self._tokenizer.model.tokenize
+        self._known: dict[bytes, bytes] = {}
+
+    def _encode(self, core: bytes) -> bytes:
+        """The ids of one core, or of a run of marks."""
+        if core.isascii() and (core.isalpha() or not core.strip(_MARKS)):
+            ids = [token.id for token in self._merge(core.lower().decode())]
+        else:
+            word = core.decode("utf-8", "replace")
+            if word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+                # Composed and lower-cased as the tokenizer would, byte by byte in stand-ins.
+                raw = unicodedata.normalize("NFC", word).lower().encode()
+                ids = [token.id for token in self._merge("".join([_STAND_IN[b] for b in raw]))]
+            else:
+                ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _look_up(self, words: set[bytes]) -> dict[bytes, bytes]:
+        known = self._known
+        if len(known) > _CORE_CACHE:
+            known.clear()
+        found: dict[bytes, bytes] = {}
+        for word in words:
+            ids = known.get(word)
+            if ids is None:
+                core = word.rstrip(_MARKS)
+                if len(core) == len(word) or not _ends_piece(core):
+                    known[word] = ids = self._encode(word)
+                else:
+                    marks = word[len(core) :]
+                    first, second = known.get(core), known.get(marks)
+                    if first is None:
+                        known[core] = first = self._encode(core)
+                    if second is None:
+                        known[marks] = second = self._encode(marks)
+                    ids = first + second
+            found[word] = ids
+        return found
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [text.split() for text in texts]
-        known = self._ids
-        if len(known) > _WORD_CACHE:
-            known.clear()
-        new = set().union(*split).difference(known)
-        words = list(new)
-        for start in range(0, len(words), 4096):
-            part = words[start : start + 4096]
-            encoded = self._tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
-            )
-            for word, one in zip(part, encoded):
-                known[word] = np.array(one.ids, "<u4").tobytes()
+        # Lower-casing ASCII alone is what the tokenizer does, too; it makes fewer words.
+        split = [text.lower().split() if text.isascii() else text.split() for text in texts]
+        ids_of = self._look_up(set().union(*split)).__getitem__
         for words in split:
-            yield b"".join(map(known.__getitem__, words))
+            yield b"".join(map(ids_of, words))
+
+
+def _ends_piece(core: bytes) -> bool:
+    """Whether marks that follow are a piece of their own: after a letter or digit."""
+    last = core[-1:]
+    if last <= b"\x7f":
+        return last.isalnum()
+    end = unicodedata.normalize("NFC", core.decode("utf-8", "replace")[-1])
+    return end.lower()[-1].isalpha()
+
+
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this process: what one task has learnt serves the next."""
+    return WordTokenizer(path)
 
 
 _PIECE_SQL = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -71,21 +126,19 @@ _PIECE = pa.schema(
 
 def _pieces(tokenizer: str, capacity: int, with_ids: bool):
     def run(batches):
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
 
         def rows():
             for one in batches:
-                for first in range(0, one.num_rows, 500):
-                    part = one.slice(first, 500)
-                    ids_of = words.ids(part.column(1).to_pylist())
-                    for doc_id, ids in zip(part.column(0).to_pylist(), ids_of):
-                        ids += END
-                        for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                            own = ids[at : at + 4 * capacity]
-                            yield (
-                                doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own),
-                                own if with_ids else None,
-                            )
+                ids_of = words.ids(one.column(1).to_pylist())
+                for doc_id, ids in zip(one.column(0).to_pylist(), ids_of):
+                    ids += END
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        own = ids[at : at + 4 * capacity]
+                        yield (
+                            doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own),
+                            own if with_ids else None,
+                        )
 
         return in_batches(_PIECE, rows(), 500 if with_ids else 5000)
 
@@ -212,7 +265,7 @@ def pack_documents(
     packed = pack(slim, capacity)
     if with_ids:
         same = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        ids = pieces.dropDuplicates(same)
-        on = [packed[c].eqNullSafe(ids[c]) for c in same]
-        packed = packed.join(ids, on).select(*[packed[c] for c in packed.columns], ids["ids"])
+        ids = pieces.dropDuplicates(same).withColumnsRenamed({name: f"_{name}" for name in same})
+        on = [packed[name].eqNullSafe(ids[f"_{name}"]) for name in same]
+        packed = packed.join(ids, on).drop(*[f"_{name}" for name in same])
     return packed
