@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import in_batches, python_rows, text_bytes
 
-_PIECE_CACHE = 250_000
+_PIECE_CACHE = 300_000
 #: Pieces up to this many bytes are merged side by side, longer ones one by one.
 _SIDE_BY_SIDE = 64
 _NONE = np.iinfo(np.int64).max
@@ -184,22 +185,52 @@ class ByteBpe:
         return [b"".join(map(self._known.__getitem__, pieces)) for pieces in split]
 
 
-_ENCODED_SQL = "doc_id long, n_tokens long, ids binary"
-_ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+@lru_cache(maxsize=1)
+def byte_bpe(ranks_path: str, pattern: str) -> ByteBpe:
+    """The encoder of this process: what one task has learnt serves the next."""
+    return ByteBpe(read_ranks(ranks_path), pattern)
+
+
+_ENCODED_SQL = "doc_id long, n_tokens long, ids binary, decoded binary"
+_ENCODED = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())]
+)
+
+
+@lru_cache(maxsize=1)
+def token_bytes(ranks_path: str) -> list[bytes]:
+    """The bytes of each token, by its id."""
+    ranks = read_ranks(ranks_path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decode(ids: bytes, tokens: list[bytes]) -> bytes:
+    """The bytes that little-endian 32-bit ids stand for."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encode_documents(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
     """Ids of every whole text: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
 
     The text is split by ``pattern`` and each match encoded by itself, without
-    special tokens. Null and empty texts have no ids. A row in, a row out;
-    other columns are ignored.
+    special tokens. Null and empty texts have no ids. With ``with_decoded`` the
+    ids are decoded again, as column ``decoded``. A row in, a row out; other
+    columns are ignored.
     """
 
     def run(batches):
-        bpe = ByteBpe(read_ranks(ranks_path), pattern)
+        bpe = byte_bpe(ranks_path, pattern)
+        tokens = token_bytes(ranks_path) if with_decoded else []
 
         def rows():
             for one in batches:
@@ -207,27 +238,21 @@ def encode_documents(
                     part = one.slice(start, 300)
                     texts = [t.decode("utf-8", "replace") for t in part.column(1).to_pylist()]
                     for doc_id, ids in zip(part.column(0).to_pylist(), bpe.encode(texts)):
-                        yield doc_id, len(ids) // 4, ids
+                        yield doc_id, len(ids) // 4, ids, decode(ids, tokens) if with_decoded else None
 
         return in_batches(_ENCODED, rows(), 300)
 
     plain = docs.select(F.col(id_col).cast("long"), text_bytes(text_col).alias("text"))
-    return plain.mapInArrow(run, _ENCODED_SQL)
+    encoded = plain.mapInArrow(run, _ENCODED_SQL)
+    return encoded if with_decoded else encoded.drop("decoded")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with the bytes that its ids stand for, as column ``decoded``."""
-    schema = _ENCODED.append(pa.field("decoded", pa.binary()))
 
     def run(batches):
-        ranks = read_ranks(ranks_path)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        rows = (
-            (doc_id, n, ids, b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())))
-            for doc_id, n, ids in python_rows(batches)
-        )
-        return in_batches(schema, rows, 300)
-
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"{_ENCODED_SQL}, decoded binary")
+        tokens = token_bytes(ranks_path)
+        rows = ((doc_id, n, ids, decode(ids, tokens)) for doc_id, n, ids in python_rows(batches))
+        return in_batches(_ENCODED, rows, 300)
+
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, _ENCODED_SQL)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import language, suffix_tree_lm, toxicity
-from headway.llm.byte_bpe import decode_documents, encode_documents
+from headway.llm.byte_bpe import encode_documents
 from headway.llm.chat import format_conversations, read_back
 from headway.llm.common import read_table, remainder
 from headway.llm.exact_dedup import exact_dedup
@@ -87,8 +87,8 @@ def _(spark, sf_dir):
 @_query("op7_byte_bpe")
 def _(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return decode_documents(encoded, ranks).select(
+    docs = read_table(spark, sf_dir, "documents")
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, with_decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

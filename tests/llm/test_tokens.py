@@ -113,6 +113,8 @@ def test_encoding_equals_the_library_and_decodes_to_the_text(spark):
         ids = np.frombuffer(r.ids, "<u4").tolist()
         assert ids == library.encode_ordinary(text) and r.n_tokens == len(ids)
         assert bytes(r.decoded) == text.encode()
+    both = byte_bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN, with_decoded=True)
+    assert sorted(both.collect()) == sorted(rows)
     nothing = byte_bpe.encode_documents(docs.filter("false"), RANKS, public_tokenizers.PATTERN)
     assert byte_bpe.decode_documents(nothing, RANKS).count() == 0
 
