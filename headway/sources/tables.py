@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from headway.schemas import POLL_LOG, RAW_TABLES
-from headway.sources.store import Files, hidden_attempts, new_source
+from headway.sources.store import Files, failed_attempts, hidden_attempts, new_source
 
 BATCH = "landing_batch_id"
 SNAPSHOT_FOLDERS = ("snapshot_date", "feed_key")
@@ -127,6 +127,18 @@ def _attempt_folders(files: Files, root: str, table: str, day: str, attempts: se
     ]
 
 
+def remove_failed(spark: SparkSession, root: str, attempt: str) -> None:
+    """Remove what a failed attempt left, and then its mark. Not while it may still run."""
+    if attempt not in failed_attempts(spark, root):
+        raise ValueError(f"{attempt} is not a failed attempt")
+    files = Files(spark, root)
+    for depth in ("*/*", "*/*/*"):
+        for folder in files.matching(f"{root}/{depth}/{BATCH}={attempt}"):
+            files.remove(folder)
+    files.remove(f"{root}/aside/{attempt}")
+    files.remove(f"{root}/marks/{attempt}")
+
+
 def compact_day(spark: SparkSession, root: str, table: str, day: str) -> int:
     """Rewrite the committed batches of a day as one; returns how many there were.
 

@@ -10,7 +10,7 @@ from headway.operators import landing
 from headway.operators.demux import good_payloads, split_entities
 from headway.sources.gtfs_rt import decode_payloads
 from headway.sources.store import Batch, BatchMismatch, Files, committed, failed_attempts
-from headway.sources.tables import BATCH, compact_day, read_raw
+from headway.sources.tables import BATCH, compact_day, read_raw, remove_failed
 from headway.schemas import RAW_FEED_FETCHES
 from tests.builders import FETCHED, HEADER, default_payload, frame, payloads, raw
 
@@ -110,6 +110,12 @@ def test_crash_shows_nothing_and_retry_shows_all(spark, root, monkeypatch, faili
     assert counts(spark, root) == (1, 2, 2, 1, 0)
     landing.land_batch(second, root, name)
     assert counts(spark, root) == (2, 4, 4, 2, 0)
+    (failed,) = failed_attempts(spark, root)
+    remove_failed(spark, root, failed)
+    assert failed_attempts(spark, root) == [] and counts(spark, root) == (2, 4, 4, 2, 0)
+    assert not list(Path(root).rglob(f"*{failed}*"))
+    with pytest.raises(ValueError):
+        remove_failed(spark, root, "none")
 
 
 def test_replay_after_publishing_changes_nothing(spark, root):
@@ -241,3 +247,27 @@ def test_landed_columns_are_the_declared_ones(spark, root):
     landed = read_raw(spark, root).fetches
     assert set(RAW_FEED_FETCHES.names) <= set(landed.columns)
     assert frame(spark, RAW_FEED_FETCHES, []).columns == RAW_FEED_FETCHES.names
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from headway import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(Session(), "x")
+    Context.getCheckpointDir = lambda self: "hdfs://host/shared"
+    assert session.scratch_dir(Session(), "x").startswith("hdfs://host/shared/headway/x-")
+    assert session.scratch_dir(spark, "x")
