@@ -14,7 +14,12 @@ _BATCH_BYTES = str(4 << 20)
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """The session with the package on the workers and Arrow batches of bounded size."""
+    """The session with the package on the workers and Arrow batches of bounded size.
+
+    Shuffle files go when the job that wrote them ends: all steps in between are
+    written tables, so nothing reads them again.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     return prepare(spark)
@@ -52,6 +57,19 @@ def release(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def hash_sample(rows: DataFrame, keys: list[str], size: int, seed: int) -> DataFrame:
+    """About ``size`` rows at most, the first in the order of a hash of their keys.
+
+    A threshold on the hash, taken from the number of rows, leaves twice as many
+    as wanted, so no task sends the driver more than its share of them.
+    """
+    hashed = F.xxhash64(*keys, F.lit(seed))
+    share = 2.0 * size / max(1, rows.count())
+    if share < 1:
+        rows = rows.filter(F.pmod(hashed, F.lit(1 << 30)) < int(share * (1 << 30)))
+    return rows.orderBy(hashed, *keys).limit(size)
+
+
 def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)

@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from headway.llm.common import in_batches, python_rows, staged
+from headway.llm.common import hash_sample, in_batches, python_rows, staged
 
 #: Vectors that the centroids of the halves are fitted on, at most.
 TRAIN_VECTORS = 20_000
@@ -25,8 +26,10 @@ CELL_VECTORS = 50
 PROBE_SHARE = 0.55
 #: ... and at least so many.
 PROBE_LEAST = 2000
-#: Vectors, and queries, of a cell that are compared in one task.
-_BLOCK = 4000
+#: Vectors, and queries, that are compared with each other at a time: cells of
+#: together about so many vectors are one block, a larger cell is several.
+BLOCK_VECTORS = 4000
+BLOCK_QUERIES = 2000
 
 
 def _vector(raw, width: int | None = None) -> np.ndarray | None:
@@ -122,22 +125,48 @@ def _entries(index: MultiIndex, kind: str):
     return run
 
 
-def _probes(index: MultiIndex, kind: str, sizes: dict[int, int], wanted: int):
-    """The cells that each query looks into: until they hold ``wanted`` vectors."""
+_ASKED_SQL = "block long, part int, lot int, vec_id long, vector binary, cells binary"
+_ASKED = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("part", pa.int32()),
+        ("lot", pa.int32()),
+        ("vec_id", pa.int64()),
+        ("vector", pa.binary()),
+        ("cells", pa.binary()),
+    ]
+)
+
+
+def _block_of(cell, blocks: int):
+    """The block of a cell, for numbers and for columns."""
+    return cell * 2_654_435_761 % blocks
+
+
+def _probes(index: MultiIndex, kind: str, sizes: dict[int, int], wanted: int, blocks: int, lots: int):
+    """For each query the cells to look into, until they hold ``wanted`` vectors, by block."""
 
     def run(batches):
         def rows():
             for _, vec_id, raw in python_rows(batches):
                 met = 0
+                found: dict[tuple[int, int], list[int]] = {}
                 for cell in index.walk(_unit(np.frombuffer(raw, kind).astype(np.float64)[None, :])[0]):
                     size = sizes.get(cell)
                     if size:
-                        yield cell, vec_id, raw
+                        if size > BLOCK_VECTORS:
+                            for part in range(-(-size // BLOCK_VECTORS)):
+                                found[-1 - cell, part] = [cell]
+                        else:
+                            found.setdefault((_block_of(cell, blocks), 0), []).append(cell)
                         met += size
                         if met >= wanted:
                             break
+                lot = xxhash.xxh3_64_intdigest(b"%d" % vec_id) % lots
+                for (block, part), cells in found.items():
+                    yield block, part, lot, vec_id, raw, np.array(sorted(cells), np.int64).tobytes()
 
-        return in_batches(_ENTRY, rows(), 500)
+        return in_batches(_ASKED, rows(), 500)
 
     return run
 
@@ -153,10 +182,13 @@ def _cosines(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
 _FOUND_SQL = "query_id long, vec_id long, score double"
 
 
-def _block_nearest(ids, vectors, query_ids, queries, top: int):
-    """(query's place, entry's place, score) of the ``top`` nearest entries of each query."""
+def _block_nearest(ids, vectors, query_ids, queries, open_to, top: int):
+    """(query's place, entry's place, score) of the ``top`` nearest entries of each query.
+
+    ``open_to`` tells which entries are in cells that the query looks into.
+    """
     rough = _unit(queries) @ _unit(vectors).T
-    rough[query_ids[:, None] == ids[None, :]] = -np.inf
+    rough[(query_ids[:, None] == ids[None, :]) | ~open_to] = -np.inf
     least = np.full(len(queries), -2.0)
     if rough.shape[1] > top:
         least = np.maximum(least, np.partition(rough, -top, axis=1)[:, -top] - 1e-9)
@@ -187,10 +219,15 @@ def _rerank(top: int, kind: str):
         vectors = np.frombuffer(b"".join(entries["vector"]), kind).reshape(len(ids), -1).astype(np.float64)
         asked = queries["vec_id"].to_numpy(np.int64)
         wanted = np.frombuffer(b"".join(queries["vector"]), kind).reshape(len(asked), -1).astype(np.float64)
+        cells, cell_of = np.unique(entries["cell"].to_numpy(np.int64), return_inverse=True)
+        looks = np.zeros((len(asked), len(cells)), bool)
+        for i, raw in enumerate(queries["cells"]):
+            looks[i, np.searchsorted(cells, np.frombuffer(raw, np.int64))] = True
         found = []
-        for start in range(0, len(asked), 500):
-            part = slice(start, start + 500)
-            for q, e, score in _block_nearest(ids, vectors, asked[part], wanted[part], top):
+        for start in range(0, len(asked), 250):
+            part = slice(start, start + 250)
+            open_to = looks[part][:, cell_of]
+            for q, e, score in _block_nearest(ids, vectors, asked[part], wanted[part], open_to, top):
                 found.append(pd.DataFrame({"query_id": asked[part][q], "vec_id": ids[e], "score": score}))
         return pd.concat(found) if found else pd.DataFrame({n: np.empty(0) for n in names})
 
@@ -217,8 +254,8 @@ def nearest(
     an id are one query, are not candidates of it, and each a candidate of
     others. Without valid vectors the result is empty.
 
-    A query's cells are joined with their entries block by block: large cells are
-    split, so are the queries of a cell, and a block gives ``top`` rows a query.
+    Cells are gathered in blocks of bounded size, large cells are split, and so
+    are the queries; each block gives a query that looks into it ``top`` rows.
     """
     spark = vectors.sparkSession
     # Single-precision vectors travel as they are; nothing is lost.
@@ -234,7 +271,7 @@ def nearest(
         & F.exists("vector", lambda x: x != 0)
     )
     total = good.count()
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRAIN_VECTORS).select("vec_id", "vector").collect()
+    sample = hash_sample(good, ["vec_id"], TRAIN_VECTORS, 5).select("vec_id", "vector").collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = len(min(sample)["vector"])
@@ -243,29 +280,29 @@ def nearest(
     index = MultiIndex(points, k)
     entries = staged(good.select("vec_id", "vector").mapInArrow(_entries(index, kind), _ENTRY_SQL), "cells")
     queries = good.filter("is_query").select("vec_id", "vector").dropDuplicates(["vec_id"])
-    queries = queries.mapInArrow(_entries(index, kind), _ENTRY_SQL)
+    queries = staged(queries.mapInArrow(_entries(index, kind), _ENTRY_SQL), "queries")
     # At most MOST_CENTROIDS squared rows, whatever the number of vectors.
     sizes = {row["cell"]: row["n"] for row in entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     wanted = max(probe_least, int(probe_share * total))
-    probes = staged(queries.mapInArrow(_probes(index, kind, sizes, wanted), _ENTRY_SQL), "probes")
-
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
-        n = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
-        return n
-
-    split = blocks(entries, "parts").join(blocks(probes, "lots"), "cell")
-    part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-    lot = F.pmod(F.xxhash64("vec_id"), F.col("lots")).cast("int")
-    own = entries.join(split, "cell").withColumn("part", part)
-    own = own.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
-    asked = probes.join(split, "cell").withColumn("lot", lot)
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    key, columns = ["cell", "part", "lot"], ["vec_id", "vector"]
+    blocks = max(1, -(-total // BLOCK_VECTORS))
+    lots = max(1, -(-queries.count() // BLOCK_QUERIES))
+    asked = queries.mapInArrow(_probes(index, kind, sizes, wanted, blocks, lots), _ASKED_SQL)
+    large = [(c, -(-n // BLOCK_VECTORS)) for c, n in sizes.items() if n > BLOCK_VECTORS]
+    large = F.broadcast(spark.createDataFrame(large, "cell long, parts int"))
+    own = (
+        entries.join(large, "cell", "left")
+        .withColumns(
+            {
+                "block": F.when(F.col("parts").isNull(), _block_of(F.col("cell"), blocks)).otherwise(-1 - F.col("cell")),
+                "part": F.coalesce(F.pmod(F.xxhash64("vec_id"), F.col("parts")), F.lit(0)).cast("int"),
+                "lot": F.explode(F.sequence(F.lit(0), F.lit(lots - 1))),
+            }
+        )
+        .select("block", "part", "lot", "cell", "vec_id", "vector")
+    )
+    key = ["block", "part", "lot"]
     found = (
-        own.select(*key, *columns)
-        .groupBy(*key)
-        .cogroup(asked.select(*key, *columns).groupBy(*key))
-        .applyInPandas(_rerank(top, kind), _FOUND_SQL)
+        own.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_rerank(top, kind), _FOUND_SQL)
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
