@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import in_batches, python_rows
+from headway.llm.common import hash_sample, in_batches, python_rows
 
 #: n-grams are hashed to so many features.
 BUCKETS = 1 << 15
@@ -162,8 +162,8 @@ def train(
     """Learn from the documents that meet ``learn`` and have a language and a letter.
 
     Inverse document frequencies are of all of them. The weights are fitted on a
-    sample, ``train_docs`` first in hash order of the id. Without any such
-    document the model knows no language.
+    sample, ``train_docs`` first in hash order. Without any such document the
+    model knows no language.
     """
     texts = docs.filter(learn).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
@@ -176,10 +176,11 @@ def train(
         docs_with[row["feature"]] = row["docs"]
     total = docs_with[BUCKETS]
     idf = np.log((1 + total) / (1 + docs_with[:BUCKETS])) + 1
-    order = F.xxhash64("id", F.lit(6))
-    sample = (
-        texts.filter(F.octet_length("text") <= TRAIN_BYTES).orderBy(order, "id", "lang").limit(train_docs)
-    ).collect()
+    short = texts.filter(F.octet_length("text") <= TRAIN_BYTES).withColumn("key", F.xxhash64("id", "lang", "text"))
+    chosen = hash_sample(short.select("key"), ["key"], train_docs, 6)
+    # At most train_docs keys; rows that repeat whole are drawn together, so they are made one.
+    sample = short.join(F.broadcast(chosen.distinct()), "key", "left_semi").dropDuplicates(["key"])
+    sample = sorted(sample.select("text", "lang").collect())
     sample = [(row["text"], row["lang"]) for row in sample if has_letter(row["text"])]
     languages = sorted({lang for _, lang in sample})
     number = {lang: i for i, lang in enumerate(languages)}
