@@ -61,10 +61,10 @@ def test_toxicity_takes_odd_and_empty_tables(spark):
 
 
 def test_noisy_or_is_one_less_the_product():
-    logits = [-3.0, 0.5, -800.0, 2.0]
+    logits = [-3.0, 0.5, -300.0, 2.0]
     product = math.prod(1 - 1 / (1 + math.exp(-z)) for z in logits)
     assert toxicity.noisy_or(logits) == pytest.approx(1 - product)
-    assert toxicity.noisy_or([]) == 0 and toxicity.noisy_or([900.0]) == 1
+    assert toxicity.noisy_or([]) == 0 and toxicity.noisy_or([900.0]) == 1 and toxicity.noisy_or([-900.0]) == 0
 
 
 # Language
@@ -213,7 +213,7 @@ def test_base_scores_equal_brute_force(spark):
 def test_contexts_help_where_they_tell_and_not_where_they_do_not(spark):
     rng = random.Random(9)
     rows = [r for r in lm_rows(spark, [chain_text(rng, 150) for _ in range(80)]) if r.held_out]
-    assert sum(r.score for r in rows) > 0.85 * sum(r.base_score for r in rows)
+    assert sum(r.score for r in rows) > 0.9 * sum(r.base_score for r in rows)
     flat = [r for r in lm_rows(spark, [" ".join(rng.choice("abcd") for _ in range(150)) for _ in range(80)]) if r.held_out]
     assert sum(r.score for r in flat) == pytest.approx(sum(r.base_score for r in flat), rel=0.01)
 
@@ -227,7 +227,7 @@ def test_next_symbols_sum_to_one(spark):
         count.update(suffix_tree_lm.tokens(t.encode()))
     n, v = sum(count.values()), len(count)
     counts = frame(spark, [(suffix_tree_lm.word_hash(w), c) for w, c in count.items()], "hash long, c long")
-    tree = suffix_tree_lm.grow(docs, counts, n)
+    tree = suffix_tree_lm.grow(docs, counts, n, v)
     assert int(tree.level.max()) >= 2
     for before in ("a", "a b", "b c b", "d d a b", "x a b", "x"):
         given = [tree.symbols.get(suffix_tree_lm.word_hash(w.encode()), -1) for w in before.split()]
