@@ -199,13 +199,15 @@ def _anchor_hashes(window: int, anchor: int):
 
 
 def _one_row_each(batches):
-    schema = pa.schema([("hash", pa.int64()), ("doc_key", pa.int64())])
+    """A row per document and different hash, with how often the document has it."""
+    schema = pa.schema([("hash", pa.int64()), ("doc_key", pa.int64()), ("own", pa.int64())])
     for one in batches:
         for start in range(0, one.num_rows, 200):
             keys, raw = (c.to_pylist() for c in one.slice(start, 200).columns)
-            hashes = [np.frombuffer(x, np.int64) for x in raw]
+            counted = [np.unique(np.frombuffer(x, np.int64), return_counts=True) for x in raw]
+            owners = np.repeat(np.array(keys, np.int64), [len(x) for x, _ in counted])
             yield batch(
-                schema, [np.concatenate(hashes), np.repeat(np.array(keys, np.int64), [len(x) for x in hashes])]
+                schema, [np.concatenate([x for x, _ in counted]), owners, np.concatenate([n for _, n in counted])]
             )
 
 
@@ -298,15 +300,18 @@ def _repeats(window: int):
 
 
 def repeated_spans(docs: DataFrame, window: int, anchor: int, chunk: int) -> tuple[DataFrame, DataFrame]:
-    """The documents (``_DOC_SQL``) and spans (doc_key, first, last) that repeat elsewhere.
+    """The documents (``_DOC_SQL`` without hashes) and the spans that repeat elsewhere, both staged.
 
-    ``docs``: doc_id, doc_key, text. Spans may overlap.
+    ``docs``: doc_id, doc_key, text. Of a document (doc_key) the spans are an
+    array of (first, last), which may overlap.
     """
     shape = _anchor_hashes(window, anchor)
     described = staged(docs.mapInArrow(shape, _DOC_SQL), "anchors")
-    hashes = described.select("doc_key", "hashes").mapInArrow(_one_row_each, "hash long, doc_key long")
-    counts = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = staged(hashes.join(counts, "hash").distinct(), "repeated")
+    hashes = described.select("doc_key", "hashes").mapInArrow(_one_row_each, "hash long, doc_key long, own long")
+    counts = hashes.groupBy("hash").agg(F.sum("own").alias("n")).filter("n > 1")
+    repeated = staged(hashes.join(counts, "hash").select("hash", "doc_key", "n"), "repeated")
+    plain = staged(described.drop("hashes"), "described")
+    release(described)
     per_doc = repeated.groupBy("doc_key").agg(F.collect_list(F.struct("hash", "n")).alias("repeated"))
     texts = docs.select("doc_key", "text").join(per_doc, "doc_key")
     places = texts.mapInArrow(_occurrences(window, anchor, chunk), _PLACE_SQL)
@@ -316,8 +321,11 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int, chunk: int) -> tup
     windows = found.filter("window IS NOT NULL")
     again = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     across = windows.join(again, "window", "left_semi")
-    spans = found.filter("window IS NULL").unionByName(across).select("doc_key", "first", "last")
-    return described, spans
+    spans = found.filter("window IS NULL").unionByName(across).select("doc_key", "first", "last").distinct()
+    per_doc = spans.groupBy("doc_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    per_doc = staged(per_doc, "doc-spans")
+    release(found)
+    return plain, per_doc
 
 
 def merge_spans(first: list[int], last: list[int]) -> list[tuple[int, int]]:
@@ -417,12 +425,11 @@ def suffix_dedup(
     in a chunk are then counted across its chunks, a row per chunk.
     """
     plain = keyed(docs, id_col, text_col)
-    described, spans = repeated_spans(plain, window, anchor, chunk)
-    per_doc = spans.distinct().groupBy("doc_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    described, per_doc = repeated_spans(plain, window, anchor, chunk)
     texts = plain.select("doc_key", "text")
     removed = staged(texts.join(per_doc, "doc_key").mapInArrow(_cut_rows(with_text), _CUT_SQL), "cut")
     removed = removed.dropDuplicates(["doc_key"])
-    result = described.drop("hashes").join(removed, "doc_key", "left")
+    result = described.join(removed, "doc_key", "left")
     columns = [
         "doc_id",
         "doc_key",
