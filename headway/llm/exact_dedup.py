@@ -192,6 +192,8 @@ def exact_dedup(
     contents = local.filter("content IS NOT NULL").select(*_GROUPS.names)
     groups = exact_groups(contents, table_bytes)
     members = local.filter("content IS NULL").select("doc_id", "text_key", "text_sha256", "chars")
+    members = staged(members, "exact-members")
+    release(local)
     marked = members.join(groups, "text_sha256")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
     same = Window.partitionBy("text_sha256", "text_key").orderBy("chars")
