@@ -12,10 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import in_batches, python_rows
+from headway.llm.common import hash_sample, in_batches, python_rows
 
 #: Labelled documents the model is fitted on, per label at most.
-TRAIN_DOCS = 2500
+TRAIN_DOCS = 1500
 #: Longer documents are left out of the fit (never of the scoring).
 TRAIN_BYTES = 40_000
 #: A feature must occur in so many of these documents.
@@ -101,12 +101,12 @@ def fit(texts: list[str], labels: list[int]) -> ToxicityModel:
 
     Full-batch AdaGrad with an L1 proximal step. Each distinct word's features
     are held once; sentences are lists of words, documents lists of sentences.
-    Without both labels the model scores every sentence alike, by the base rate.
+    Without documents of both labels nothing can be told apart, and no sentence
+    offends.
     """
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
-        rate = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        return ToxicityModel(math.log(rate / (1 - rate)), {})
+        return ToxicityModel(-30.0, {})
     vocabulary: dict[str, int] = {}
     word_at: list[int] = []
     sentence_of: list[int] = []
@@ -177,12 +177,13 @@ def train(
     texts = docs.filter(learn).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     texts = texts.filter(F.octet_length("_text") <= train_bytes)
     sample = []
-    order = F.xxhash64("_id", F.lit(7))
     for label in (0, 1):
-        ids = marks.filter(F.col("_label") == label).select("_id").join(texts.select("_id"), "_id")
-        ids = ids.orderBy(order, "_id").limit(train_docs).distinct()
-        rows = texts.join(F.broadcast(ids), "_id").select("_text").collect()
-        sample += [(row[0], label) for row in rows]
+        # A document is named by id and text, so that one is drawn and not all that share an id.
+        named = texts.withColumn("_key", F.xxhash64("_id", "_text"))
+        labelled = named.select("_id", "_key").join(marks.filter(F.col("_label") == label), "_id")
+        keys = hash_sample(labelled.select("_key"), ["_key"], train_docs, 7).distinct()
+        rows = named.join(F.broadcast(keys), "_key", "left_semi").dropDuplicates(["_key"])
+        sample += [(row["_text"], label) for row in rows.select("_text").collect()]
     sample.sort()
     return fit([s[0] for s in sample], [s[1] for s in sample])
 
