@@ -218,6 +218,14 @@ def test_contexts_help_where_they_tell_and_not_where_they_do_not(spark):
     assert sum(r.score for r in flat) == pytest.approx(sum(r.base_score for r in flat), rel=0.01)
 
 
+def test_a_next_word_of_a_hundredth_counts_by_itself(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"a {'r' if rng.random() < 0.01 else 'x'} {rng.choice('bcdefgh')}" for _ in range(100)) for _ in range(60)]
+    docs = documents(spark, [*texts, "a r b"])
+    rows = suffix_tree_lm.score(docs, F.col("doc_id") == len(texts) + 1).filter("held_out").collect()
+    assert [r.score > r.base_score for r in rows] == [True]
+
+
 def test_next_symbols_sum_to_one(spark):
     rng = random.Random(2)
     texts = [chain_text(rng, 200) for _ in range(30)]
