@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,12 @@ BUCKETS = 1 << 15
 SIZES = (1, 2, 3)
 #: Labelled documents that the weights are fitted on (the frequencies are of all of them).
 TRAIN_DOCS = 6000
-#: Longer documents are left out of the fit (never of frequencies or predictions).
+#: The fit reads so much of a longer document, from its first letter on (frequencies and predictions read all).
 TRAIN_BYTES = 20_000
+#: Every language has up to so many documents in the fit, however rare it is.
+LANGUAGE_DOCS = 32
+_KEY_BITS = 62
+_KEY = (1 << _KEY_BITS) - 1
 #: A tenth of the sample calibrates the temperature.
 _CALIBRATE_EVERY = 10
 _ALPHA, _BETA, _L1, _L2 = 0.5, 1.0, 0.02, 0.02
@@ -140,15 +145,55 @@ def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((low + high) / 2)
 
 
-def _document_frequencies(batches):
+def opening(text: str) -> str:
+    """At most TRAIN_BYTES of a text with a letter, from the first letter on if it is longer."""
+    if len(text.encode("utf-8", "replace")) <= TRAIN_BYTES:
+        return text
+    first = next(i for i, c in enumerate(text) if c.isalpha())
+    return text[first : first + TRAIN_BYTES].encode("utf-8", "replace")[:TRAIN_BYTES].decode("utf-8", "ignore")
+
+
+_SEEN_SQL = "lang string, feature long, docs long, first long"
+_SEEN = pa.schema([("lang", pa.string()), ("feature", pa.int64()), ("docs", pa.int64()), ("first", pa.int64())])
+
+
+def _seen(batches):
+    """How many documents have a feature (no lang), and the first document of each slot of a language.
+
+    A language's documents with a letter are dealt to LANGUAGE_DOCS slots by
+    their keys; first are the shorter ones, then the smallest keys.
+    """
     counts = np.zeros(BUCKETS + 1, np.int64)
-    for (text,) in python_rows(batches):
-        found, _ = ngram_counts(text or "")
+    first: dict[tuple[str, int], int] = {}
+    for text, lang, key, is_long in python_rows(batches):
+        found, _ = ngram_counts(text)
         counts[found] += 1
         counts[BUCKETS] += 1
-    schema = pa.schema([("feature", pa.int64()), ("docs", pa.int64())])
+        slot, code = (lang, key % LANGUAGE_DOCS), key | is_long << _KEY_BITS
+        if code < first.get(slot, 1 << 63) and has_letter(text):
+            first[slot] = code
     found = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], schema=schema)
+    features = ((None, feature, n, None) for feature, n in zip(found.tolist(), counts[found].tolist()))
+    slots = ((lang, slot, None, code) for (lang, slot), code in first.items())
+    yield from in_batches(_SEEN, chain(features, slots), 10_000)
+
+
+_SAMPLE = pa.schema([("text", pa.string()), ("lang", pa.string())])
+
+
+def _openings(batches):
+    rows = ((opening(text), lang) for text, lang in python_rows(batches) if has_letter(text))
+    return in_batches(_SAMPLE, rows, 100)
+
+
+def _split(examples: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Every tenth to calibrate, the others to fit; the first of each language is fitted."""
+    held, fitted, met = [], [], set()
+    for i, example in enumerate(examples):
+        label = example[2]
+        (fitted if i % _CALIBRATE_EVERY or label not in met else held).append(example)
+        met.add(label)
+    return held, fitted
 
 
 def train(
@@ -161,35 +206,41 @@ def train(
 ) -> LanguageModel:
     """Learn from the documents that meet ``learn`` and have a language and a letter.
 
-    Inverse document frequencies are of all of them. The weights are fitted on a
-    sample, ``train_docs`` first in hash order. Without any such document the
-    model knows no language.
+    Inverse document frequencies are of all of them, and so are the languages.
+    The weights are fitted on a sample, ``train_docs`` first in hash order and up
+    to LANGUAGE_DOCS more of each language, so none is without; of a long text on
+    its first TRAIN_BYTES. What reaches the driver grows with the number of
+    languages alone. Without any such document the model knows no language.
     """
     texts = docs.filter(learn).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
     )
     texts = texts.filter("lang IS NOT NULL AND text IS NOT NULL")
-    seen = texts.select("text").mapInArrow(_document_frequencies, "feature long, docs long")
-    found = seen.groupBy("feature").agg(F.sum("docs").alias("docs")).collect()  # BUCKETS + 1 rows at most
+    texts = texts.withColumn("key", F.xxhash64("id", "lang", "text").bitwiseAND(F.lit(_KEY)))
+    is_long = (F.octet_length("text") > TRAIN_BYTES).cast("int")
+    seen = texts.select("text", "lang", "key", is_long).mapInArrow(_seen, _SEEN_SQL).groupBy("lang", "feature")
+    # BUCKETS + 1 rows at most, and LANGUAGE_DOCS for each language.
+    found = seen.agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).collect()
     docs_with = np.zeros(BUCKETS + 1)
     for row in found:
-        docs_with[row["feature"]] = row["docs"]
+        if row["lang"] is None:
+            docs_with[row["feature"]] = row["docs"]
     total = docs_with[BUCKETS]
     idf = np.log((1 + total) / (1 + docs_with[:BUCKETS])) + 1
-    short = texts.filter(F.octet_length("text") <= TRAIN_BYTES).withColumn("key", F.xxhash64("id", "lang", "text"))
-    chosen = hash_sample(short.select("key"), ["key"], train_docs, 6)
-    # At most train_docs keys; rows that repeat whole are drawn together, so they are made one.
-    sample = short.join(F.broadcast(chosen.distinct()), "key", "left_semi").dropDuplicates(["key"])
-    sample = sorted(sample.select("text", "lang").collect())
-    sample = [(row["text"], row["lang"]) for row in sample if has_letter(row["text"])]
+    firsts = [(row["first"] & _KEY,) for row in found if row["lang"] is not None]
+    chosen = hash_sample(texts.select("key"), ["key"], train_docs, 6)
+    chosen = chosen.unionByName(docs.sparkSession.createDataFrame(firsts, "key long"))
+    # Rows that repeat whole are drawn together, so they are made one.
+    sample = texts.join(F.broadcast(chosen.distinct()), "key", "left_semi").dropDuplicates(["key"])
+    sample = sample.select("text", "lang").mapInArrow(_openings, "text string, lang string")
+    sample = sorted((row["text"], row["lang"]) for row in sample.collect())
     languages = sorted({lang for _, lang in sample})
     number = {lang: i for i, lang in enumerate(languages)}
     model = LanguageModel(languages, idf, np.zeros((BUCKETS, len(languages))), np.zeros(len(languages)), 1.0)
     if not sample:
         return model
     examples = [(*model.vector(text), number[lang]) for text, lang in sample]
-    held = examples[::_CALIBRATE_EVERY] if len(examples) >= 10 * _CALIBRATE_EVERY else []
-    fitted = [x for i, x in enumerate(examples) if not held or i % _CALIBRATE_EVERY]
+    held, fitted = _split(examples) if len(examples) >= 10 * _CALIBRATE_EVERY else ([], examples)
     model.weights, model.bias = follow_the_regularised_leader(fitted, BUCKETS, len(languages))
     if held:
         logits = np.array([value @ model.weights[found] + model.bias for found, value, _ in held])

@@ -91,6 +91,24 @@ def test_languages_are_told_apart_and_scores_calibrated(spark):
     assert language.train(nothing, ~held).predict("text") == ("und", 0.0)
 
 
+def test_rare_languages_and_those_of_long_texts_are_learnt(spark):
+    rng = random.Random(5)
+    rows = [(i, spoken(rng, "aa", 20), "aa", "s", 0) for i in range(1500)]
+    rows += [(2000 + i, spoken(rng, "bb", 20), "bb", "s", 0) for i in range(3)]
+    rows += [(3000 + i, "1 " * 11_000 + spoken(rng, "cc", 5000), "cc", "s", 0) for i in range(40)]
+    rows += [(4000, "zyx wvut", "dd", "s", 0)] * 300 + [(5000, "12 34", "ee", "s", 0)]
+    model = language.train(frame(spark, rows), F.lit(True), train_docs=60)
+    assert model.languages == ["aa", "bb", "cc", "dd"]
+    assert (model.weights != 0).any(axis=0).all()
+    assert [model.predict(spoken(rng, lang, 60))[0] for lang in sorted(SYLLABLES)] == ["aa", "bb", "cc"]
+
+
+def test_an_opening_has_a_letter_and_is_bounded():
+    assert language.opening("1 \u00e9") == "1 \u00e9"
+    own = language.opening("1 " * 30_000 + "\u00e9a" * 30_000)
+    assert own.startswith("\u00e9a") and language.TRAIN_BYTES - 3 < len(own.encode()) <= language.TRAIN_BYTES
+
+
 def test_ngram_counts_are_whole(monkeypatch):
     text = prose(3, 400)
     found, counts = language.ngram_counts(text)
