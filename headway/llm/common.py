@@ -95,6 +95,18 @@ def python_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in one.columns))
 
 
+def slices(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in slices of about ``size`` bytes, cut at spaces; a longer word stays whole."""
+    at = 0
+    while len(text) - at > size:
+        cut = text.find(b" ", at + size)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:] if at else text
+
+
 def matching(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``chosen`` (doc_id, text_key) names, each once, with all columns."""
     names = docs.columns

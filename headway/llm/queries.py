@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import language, suffix_tree_lm, toxicity
+from headway.llm import language, suffix_tree_lm, toxicity, wu_manber
 from headway.llm.byte_bpe import encode_documents
 from headway.llm.chat import format_conversations, read_back
 from headway.llm.common import read_table, remainder
@@ -152,3 +152,57 @@ def _(spark, sf_dir):
     trap = spark.createDataFrame([(-7, 0, "user", _TRAP), (-7, 1, "assistant", _TRAP)], rows.schema)
     formatted = format_conversations(rows.unionByName(trap), public_tokenizers.path("byte_bpe_50k.json"))
     return read_back(formatted)
+
+
+@_query("op12_wu_manber")
+def _(spark, sf_dir):
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = wu_manber.decontaminate(docs, benchmark).withColumn("n_hit", wu_manber.hit_words())
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op12_wu_manber"] = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ),
+    i AS (
+        SELECT coalesce(item_id::VARCHAR, '') AS item,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark
+    ),
+    s AS (
+        SELECT DISTINCT item, least(len(words), 10) AS size,
+               array_to_string(words[p : p + least(len(words), 10) - 1], ' ') AS string
+        FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS p
+              FROM i WHERE len(words) > 0)
+    ),
+    w AS (
+        SELECT row, size, p, array_to_string(words[p : p + size - 1], ' ') AS string
+        FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS p
+              FROM d, (SELECT DISTINCT size FROM s) WHERE len(words) >= size)
+    ),
+    f AS (SELECT row, item, p, w.size FROM w JOIN s ON w.size = s.size AND w.string = s.string),
+    h AS (
+        SELECT row, count(DISTINCT word) AS n_hit
+        FROM (SELECT row, unnest(range(p, p + size)) AS word FROM f) GROUP BY row
+    ),
+    o AS (
+        SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT row, item FROM f) GROUP BY row
+    )
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h USING (row) LEFT JOIN o USING (row)
+"""
