@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import language, suffix_tree_lm, toxicity, wu_manber
+from headway.llm import conversation_repair, language, suffix_tree_lm, toxicity, wu_manber
 from headway.llm.byte_bpe import encode_documents
 from headway.llm.chat import format_conversations, read_back
 from headway.llm.common import read_table, remainder
@@ -206,3 +207,144 @@ ORACLE["op12_wu_manber"] = r"""
            coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN h USING (row) LEFT JOIN o USING (row)
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that a repair has to find, chosen by a hash of id and turn."""
+    space = F.lit(" ")
+    conv, turn = (F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn"))
+    key = F.concat(conv, F.lit(":"), turn)
+    harm = F.pmod(F.crc32(key.cast("binary")), F.lit(20))
+    role, text = (F.coalesce(name, space) for name in ("role", "text"))
+    return (
+        rows.withColumn("harm", harm)
+        .filter("harm != 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("harm") == 4, "user").otherwise(role).alias("role"),
+            F.when(F.col("harm") == 1, "")
+            .when(F.col("harm") == 2, F.translate(text, ".!?", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.array_repeat(F.lit(1), F.when(F.col("harm") == 3, 2).otherwise(1))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+@_query("op13_conversation_repair")
+def _(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    harmed = damaged(rows)
+    found = conversation_repair.summaries(conversation_repair.repair(harmed))
+    names = [name for name in found.columns if name != "conv_id"]
+    ids = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    known = conversation_repair.gaps(harmed).withColumnRenamed("conv_id", "gaps_id")
+    found = found.withColumnRenamed("conv_id", "found_id")
+    nothing = {n: 0 for n in ("gaps", *names[:-2])} | {"audit": "", "repaired_sha256": _SHA_OF_NOTHING}
+    return (
+        ids.join(known, F.col("conv_id").eqNullSafe(F.col("gaps_id")), "left")
+        .join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+        .select("conv_id", "gaps", *names)
+        .fillna(nothing, [*nothing])
+    )
+
+
+_SHA_OF_NOTHING = hashlib.sha256(b"").hexdigest()
+
+#: crc32 of an ASCII text, bit by bit.
+_CRC32 = """
+    xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: unicode(c)::BIGINT)),
+        lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0],
+                                   lambda x, y: xor(x // 2, 3988292384 * (x % 2)))))"""
+
+_BEST = "list_sort(list_filter([{options}], lambda x: x IS NOT NULL))[1]"
+
+
+def _move(state: str, cost: str, letter: str, said: str) -> str:
+    text = f"list_append({state}.t, {said})" if said else f"{state}.t"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}} END"
+
+
+def _repair_sql() -> str:
+    """The search as a recursive query: the best way into each of the four states, row by row."""
+    best = lambda *options: _BEST.format(options=", ".join(options))
+    gone = "r.fault IN ('blank', 'duplicate')"
+    cut = "CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END"
+    live = lambda option: f"CASE WHEN NOT coalesce({gone}, false) THEN {option} END"
+    kept = lambda initial, option: f"CASE WHEN left(r.role, 1) = '{initial}' AND NOT coalesce({gone}, false) THEN {option} END"
+    stay = [_move(f"s{n}", "2", "D", "") for n in range(4)]
+    said = "r.role || ':' || r.text"
+    into = {
+        0: [stay[0]],
+        1: [stay[1], kept("s", _move("s0", cut, "K", said))],
+        2: [stay[2]],
+        3: [stay[3], kept("a", _move("s2", cut, "K", said)), live(_move("s2", f"1 + {cut}", "R", "'assistant:' || r.text"))],
+    }
+    for n in (0, 1, 3):
+        into[2] += [kept("u", _move(f"s{n}", cut, "K", said)), live(_move(f"s{n}", f"1 + {cut}", "R", "'user:' || r.text"))]
+    rows = ", ".join(f"{best(*into[n])} AS s{n}" for n in range(4))
+
+    def closed(source: str) -> str:
+        users = [_move(f"s{n}", "5", "I", "'user:'") for n in (0, 1, 3)]
+        return f"""
+            SELECT conv, i, s0, s1, u AS s2, {best("s3", _move("u", "5", "I", "'assistant:'"))} AS s3
+            FROM (SELECT *, {best("s2", *users)} AS u FROM (
+                SELECT * REPLACE ({best("s3", _move("s2", "5", "I", "'assistant:'"))} AS s3) FROM ({source})))"""
+
+    start = "{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}"
+    none = "NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+    first = f"SELECT conv, 0::BIGINT AS i, {start} AS s0, {none} AS s1, {none} AS s2, {none} AS s3 FROM ids"
+    step = f"SELECT r.conv, r.i, {rows} FROM way JOIN r ON r.conv = way.conv AND r.i = way.i + 1"
+    return rf"""
+    WITH RECURSIVE ids AS (SELECT row_number() OVER () AS conv, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+    h AS (
+        SELECT i.conv, c.turn, coalesce(c.role, ' ') AS role, coalesce(c.text, ' ') AS text,
+               {_CRC32.format(text="coalesce(c.conv_id::VARCHAR, ' ') || ':' || coalesce(c.turn::VARCHAR, ' ')")} % 20 AS harm
+        FROM conversations c JOIN ids i ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+    ),
+    d AS (
+        SELECT conv, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+               CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM h, range(2) AS twice(n) WHERE harm != 0 AND (n = 0 OR harm = 3)
+    ),
+    o AS (
+        SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i,
+               regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last
+        FROM d
+    ),
+    r AS (
+        SELECT *, left(lag(role) OVER (PARTITION BY conv ORDER BY i), 1) || left(role, 1) AS pair,
+               CASE WHEN last = '' THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+                    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+        FROM o
+    ),
+    way AS (
+        {closed(first)}
+        UNION ALL
+        {closed(step)}
+    ),
+    ended AS (
+        SELECT conv, {best("s0", "s3")} AS e FROM way
+        WHERE i = (SELECT count(*) FROM r WHERE r.conv = way.conv)
+    ),
+    f AS (
+        SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM r GROUP BY conv
+    )
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.c AS cost, e.a AS audit,
+           sha256(array_to_string(e.t, chr(10))) AS repaired_sha256
+    FROM ids JOIN ended USING (conv) LEFT JOIN f USING (conv)
+    """
+
+
+ORACLE["op13_conversation_repair"] = _repair_sql()
