@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import conversation_repair, language, suffix_tree_lm, toxicity, wu_manber
+from headway.llm import collocations, conversation_repair, language, suffix_tree_lm, toxicity, wu_manber
 from headway.llm.byte_bpe import encode_documents
 from headway.llm.chat import format_conversations, read_back
 from headway.llm.common import read_table, remainder
@@ -348,3 +348,54 @@ def _repair_sql() -> str:
 
 
 ORACLE["op13_conversation_repair"] = _repair_sql()
+
+
+@_query("op11_collocations")
+def _(spark, sf_dir):
+    found = collocations.collocations(read_table(spark, sf_dir, "documents"))
+    columns = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return collocations.strongest(found, 2000).select(*columns)
+
+
+ORACLE["op11_collocations"] = r"""
+    WITH w AS (
+        SELECT piece, lang, regexp_extract_all(part, '[^\x20\x09]+') AS words FROM (
+            SELECT row_number() OVER () AS piece, lang, part FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[.,;:!?\x0A-\x0D]')) AS part
+                FROM documents))
+    ),
+    n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+    f AS (
+        SELECT lang, k, words[p : p + k - 1] AS words, count(*) AS f
+        FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS p
+              FROM w, range(1, 6) AS lengths(k) WHERE len(words) >= k)
+        GROUP BY ALL HAVING f >= 100
+    ),
+    c AS (
+        SELECT f.lang, f.words, f.k, f.f AS a, l.f AS l, r.f AS r, n, cut,
+               (1000::HUGEINT * f.f * n) // (l.f::HUGEINT * r.f) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k >= 2) f
+        JOIN n ON n.lang = f.lang
+        JOIN f l ON l.lang = f.lang AND l.words = f.words[1 : cut]
+        JOIN f r ON r.lang = f.lang AND r.words = f.words[cut + 1 : f.k]
+    ),
+    best AS (
+        SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+    ),
+    inside AS (
+        SELECT DISTINCT lang, f AS longer, words[p : p + size - 1] AS words
+        FROM (SELECT *, unnest(range(1, k - size + 2)) AS p
+              FROM (SELECT *, unnest(range(2, k)) AS size FROM f WHERE k >= 3))
+    ),
+    kept AS (
+        SELECT *, array_to_string(words, ' ') AS phrase FROM best b
+        WHERE NOT EXISTS (
+            SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.words = b.words AND 100 * i.longer >= 100 * b.a)
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, n, score::BIGINT AS score
+    FROM kept QUALIFY rank <= 2000
+"""
