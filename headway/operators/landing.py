@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +19,15 @@ from headway.operators.demux import (
     stop_rows,
     vehicle_rows,
 )
-from headway.schemas import INGEST_ERRORS, POLL_LOG, RAW_FEED_FETCHES, project
+from headway.schemas import INGEST_ERRORS, POLL_LOG, RAW_FEED_FETCHES, RAW_TABLES, project
 from headway.session import scratch_dir
-from headway.sources.gtfs_rt import decode_payloads
+from headway.sources.gtfs_rt import PAYLOAD_HASH, decode_payloads, payload_hash
 from headway.sources.store import Batch, Files, commit_once, new_source
 from headway.sources.tables import (
     FOLDERS,
     SNAPSHOT_FOLDERS,
     RawTables,
+    give_up_landed,
     read_batches,
     remove_folder,
     with_snapshot_date,
@@ -39,6 +41,8 @@ DETAILS = {
     "raw_trip_stop_updates": stop_rows,
     "raw_alerts": alert_rows,
 }
+# The tables filed by snapshot, the one first that has a row for each.
+BY_SNAPSHOT = {name: RAW_TABLES[name] for name in ("raw_feed_fetches", *DETAILS)}
 
 
 def quarantine(errors: DataFrame) -> DataFrame:
@@ -106,34 +110,47 @@ def cycle_counters(polls: DataFrame) -> DataFrame:
     return polls.agg(*counts, F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
 
 
-def payload_fingerprint(polls: DataFrame, size: Column) -> str:
+def payload_fingerprint(polls: DataFrame, content: Column) -> str:
     """Tells one batch of payloads from another, whatever the order of its rows."""
-    each = F.xxhash64("path", "feed_key", "fetched_at", F.coalesce(size, F.lit(0)).cast("long"))
+    each = F.xxhash64("path", "feed_key", "fetched_at", content)
     rows = polls.agg(F.count(F.lit(1)), F.sum(each.cast("decimal(38,0)"))).first()
     return f"{rows[0]}:{rows[1]}"
 
 
-def land_batch(payloads: DataFrame, root: str, batch: Batch) -> None:
+def land_batch(
+    payloads: DataFrame, root: str, batch: Batch, before_commit: Callable[[], None] | None = None
+) -> None:
     """Land one batch of payloads under ``root``. Landing it again changes nothing.
 
     A batch is its source's name and a number, so batches of different sources
     never stand in for each other; another batch of the same name is an error.
+    Writers may overlap: before a batch is committed, the snapshots that others
+    have landed since it looked are taken out of it again. ``before_commit`` is
+    called when all is written and nothing committed, to hold a batch open in a drill.
     All tables show the batch at once when its record is written: a crash leaves
     rows that no reader sees.
 
     Messages are decoded once, into a staging table on shared storage, which
     the jobs below read column by column; a lost executor costs a re-read.
     """
+
+    def write(attempt: str) -> tuple[str, list[str]]:
+        written = _write_tables(payloads, root, attempt)
+        if before_commit:
+            before_commit()
+        return written
+
     commit_once(
         payloads.sparkSession,
         root,
         batch,
-        lambda: payload_fingerprint(payloads, F.octet_length("payload")),
-        lambda attempt: _write_tables(payloads, root, attempt),
+        lambda: payload_fingerprint(payloads, payload_hash()),
+        write,
+        lambda attempt, days: give_up_landed(payloads.sparkSession, root, attempt, days, BY_SNAPSHOT),
     )
 
 
-def _write_tables(payloads: DataFrame, root: str, attempt: str) -> str:
+def _write_tables(payloads: DataFrame, root: str, attempt: str) -> tuple[str, list[str]]:
     spark = payloads.sparkSession
     staging = scratch_dir(spark, "landing")
     decoded_path, accepted_path = f"{staging}/decoded", f"{staging}/accepted"
@@ -154,16 +171,17 @@ def _write_tables(payloads: DataFrame, root: str, attempt: str) -> str:
     polls = with_snapshot_date(snapshots).select(
         "fetch_id", "fetched_at", "path", "poll_id", "snapshot_date"
     )
-    landed = landed_on_days_of(polls, root, "raw_feed_fetches", RAW_FEED_FETCHES)
+    days = days_of(polls)
+    landed = read_batches(spark, root, "raw_feed_fetches", RAW_FEED_FETCHES, SNAPSHOT_FOLDERS, days)
     new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.parquet(accepted_path)
     accepted = snapshots.join(spark.read.parquet(accepted_path), "poll_id", "left_semi")
 
     for table, rows_of in (DETAILS | {"raw_feed_fetches": audit_rows}).items():
         rows = with_snapshot_date(rows_of(accepted))
         write_batch(rows, root, table, attempt, SNAPSHOT_FOLDERS)
-    content = payload_fingerprint(decoded, F.col("payload_bytes"))
+    content = payload_fingerprint(decoded, F.col(PAYLOAD_HASH))
     remove_folder(spark, staging)
-    return content
+    return content, days
 
 
 def write_hidden(payloads: DataFrame, root: str) -> str:
@@ -181,16 +199,20 @@ def land_next(payloads: DataFrame, root: str) -> Batch:
     return batch
 
 
+def days_of(dated: DataFrame) -> list[str]:
+    """The days that rows with a ``snapshot_date`` have snapshots of; those of a batch are few."""
+    return sorted(str(row[0]) for row in dated.select("snapshot_date").distinct().collect())
+
+
 def landed_on_days_of(
     polls: DataFrame, root: str, table: str, schema: StructType
 ) -> DataFrame:
     """Snapshots already landed, on the very days ``polls`` has snapshots of.
 
-    An id fixes its day, so other days cannot hold a duplicate. The days of a
-    batch are few; only their folders are listed, however long the table grows.
+    An id fixes its day, so other days cannot hold a duplicate. Only the folders
+    of these days are listed, however long the table grows.
     """
-    days = [str(row[0]) for row in polls.select("snapshot_date").distinct().collect()]
-    return read_batches(polls.sparkSession, root, table, schema, SNAPSHOT_FOLDERS, days)
+    return read_batches(polls.sparkSession, root, table, schema, SNAPSHOT_FOLDERS, days_of(polls))
 
 
 def store_summary(raw: RawTables) -> DataFrame:

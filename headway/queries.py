@@ -34,6 +34,7 @@ from headway.session import prepare, scratch_dir, stored
 from headway.sources import testfeed
 from headway.sources.feeds import select_feeds
 from headway.sources.gtfs_rt import decode_payloads
+from headway.sources.store import Batch, new_source
 from headway.sources.tables import RawTables, poll_audit, read_raw
 from headway.streaming import aggregates, gaps, land
 
@@ -271,6 +272,20 @@ def _(spark, sf_dir):
     return _audit_without_size(read_raw(spark, root))
 
 
+@with_spark("concurrent_landing")
+def _(spark, sf_dir):
+    """A batch of all blocks is held open while every other block is landed and committed."""
+    root = scratch_dir(spark, "land-beside")
+    payloads = _payload_table(spark, sf_dir)
+    block = F.regexp_extract("path", r"^block-(\d+)-", 1).cast("long")
+
+    def meanwhile() -> None:
+        landing.land_next(payloads.filter(block % 2 == 0), root)
+
+    landing.land_batch(payloads, root, Batch(new_source("held"), 0), before_commit=meanwhile)
+    return _audit_without_size(read_raw(spark, root))
+
+
 @with_spark("poll_audit")
 def _(spark, sf_dir):
     good = demux.good_payloads(_split_stored(spark, sf_dir))
@@ -326,9 +341,9 @@ def _(events):
     shape = F.col("event_id") % 8
     origin = F.substring("trip_id", 1, 6)
     trip = (
-        F.when(shape == 0, F.concat(origin, F.lit("_GS.N04R")))
+        F.when(shape == 0, F.concat(origin, F.lit("_FS.N11R")))
         .when(shape == 1, F.concat(origin, F.lit("_7..SOUTH FERRY")))
-        .when(shape == 2, F.concat(origin, F.lit("_7X..S")))
+        .when(shape == 2, F.concat(origin, F.lit("_6X..N")))
         .when(shape == 3, F.concat(origin, F.lit("_1..")))
         .when(shape == 4, F.col("props"))
         .when(shape == 5, F.lit(None))

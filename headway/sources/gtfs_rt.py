@@ -11,7 +11,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -58,6 +59,7 @@ MESSAGES = {
 DEFAULTS = {("VehiclePosition", "current_status"): "2"}
 
 PARSE_ERROR = "FeedParseError"
+PAYLOAD_HASH = "payload_sha256"
 _EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)  # years 1 to 9999
 _INT_MAX = 2**31 - 1
 _PAYLOADS_PER_BATCH = 64
@@ -180,6 +182,11 @@ def decode_payload(payload: bytes | None, feed_key: str) -> dict:
         return row | {"error_type": PARSE_ERROR, "error_message": str(error)}
 
 
+def payload_hash() -> Column:
+    """A hash of the bytes of a payload, by which a replay tells whether it has the same ones."""
+    return F.sha2(F.coalesce("payload", F.lit(b"")), 256)
+
+
 def decode_payloads(payloads: DataFrame) -> DataFrame:
     """Payload rows with their bytes replaced by the decoded message.
 
@@ -187,8 +194,9 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
     bounded batches and every few payloads are handed back at once, so a task
     never holds a whole partition of decoded messages.
     """
-    carried = [name for name in PAYLOADS.names if name != "payload"]
-    schema = StructType([PAYLOADS[name] for name in carried] + DECODED_FIELDS.fields)
+    carried = [name for name in PAYLOADS.names if name != "payload"] + [PAYLOAD_HASH]
+    given = payloads.select(*PAYLOADS.names, payload_hash().alias(PAYLOAD_HASH))
+    schema = StructType([given.schema[name] for name in carried] + DECODED_FIELDS.fields)
     arrow_schema = to_arrow_schema(schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +216,7 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=arrow_schema.names)
 
-    return payloads.select(*PAYLOADS.names).mapInArrow(decode, schema)
+    return given.mapInArrow(decode, schema)
 
 
 def encode_payload(version: str, timestamp: int, entities: list[dict]) -> bytes:

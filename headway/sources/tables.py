@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from headway.schemas import POLL_LOG, RAW_TABLES
+from headway.session import stored
 from headway.sources.store import Files, failed_attempts, hidden_attempts, new_source
 
 BATCH = "landing_batch_id"
@@ -43,10 +44,17 @@ def with_snapshot_date(df: DataFrame) -> DataFrame:
 
 
 def write_batch(
-    df: DataFrame, root: str, table: str, attempt: str, partition_by: Iterable[str]
+    df: DataFrame,
+    root: str,
+    table: str,
+    attempt: str,
+    partition_by: Iterable[str],
+    instead_of: Iterable[str] = (),
 ) -> None:
     """File the rows of one attempt under the table's day (and feed) folders.
 
+    ``instead_of`` are folders that the rows were read from and stand for.
+
     ``rebalance`` sizes files per folder and splits a folder that is too big
     for one task, so a feed or day holding most rows does not slow the write.
     The rows are written aside and their folders renamed into place, so jobs
@@ -55,6 +63,8 @@ def write_batch(
     spark, columns = df.sparkSession, list(partition_by)
     files, aside = Files(spark, root), f"{root}/aside/{attempt}/{table}"
     df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(aside)
+    for folder in instead_of:
+        files.remove(folder)
 
     def settle(folder: str, depth: int) -> None:
         for name in files.names(f"{aside}{folder}"):
@@ -68,6 +78,16 @@ def write_batch(
     files.remove(aside)
 
 
+def _with_folders(schema: StructType, columns: list[str]) -> StructType:
+    """A table's columns and those that its folders stand for."""
+    extra = [
+        StructField(name, DateType() if name == columns[0] else StringType())
+        for name in (*columns, BATCH)
+        if name not in schema.names
+    ]
+    return StructType(schema.fields + extra)
+
+
 def read_batches(
     spark: SparkSession,
     root: str,
@@ -83,12 +103,7 @@ def read_batches(
     day.
     """
     columns = list(partition_by)
-    folder_columns = [
-        StructField(name, DateType() if name == columns[0] else StringType())
-        for name in (*columns, BATCH)
-        if name not in schema.names
-    ]
-    full = StructType(schema.fields + folder_columns)
+    full = _with_folders(schema, columns)
     files, path = Files(spark, root), f"{root}/{table}"
     if days is None:
         paths = [path] if files.names(path) else []
@@ -119,14 +134,50 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 
 def _attempt_folders(files: Files, root: str, table: str, day: str, attempts: set[str]) -> list[str]:
     """Folders of the given attempts on one day."""
-    base = f"{root}/{table}/{FOLDERS[table][0]}={day}"
-    within = [base] if len(FOLDERS[table]) == 1 else [f"{base}/{n}" for n in files.names(base)]
+    columns = FOLDERS.get(table, SNAPSHOT_FOLDERS)
+    base = f"{root}/{table}/{columns[0]}={day}"
+    within = [base] if len(columns) == 1 else [f"{base}/{n}" for n in files.names(base)]
     return [
         f"{folder}/{BATCH}={name}" for folder in within for name in attempts
         if files.exists(f"{folder}/{BATCH}={name}")
     ]
 
 
+def give_up_landed(
+    spark: SparkSession,
+    root: str,
+    attempt: str,
+    days: list[str],
+    tables: Mapping[str, StructType],
+    key: str = "fetch_id",
+) -> None:
+    """Take out of a hidden attempt the snapshots that are landed by now on some days.
+
+    The first table says which snapshots there are. Only folders of these days
+    that the attempt has itself are written again, and only if it comes to that.
+    """
+    files, columns = Files(spark, root), list(SNAPSHOT_FOLDERS)
+
+    def own(table: str, folders: list[str]) -> DataFrame:
+        full = _with_folders(tables[table], columns)
+        return spark.read.schema(full).option("basePath", f"{root}/{table}").parquet(*folders)
+
+    def folders_of(table: str) -> list[str]:
+        return [f for day in days for f in _attempt_folders(files, root, table, day, {attempt})]
+
+    first = next(iter(tables))
+    if not (held := folders_of(first)):
+        return
+    landed = read_batches(spark, root, first, tables[first], columns, days).select(key)
+    twice = stored(own(first, held).select(key).join(landed, key, "left_semi"), "given-up")
+    if not twice.limit(1).count():
+        return
+    for table in tables:
+        if folders := folders_of(table):
+            kept = own(table, folders).join(twice, key, "left_anti").drop(BATCH)
+            write_batch(kept, root, table, attempt, columns, folders)
+
+
 def remove_failed(spark: SparkSession, root: str, attempt: str) -> None:
     """Remove what a failed attempt left, and then its mark. Not while it may still run."""
     if attempt not in failed_attempts(spark, root):

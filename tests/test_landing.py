@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import shutil
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from headway.operators import landing
 from headway.operators.demux import good_payloads, split_entities
 from headway.sources.gtfs_rt import decode_payloads
-from headway.sources.store import Batch, BatchMismatch, Files, committed, failed_attempts
+from headway.sources.store import Batch, BatchMismatch, Files, Log, committed, failed_attempts
 from headway.sources.tables import BATCH, compact_day, read_raw, remove_failed
 from headway.schemas import RAW_FEED_FETCHES
 from tests.builders import FETCHED, HEADER, default_payload, frame, payloads, raw
@@ -271,3 +272,78 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     Context.getCheckpointDir = lambda self: "hdfs://host/shared"
     assert session.scratch_dir(Session(), "x").startswith("hdfs://host/shared/headway/x-")
     assert session.scratch_dir(spark, "x")
+
+
+def _beside(spark, root, *polls):
+    """Something to do while a batch is written and not committed."""
+    return lambda: landing.land_next(payloads(spark, *polls), root)
+
+
+def test_writers_that_overlap_store_a_snapshot_once(spark, root):
+    polls = [(default_payload(HEADER + 30 * i), 30 * i) for i in range(4)]
+    landing.land_batch(payloads(spark, *polls), root, Batch("s", 0), _beside(spark, root, *polls[:3]))
+    assert counts(spark, root) == (4, 8, 8, 4, 0)
+    rows = read_raw(spark, root)
+    assert rows.fetches.select("fetch_id").distinct().count() == 4
+    # Every poll counts, whoever stored its snapshot.
+    assert sorted(r.poll_count for r in rows.fetches.collect()) == [1, 2, 2, 2]
+    assert rows.fetches.select(BATCH).distinct().count() == 2
+    # What is wholly landed already leaves no rows; other days are left alone.
+    later = (default_payload(HEADER + 86_400), 86_400)
+    landing.land_batch(payloads(spark, polls[0], later), root, Batch("s", 1), _beside(spark, root, polls[0], later))
+    assert counts(spark, root) == (5, 10, 10, 5, 0)
+    assert failed_attempts(spark, root) == []
+
+
+def test_two_runs_of_one_batch(spark, root):
+    batch, name = payloads(spark, (default_payload(), 0), (b"", 5)), Batch("s", 0)
+    landing.land_batch(batch, root, name, lambda: landing.land_batch(batch, root, name))
+    assert counts(spark, root) == (1, 2, 2, 1, 1)
+    (late,) = failed_attempts(spark, root)
+    remove_failed(spark, root, late)
+    assert counts(spark, root) == (1, 2, 2, 1, 1)
+    other = payloads(spark, (default_payload(HEADER + 30), 30))
+    with pytest.raises(BatchMismatch):
+        landing.land_batch(other, root, Batch("s", 1), lambda: landing.land_batch(batch, root, Batch("s", 1)))
+    assert counts(spark, root)[0] == 1
+
+
+def test_other_bytes_of_the_same_length_are_another_batch(spark, root):
+    landing.land_batch(payloads(spark, (default_payload(HEADER), 0)), root, Batch("s", 0))
+    changed = default_payload(HEADER + 1)
+    assert len(changed) == len(default_payload(HEADER))
+    with pytest.raises(BatchMismatch):
+        landing.land_batch(payloads(spark, (changed, 0)), root, Batch("s", 0))
+
+
+def test_a_writer_that_died_between_entry_and_record_is_finished(spark, root, monkeypatch):
+    polls = [(default_payload(HEADER + 30 * i), 30 * i) for i in range(2)]
+
+    def die(self, entry):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Log, "finish", die)
+        with pytest.raises(OSError):
+            landing.land_batch(payloads(spark, polls[0]), root, Batch("s", 0))
+    assert counts(spark, root)[0] == 0
+    # The next writer completes the commit, and so has only the other snapshot to land.
+    landing.land_next(payloads(spark, *polls), root)
+    assert counts(spark, root) == (2, 4, 4, 2, 0)
+    landing.land_batch(payloads(spark, polls[0]), root, Batch("s", 0))
+    assert counts(spark, root) == (2, 4, 4, 2, 0) and failed_attempts(spark, root) == []
+
+
+def test_many_writers_at_once(spark, root):
+    polls = [(default_payload(HEADER + 30 * i), 30 * i) for i in range(3)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: landing.land_next(payloads(spark, *polls[i % 2 :]), root), range(4)))
+    assert counts(spark, root) == (3, 6, 6, 3, 0)
+
+
+def test_files_are_created_once(spark, tmp_path):
+    files, name = Files(spark, str(tmp_path)), f"{tmp_path}/a/b.json"
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: files.create(name, str(i)), range(16)))
+    assert made.count(True) == 1 and files.read(name) == str(made.index(True))
+    assert files.names(f"{tmp_path}/a") == ["b.json"]
