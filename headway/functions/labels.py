@@ -32,10 +32,15 @@ def status_label(has_delay_alert: Column, current_status: Column) -> Column:
     return label.otherwise(UNKNOWN_STATUS)
 
 
+# Seconds of drift that count, and ages at which data is no longer fresh.
+DRIFT_SECONDS = 120
+FRESH_SECONDS, STALE_SECONDS = 120, 900
+
+
 def drift_label(drift_seconds: Column) -> Column:
     return (
-        F.when(drift_seconds > 120, LOSING_TIME)
-        .when(drift_seconds < -120, MAKING_UP_TIME)
+        F.when(drift_seconds > DRIFT_SECONDS, LOSING_TIME)
+        .when(drift_seconds < -DRIFT_SECONDS, MAKING_UP_TIME)
         .otherwise(ON_PLAN)
     )
 
@@ -43,8 +48,8 @@ def drift_label(drift_seconds: Column) -> Column:
 def freshness_level(age_seconds: Column) -> Column:
     return (
         F.when(age_seconds.isNull(), "NO DATA")
-        .when(age_seconds < 120, "OK")
-        .when(age_seconds < 900, "WARN")
+        .when(age_seconds < FRESH_SECONDS, "OK")
+        .when(age_seconds < STALE_SECONDS, "WARN")
         .otherwise("STALE")
     )
 

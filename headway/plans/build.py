@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.operators.quality import columns_checked, run_checks
 from headway.operators.snapshots import GAP_SECONDS
-from headway.plans import marts, staging
+from headway.plans import drift_store, marts, staging
 from headway.session import scratch_dir, stored
 from headway.sources.tables import (
     RawTables,
+    current_version,
     new_version,
     publish_version,
     read_models,
@@ -18,6 +19,7 @@ from headway.sources.tables import (
     write_models,
 )
 
+# The names of the stored models.
 MARTS = (
     "fct_current_trains",
     "fct_line_activity",
@@ -45,7 +47,11 @@ def build_marts(raw: RawTables, gap_seconds: int = GAP_SECONDS) -> dict[str, Dat
 
 
 def rebuild(
-    spark: SparkSession, raw: RawTables, root: str, gap_seconds: int = GAP_SECONDS
+    spark: SparkSession,
+    raw: RawTables,
+    root: str,
+    gap_seconds: int = GAP_SECONDS,
+    landed_root: str | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the marts under ``root`` and register all models as views.
 
@@ -53,25 +59,28 @@ def rebuild(
     it is whole; a rebuild that fails leaves them the marts they had. Staging
     stays lazy, as views over the raw tables. Line activity is made from the
     stored current trains and drift from stored observations, so the raw tables
-    are read once for each.
+    are read once for each. With ``landed_root``, where ``raw`` was landed,
+    drift is not made from all history: only days with new commits are read.
     """
-    folder = new_version(root)
+    folder, before = new_version(root), current_version(spark, root)
     write_models({"fct_current_trains": marts.fct_current_trains(raw)}, folder)
     trains = spark.read.parquet(f"{folder}/fct_current_trains")
-    observed = marts.drift_observations(staging.stg_trip_stop_updates(raw.stops))
-    steps = scratch_dir(spark, "observations")
-    observed.write.parquet(steps)
-    observed = spark.read.schema(observed.schema).parquet(steps)
-    write_models(
-        {
-            "fct_line_activity": marts.fct_line_activity(trains),
-            "fct_prediction_drift": marts.drift_from_observations(observed),
-            "dq_ingestion_health": marts.dq_ingestion_health(raw, gap_seconds),
-        },
-        folder,
-    )
-    remove_folder(spark, steps)
-    publish_version(spark, root, folder)
+    rest = {
+        "fct_line_activity": marts.fct_line_activity(trains),
+        "dq_ingestion_health": marts.dq_ingestion_health(raw, gap_seconds),
+    }
+    if landed_root:
+        drift_store.refresh(spark, landed_root, root, before, folder)
+        write_models(rest, folder)
+    else:
+        observed = marts.drift_observations(staging.stg_trip_stop_updates(raw.stops))
+        steps = scratch_dir(spark, "observations")
+        observed.write.parquet(steps)
+        observed = spark.read.schema(observed.schema).parquet(steps)
+        write_models(rest | {"fct_prediction_drift": marts.drift_from_observations(observed)}, folder)
+        remove_folder(spark, steps)
+    kept = publish_version(spark, root, folder)
+    drift_store.remove_unused(spark, root, kept)
     models = build_staging(raw) | read_models(spark, root, MARTS)
     register_views(models)
     return models

@@ -174,7 +174,7 @@ def fct_line_activity(current_trains: DataFrame) -> DataFrame:
     )
 
 
-def _sightings(stops: DataFrame) -> DataFrame:
+def _sightings(stops: DataFrame, *more: str) -> DataFrame:
     """Each stop update as an observation of its own, ready to be merged.
 
     Which sighting is first or last is told by one number: the publish time,
@@ -189,6 +189,7 @@ def _sightings(stops: DataFrame) -> DataFrame:
         "trip_key",
         "stop_id",
         *OBSERVED_NAMES,
+        *more,
         F.lit(1).cast("long").alias("observation_count"),
         F.col("header_timestamp").alias("first_observed_at"),
         F.col("header_timestamp").alias("last_observed_at"),
@@ -214,7 +215,7 @@ def _merged() -> list[Column]:
     return [merge(name).alias(name) for name, merge in _MERGE.items()]
 
 
-def _named(observations: DataFrame) -> DataFrame:
+def named_observations(observations: DataFrame) -> DataFrame:
     """Observations merged to one per stop of a trip, with one name of each kind."""
     names = [F.min(name).alias(name) for name in OBSERVED_NAMES]
     ahead = seconds_between(F.col("first_observed_at"), F.col("first_predicted_arrival"))
@@ -233,13 +234,17 @@ def drift_observations(stops: DataFrame) -> DataFrame:
     hash aggregate, which reduces the history on the map side without sorting
     it. What is left, about a row per stop and trip, is merged again.
     """
-    by_name = _sightings(stops).groupBy("trip_key", "stop_id", *OBSERVED_NAMES).agg(*_merged())
-    return _named(by_name)
+    return named_observations(partial_observations(stops))
+
+
+def partial_observations(stops: DataFrame, *within: str) -> DataFrame:
+    """Observations of some stop updates, apart ``within`` more columns; they merge with others."""
+    return _sightings(stops, *within).groupBy("trip_key", "stop_id", *OBSERVED_NAMES, *within).agg(*_merged())
 
 
 def running_observations(stops: DataFrame) -> DataFrame:
     """The same in one aggregation, as a stream may hold only one."""
-    return _named(_sightings(stops))
+    return named_observations(_sightings(stops))
 
 
 def drift_from_observations(observed: DataFrame) -> DataFrame:

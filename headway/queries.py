@@ -20,7 +20,7 @@ from headway.functions.times import (
 from headway.functions.trips import parse_trip_id, snapshot_id
 from headway.operators import demux, landing, quality, snapshots
 from headway.operators.filters import filter_trains
-from headway.plans import marts, preview, serving, staging
+from headway.plans import drift_store, marts, preview, serving, staging
 from headway.plans.build import check_models, rebuild
 from headway.schemas import (
     INGEST_ERRORS,
@@ -35,7 +35,15 @@ from headway.sources import testfeed
 from headway.sources.feeds import select_feeds
 from headway.sources.gtfs_rt import decode_payloads
 from headway.sources.store import Batch, new_source
-from headway.sources.tables import RawTables, poll_audit, read_raw
+from headway.sources.tables import (
+    RawTables,
+    current_version,
+    new_version,
+    poll_audit,
+    publish_version,
+    read_models,
+    read_raw,
+)
 from headway.streaming import aggregates, gaps, land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,6 +294,20 @@ def _(spark, sf_dir):
     return _audit_without_size(read_raw(spark, root))
 
 
+@with_spark("landed_drift")
+def _(spark, sf_dir):
+    """Drift rebuilt after half of the blocks were landed, and brought up to date after the rest."""
+    root, models = scratch_dir(spark, "land-drift"), scratch_dir(spark, "drift-models")
+    payloads = _payload_table(spark, sf_dir)
+    block = F.regexp_extract("path", r"^block-(\d+)-", 1).cast("long")
+    for half in (0, 1):
+        landing.land_next(payloads.filter(block % 2 == half), root)
+        folder = new_version(models)
+        drift_store.refresh(spark, root, models, current_version(spark, models), folder)
+        publish_version(spark, models, folder)
+    return read_models(spark, models, [drift_store.MODEL])[drift_store.MODEL]
+
+
 @with_spark("poll_audit")
 def _(spark, sf_dir):
     good = demux.good_payloads(_split_stored(spark, sf_dir))
@@ -341,7 +363,7 @@ def _(events):
     shape = F.col("event_id") % 8
     origin = F.substring("trip_id", 1, 6)
     trip = (
-        F.when(shape == 0, F.concat(origin, F.lit("_FS.N11R")))
+        F.when(shape == 0, F.concat(origin, F.lit("_FS.S11R")))
         .when(shape == 1, F.concat(origin, F.lit("_7..SOUTH FERRY")))
         .when(shape == 2, F.concat(origin, F.lit("_6X..N")))
         .when(shape == 3, F.concat(origin, F.lit("_1..")))
@@ -595,3 +617,14 @@ def _(spark, sf_dir):
     land.stream_dedupe(polls, root).awaitTermination()
     gaps.stream_gaps(land.read_snapshot_stream(spark, root, 1), root).awaitTermination()
     return gaps.read_gaps(spark, root, testfeed.GAP_SECONDS)
+
+
+@with_spark("stream_gaps_late")
+def _(spark, sf_dir):
+    """Days dealt to files in turn, so most snapshots come after a later one."""
+    root = scratch_dir(spark, "stream-late")
+    days = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - F.lit(testfeed.FIRST_EVENT)) / 86_400)
+    events = _in_files(testfeed.read_events(spark, sf_dir), F.pmod(-days, F.lit(4)), "late-events")
+    land.stream_dedupe(testfeed.poll_log(events), root).awaitTermination()
+    gaps.stream_gaps(land.read_snapshot_stream(spark, root, 1), root).awaitTermination()
+    return gaps.read_gaps(spark, root, testfeed.GAP_SECONDS).drop("is_late")

@@ -128,6 +128,11 @@ def _hiding(table: str, day_column: str, hidden: list[str]) -> list[Column]:
     return found
 
 
+def landed_days(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The days a table has folders of."""
+    return [name.split("=", 1)[1] for name in Files(spark, root).names(f"{root}/{table}")]
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     Files(spark, folder).remove(folder)
 
@@ -258,25 +263,44 @@ def new_version(root: str) -> str:
     return f"{root}/versions/{uuid.uuid4().hex}"
 
 
-def publish_version(spark: SparkSession, root: str, folder: str) -> None:
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The folder of the version published last."""
+    version = Files(spark, root).read(f"{root}/current")
+    return f"{root}/versions/{version}" if version else None
+
+
+def publish_version(spark: SparkSession, root: str, folder: str) -> list[str]:
     """Let readers of ``root`` see this rebuild from now on; all models change in one step.
 
-    The version before stays for those who read it still, older ones go.
+    The version before stays for those who read it still, older ones go. Returns
+    the folders of the versions that stay.
     """
     files, version = Files(spark, root), folder.rsplit("/", 1)[1]
     before = files.read(f"{root}/current")
     files.write(f"{root}/current", version)
+    kept = [name for name in dict.fromkeys((version, before)) if name]
     for name in files.names(f"{root}/versions"):
-        if name not in (version, before):
+        if name not in kept:
             files.remove(f"{root}/versions/{name}")
+    return [f"{root}/versions/{name}" for name in kept]
+
+
+def write_folder_list(files: Files, folder: str, name: str, folders: list[str]) -> None:
+    """Let a model of a version be the rows of some folders, which other versions may have too."""
+    files.write(f"{folder}/{name}.folders", json.dumps(folders))
 
 
 def read_models(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """The models of the version published last."""
-    version = Files(spark, root).read(f"{root}/current")
+    files, version = Files(spark, root), current_version(spark, root)
     if version is None:
         raise ModelsNotBuilt(root)
-    return {name: spark.read.parquet(f"{root}/versions/{version}/{name}") for name in names}
+
+    def model(name: str) -> DataFrame:
+        folders = files.read(f"{version}/{name}.folders")
+        return spark.read.parquet(*(json.loads(folders) if folders else [f"{version}/{name}"]))
+
+    return {name: model(name) for name in names}
 
 
 def register_views(models: Mapping[str, DataFrame]) -> None:

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from headway.operators.landing import land_next
+from headway.operators.snapshots import with_gaps
 from headway.plans import marts
 from headway.plans.staging import stg_trip_stop_updates
 from headway.schemas import FIRST_POLLS, PAYLOADS, RAW_TRIP_STOP_UPDATES
@@ -14,6 +15,7 @@ from headway.sources.payloads import stream_payloads
 from headway.sources.store import Files
 from headway.sources.tables import read_raw
 from headway.streaming import aggregates, gaps, land
+from headway.streaming.sinks import UpdateLog
 from tests.builders import (
     FETCHED, HEADER, default_payload, frame, payloads, raw, snapshot, stop,
 )
@@ -83,14 +85,58 @@ def test_gaps_keep_their_place_between_batches(spark, tmp_path, root):
         for row in gaps.read_gaps(spark, root).collect()
     }
     assert got == {
-        "f1": (None, False, False), "f2": (300, False, False), "f4": (602, False, True),
-        "g1": (None, False, False), "g2": (400, False, True),
-        "f3": (None, True, False), "n": (None, False, False), "f5": (3, False, False),
+        "f1": (None, False, False), "f2": (300, False, False), "g1": (None, False, False),
+        "g2": (400, False, True), "n": (None, False, False), "f5": (3, False, False),
+        # It came late, and the one that had come after a gap came right after it.
+        "f3": (301, True, True), "f4": (301, False, True),
         # The day changes; the wait began at the last snapshot of the day before.
         "dawn": (9095, False, True), "late morning": (1000, False, True),
     }
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_gaps_equal_batch_in_any_order(spark, tmp_path, root, seed):
+    chance = random.Random(seed)
+    times = chance.sample(range(0, 200_000, 50), 60)
+    polls = [poll(f"f{t}", t, feed_key=chance.choice("AB")) for t in times] + [poll("n", None)]
+    fetches = frame(spark, FIRST_POLLS, polls)
+    want = with_gaps(fetches).select("fetch_id", "seconds_since_previous_snapshot", "is_after_ingestion_gap")
+    stream = files(spark, str(tmp_path / "in"), FIRST_POLLS, *[polls[i::4] for i in range(4)])
+    gaps.stream_gaps(stream, root).awaitTermination()
+    got = gaps.read_gaps(spark, root)
+    assert in_order(got.select(want.columns)) == in_order(want)
+    assert got.filter("is_late").count() > 5
+
+
+def test_an_update_log_costs_the_same_however_long_it_is(spark, tmp_path, monkeypatch):
+    """Every batch has three new keys and one that all have; runs of 3 are merged."""
+    rows, again = [], []
+    write = UpdateLog._write
+
+    def spy(self, df, run):
+        write(self, df, run)
+        if run[0] != run[1]:
+            again.append((run[1], spark.read.parquet(self._path(run)).count()))
+
+    monkeypatch.setattr(UpdateLog, "_write", spy)
+    log = UpdateLog(spark, str(tmp_path / "log"), ["k"], 3)
+    schema = "k string, v long"
+    for number in range(54):
+        batch = spark.createDataFrame([("all", number), *[(f"{number}-{i}", i) for i in range(3)]], schema)
+        log.append(batch.coalesce(1), number)
+        rows.append(len(log.runs()))
+        if number == 30:
+            log.append(batch, number)
+    first, second = (sum(n for last, n in again if last // 27 == half) for half in (0, 1))
+    assert first <= 27 * 4 * 3 and second == first
+    assert max(rows) <= 2 * 4
+    got = {r.k: (r.v, r.update_id) for r in log.read(batch.schema).collect() if r.k == "all" and r.update_id == 53}
+    assert got == {"all": (53, 53)}
+    assert log.read(batch.schema).select("k").distinct().count() == 54 * 3 + 1
+    # Readers that began before a merge find their runs until the next batch.
+    assert len(list((tmp_path / "log").glob("run=*"))) >= len(log.runs())
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_drift_equals_batch_in_any_file_order(spark, tmp_path, root, seed):
     chance = random.Random(seed)
@@ -176,7 +222,7 @@ def test_a_lost_checkpoint_loses_nothing(spark, tmp_path, root):
 def test_update_logs_are_folded_and_follow_the_newest_checkpoint(spark, tmp_path, root, monkeypatch):
     from headway.streaming import sinks
 
-    monkeypatch.setattr(sinks, "FOLD_EVERY", 3)
+    monkeypatch.setattr(sinks, "FAN", 3)
     batches = [[poll("f1", 0, i), poll(f"n{i}", i, i)] for i in range(10)]
     stream = files(spark, str(tmp_path / "in"), FIRST_POLLS, *batches)
     aggregates.stream_poll_count(stream, root).awaitTermination()
