@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headway.functions.labels import SCHEDULE_RELATIONSHIP, VEHICLE_STATUS, enum_label
 from headway.functions.times import epoch_to_ts
@@ -186,8 +187,20 @@ def detail_counts() -> list[Column]:
     ]
 
 
-def audit_rows(snapshots: DataFrame) -> DataFrame:
-    """One audit row per snapshot, as ``raw_feed_fetches``.
+def reused_trip_ids() -> Column:
+    """Trip ids that more than one train of a snapshot has, NULL among them."""
+    ids = F.array_sort(F.transform("vehicles", lambda e: _trip_id(e["vehicle"]["trip"]["trip_id"])))
+    again = F.transform(ids, lambda x, i: (i > 0) & x.eqNullSafe(F.get(ids, i - 1)))
+    pairs = F.filter(F.arrays_zip(ids.alias("id"), again.alias("again")), lambda p: p["again"])
+    return F.array_distinct(F.transform(pairs, lambda p: p["id"]))
+
+
+def _trip_id(wire: Column) -> Column:
+    return F.nullif(wire, F.lit(""))
+
+
+def audit_rows(snapshots: DataFrame, *more: str) -> DataFrame:
+    """One audit row per snapshot, as ``raw_feed_fetches``, with ``more`` columns of its own.
 
     A snapshot without entities has its row too, and nothing is shuffled.
     """
@@ -197,4 +210,4 @@ def audit_rows(snapshots: DataFrame) -> DataFrame:
         F.lit(1).alias("poll_count"),
         F.col("fetched_at").alias("last_polled_at"),
     )
-    return project(rows, RAW_FEED_FETCHES)
+    return project(rows, StructType([*RAW_FEED_FETCHES.fields, *[rows.schema[name] for name in more]]))

@@ -15,16 +15,18 @@ from headway.operators.demux import (
     bad_payloads,
     detail_counts,
     good_payloads,
+    reused_trip_ids,
     split_entities,
     stop_rows,
     vehicle_rows,
 )
-from headway.schemas import INGEST_ERRORS, POLL_LOG, RAW_FEED_FETCHES, RAW_TABLES, project
+from headway.schemas import INGEST_ERRORS, LANDED_FETCHES, POLL_LOG, RAW_FEED_FETCHES, REUSED_IDS, project
 from headway.session import scratch_dir
 from headway.sources.gtfs_rt import PAYLOAD_HASH, decode_payloads, payload_hash
 from headway.sources.store import Batch, Files, commit_once, new_source
 from headway.sources.tables import (
     FOLDERS,
+    LANDED,
     SNAPSHOT_FOLDERS,
     RawTables,
     give_up_landed,
@@ -42,7 +44,7 @@ DETAILS = {
     "raw_alerts": alert_rows,
 }
 # The tables filed by snapshot, the one first that has a row for each.
-BY_SNAPSHOT = {name: RAW_TABLES[name] for name in ("raw_feed_fetches", *DETAILS)}
+BY_SNAPSHOT = {name: LANDED[name] for name in ("raw_feed_fetches", *DETAILS)}
 
 
 def quarantine(errors: DataFrame) -> DataFrame:
@@ -117,6 +119,11 @@ def payload_fingerprint(polls: DataFrame, content: Column) -> str:
     return f"{rows[0]}:{rows[1]}"
 
 
+def landed_audit_rows(snapshots: DataFrame) -> DataFrame:
+    """Audit rows with what staging needs to know of a snapshot, told from its message alone."""
+    return project(audit_rows(snapshots.withColumn(REUSED_IDS, reused_trip_ids()), REUSED_IDS), LANDED_FETCHES)
+
+
 def land_batch(
     payloads: DataFrame, root: str, batch: Batch, before_commit: Callable[[], None] | None = None
 ) -> None:
@@ -176,7 +183,7 @@ def _write_tables(payloads: DataFrame, root: str, attempt: str) -> tuple[str, li
     new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.parquet(accepted_path)
     accepted = snapshots.join(spark.read.parquet(accepted_path), "poll_id", "left_semi")
 
-    for table, rows_of in (DETAILS | {"raw_feed_fetches": audit_rows}).items():
+    for table, rows_of in (DETAILS | {"raw_feed_fetches": landed_audit_rows}).items():
         rows = with_snapshot_date(rows_of(accepted))
         write_batch(rows, root, table, attempt, SNAPSHOT_FOLDERS)
     content = payload_fingerprint(decoded, F.col(PAYLOAD_HASH))

@@ -294,6 +294,42 @@ def _count_repeated(model: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _as_rows(totals, checks)
 
 
+DAY = "checked_day"
+
+
+def failures_by_day(
+    models: Mapping[str, DataFrame], checks: Sequence[Check], days: Column
+) -> DataFrame:
+    """How many rows fail each check on each day: checked_day, check_name, failures.
+
+    For checks whose failures on one day do not depend on other days: those of
+    one row, of values that fix their day, and of keys of the same day. ``days``
+    tells the day of a row. Days without failures have no rows.
+    """
+    counts: list[DataFrame] = []
+    for model in dict.fromkeys(check.model for check in checks):
+        own = [c for c in checks if c.model == model]
+        rows = models[model].withColumn(DAY, days)
+        local = [c for c in own if _row_condition(c) is not None]
+        if local:
+            failing = [F.when(_row_condition(c), F.lit(c.name)) for c in local]
+            counts.append(rows.select(DAY, F.explode(F.array_compact(F.array(*failing))).alias("check_name")))
+        for check in own:
+            if check.kind == "unique":
+                known = rows.filter(F.col(check.column).isNotNull())
+                again = known.groupBy(DAY, check.column).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+            elif check.kind == "relationships":
+                parent, field, spread_by = check.argument
+                again = relationships(rows, check.column, models[parent], field, [spread_by])
+            else:
+                continue
+            counts.append(again.select(DAY, F.lit(check.name).alias("check_name")))
+    found = counts[0]
+    for more in counts[1:]:
+        found = found.unionByName(more)
+    return found.groupBy(DAY, "check_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
 def _as_rows(one_row: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """A row per check of one row with a column per check."""
     pairs = [
@@ -335,13 +371,18 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS
             failing = _failing_rows(check, models).agg(F.count(F.lit(1)).alias("failures"))
             counts.append(failing.select(F.lit(check.name).alias("check_name"), "failures"))
 
+    report = counts[0]
+    for more in counts[1:]:
+        report = report.unionByName(more)
+    return as_report(report, checks)
+
+
+def as_report(report: DataFrame, checks: Sequence[Check] = CHECKS) -> DataFrame:
+    """Counts of failing rows (check_name, failures) with severity and status."""
     severity = F.lit("error")
     for check in checks:
         if check.severity != "error":
             severity = F.when(F.col("check_name") == check.name, check.severity).otherwise(severity)
-    report = counts[0]
-    for more in counts[1:]:
-        report = report.unionByName(more)
     return report.select(
         "check_name",
         severity.alias("severity"),

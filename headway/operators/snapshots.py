@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.times import seconds_between
 from headway.operators.skew import salted_left_join
+from headway.schemas import REUSED_IDS
 
 GAP_SECONDS = 300
 
@@ -89,6 +90,31 @@ def snapshot_recency(rows: DataFrame) -> DataFrame:
     )
 
 
+def landed_recency(audit: DataFrame) -> DataFrame:
+    """The audit of a landing root with the rank of every snapshot that has trains.
+
+    It has one row per snapshot, so nothing needs to be made distinct: the place
+    within the day is a window, and the days, few, are joined back.
+    """
+    seen = audit.filter(F.col("vehicle_rows") > 0).withColumn("_day", F.to_date("header_timestamp"))
+    in_day = Window.partitionBy("feed_key", "_day").orderBy(F.desc_nulls_last("header_timestamp"))
+    placed = seen.withColumn("_place", F.dense_rank().over(in_day))
+    later = (
+        Window.partitionBy("feed_key")
+        .orderBy(F.desc_nulls_last("_day"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    days = placed.groupBy("feed_key", "_day").agg(F.max("_place").alias("_snapshots"))
+    days = days.withColumn("_newer", F.coalesce(F.sum("_snapshots").over(later), F.lit(0)))
+    days = days.select(F.col("feed_key").alias("_feed"), F.col("_day").alias("_on"), "_newer")
+    same_day = F.col("feed_key").eqNullSafe(F.col("_feed")) & F.col("_day").eqNullSafe(F.col("_on"))
+    return placed.join(days, same_day).select(
+        "fetch_id",
+        REUSED_IDS,
+        (F.col("_place") + F.col("_newer")).cast("long").alias("snapshot_recency_rank"),
+    )
+
+
 def with_recency(rows: DataFrame, recency: DataFrame, spread_by: list[str]) -> DataFrame:
     """Rows with the recency rank of their snapshot."""
     keys = [(name, name) for name in ("feed_key", "header_timestamp")]

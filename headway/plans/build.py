@@ -30,7 +30,7 @@ MARTS = (
 
 def build_staging(raw: RawTables) -> dict[str, DataFrame]:
     return {
-        "stg_vehicle_positions": staging.stg_vehicle_positions(raw.vehicles, raw.fetches),
+        "stg_vehicle_positions": staging.stg_vehicle_positions(raw.vehicles, raw.audit),
         "stg_trip_stop_updates": staging.stg_trip_stop_updates(raw.stops),
         "stg_alerts": staging.stg_alerts(raw.alerts),
     }

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from headway.functions.times import seconds_between
 from headway.functions.trips import joined_key, trip_key
 from headway.operators.skew import attach_group_stats
-from headway.operators.snapshots import snapshot_recency, with_recency
+from headway.operators.snapshots import landed_recency, snapshot_recency, with_recency
+from headway.schemas import REUSED_IDS
 
 
 def keyed_positions(vehicles: DataFrame, *more: Column) -> DataFrame:
@@ -63,8 +64,18 @@ def stg_vehicle_positions(vehicles: DataFrame, audit: DataFrame) -> DataFrame:
     """One row per train and snapshot, over all history.
 
     The audit tells which snapshots have trains, so the recency rank needs no
-    pass over the positions.
+    pass over the positions. That of a landing root also tells which trip ids a
+    snapshot has more than once: then positions are read once, and all that is
+    joined to them is a row per snapshot.
     """
+    if REUSED_IDS in audit.columns:
+        known = landed_recency(audit).withColumnRenamed("fetch_id", "_of")
+        rows = vehicles.join(known, vehicles["fetch_id"] == known["_of"], "left")
+        reused = F.exists(REUSED_IDS, lambda x: x.eqNullSafe(F.col("trip_id")))
+        flag = F.coalesce(reused, F.lit(False)).alias("has_reused_trip_id")
+        rank = "snapshot_recency_rank"
+        keyed = keyed_positions(rows, flag, F.col(rank))
+        return keyed.select(*[name for name in keyed.columns if name != rank], rank)
     recency = snapshot_recency(audit.filter(F.col("vehicle_rows") > 0))
     return with_recency(positions(vehicles), recency, spread_by=["snapshot_train_key"])
 

@@ -20,7 +20,7 @@ from headway.functions.times import (
 from headway.functions.trips import parse_trip_id, snapshot_id
 from headway.operators import demux, landing, quality, snapshots
 from headway.operators.filters import filter_trains
-from headway.plans import drift_store, marts, preview, serving, staging
+from headway.plans import check_store, drift_store, marts, preview, serving, staging
 from headway.plans.build import check_models, rebuild
 from headway.schemas import (
     INGEST_ERRORS,
@@ -246,7 +246,7 @@ over_landed("landed_errors")(lambda raw: project(raw.errors, INGEST_ERRORS))
 over_landed("landed_trains")(marts.fct_current_trains)
 over_landed("landed_lines")(lambda raw: marts.fct_line_activity(marts.fct_current_trains(raw)))
 over_landed("landed_positions")(
-    lambda raw: staging.stg_vehicle_positions(raw.vehicles, raw.fetches)
+    lambda raw: staging.stg_vehicle_positions(raw.vehicles, raw.audit)
 )
 over_landed("landed_health")(
     lambda raw: marts.dq_ingestion_health(raw, testfeed.LANDED_GAP_SECONDS).drop("payload_bytes")
@@ -569,6 +569,20 @@ def _(spark, sf_dir):
     return check_models(raw, models)
 
 
+@with_spark("landed_report")
+def _(spark, sf_dir):
+    """The checks after half of the blocks were landed, and again after the rest."""
+    root, folder = scratch_dir(spark, "land-checked"), scratch_dir(spark, "checked-models")
+    payloads = _payload_table(spark, sf_dir)
+    block = F.regexp_extract("path", r"^block-(\d+)-", 1).cast("long")
+    for half in (0, 1):
+        landing.land_next(payloads.filter(block % 2 == half), root)
+        raw = read_raw(spark, root)
+        models = rebuild(spark, raw, folder, testfeed.LANDED_GAP_SECONDS, root)
+        report = check_store.check_landed(spark, root, folder, raw, models)
+    return report
+
+
 # Streams, each over several files taken one at a time
 
 

@@ -131,6 +131,10 @@ RAW_TABLES = {
     "ingest_errors": INGEST_ERRORS,
 }
 
+# What landing adds to the audit: trip ids that a snapshot has more than once.
+REUSED_IDS = "reused_trip_ids"
+LANDED_FETCHES = StructType([*RAW_FEED_FETCHES.fields, StructField(REUSED_IDS, ArrayType(_S))])
+
 PAYLOADS = _struct(
     ("path", _S),
     ("feed_key", _S),

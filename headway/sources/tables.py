@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from headway.schemas import POLL_LOG, RAW_TABLES
+from headway.schemas import LANDED_FETCHES, POLL_LOG, RAW_TABLES
 from headway.session import stored
 from headway.sources.store import Files, failed_attempts, hidden_attempts, new_source
 
 BATCH = "landing_batch_id"
 SNAPSHOT_FOLDERS = ("snapshot_date", "feed_key")
-LANDED = RAW_TABLES | {"poll_log": POLL_LOG}
+LANDED = RAW_TABLES | {"poll_log": POLL_LOG, "raw_feed_fetches": LANDED_FETCHES}
 # The folders of each landed table, the day first.
 FOLDERS = dict.fromkeys(LANDED, SNAPSHOT_FOLDERS) | {
     "poll_log": ("poll_date",),
@@ -27,13 +27,22 @@ FOLDERS = dict.fromkeys(LANDED, SNAPSHOT_FOLDERS) | {
 
 @dataclass(frozen=True)
 class RawTables:
-    """The five raw tables every model is built from."""
+    """The five raw tables every model is built from.
+
+    Of landed ones, also the audit as it was written, without later polls.
+    """
 
     fetches: DataFrame
     vehicles: DataFrame
     stops: DataFrame
     alerts: DataFrame
     errors: DataFrame
+    landed_audit: DataFrame | None = None
+
+    @property
+    def audit(self) -> DataFrame:
+        """A row per snapshot, for what does not look at poll counts."""
+        return self.fetches if self.landed_audit is None else self.landed_audit
 
 
 def with_snapshot_date(df: DataFrame) -> DataFrame:
@@ -224,12 +233,14 @@ def read_raw(spark: SparkSession, root: str) -> RawTables:
     def table(name: str) -> DataFrame:
         return read_batches(spark, root, name, LANDED[name], FOLDERS[name])
 
+    audit = table("raw_feed_fetches")
     return RawTables(
-        fetches=poll_audit(table("raw_feed_fetches"), table("poll_log")),
+        fetches=poll_audit(audit, table("poll_log")),
         vehicles=table("raw_vehicle_positions"),
         stops=table("raw_trip_stop_updates"),
         alerts=table("raw_alerts"),
         errors=table("ingest_errors"),
+        landed_audit=audit,
     )
 
 

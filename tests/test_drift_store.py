@@ -5,8 +5,9 @@ from pathlib import Path
 import pytest
 
 from headway.operators.landing import land_next
-from headway.plans import drift_store, marts
-from headway.plans.build import rebuild
+from headway.plans import check_store, drift_store, marts, staging
+from headway.plans.build import check_models, rebuild
+from headway.schemas import REUSED_IDS
 from headway.sources.tables import compact_day, read_models, read_raw
 from tests.builders import HEADER, default_payload, payloads
 
@@ -87,3 +88,37 @@ def test_drift_of_nothing(spark, roots):
     built = rebuild(spark, read_raw(spark, lake), models, landed_root=lake)["fct_prediction_drift"]
     assert built.count() == 0
     assert set(marts.fct_prediction_drift(read_raw(spark, lake)).columns) <= set(built.columns)
+
+
+def test_checks_look_at_new_days_only(spark, roots):
+    lake, models = roots
+
+    def report():
+        raw = read_raw(spark, lake)
+        built = rebuild(spark, raw, models, landed_root=lake)
+        days = check_store.count_days(spark, lake, models)[1]
+        got = rows(check_store.check_landed(spark, lake, models, raw, built))
+        assert got == rows(check_models(raw, built))
+        return days, got
+
+    land_next(payloads(spark, (default_payload(), 0), trip("20250314", 600, 4700)), lake)
+    first, clean = report()
+    # A train without a route, and one trip twice in the newest snapshot.
+    twins = [{"id": f"v{i}", "vehicle": {"trip": {"trip_id": "t"}, "stop_id": "101N", "current_status": 1}} for i in (1, 2, 2)]
+    land_next(payloads(spark, (default_payload(HEADER + DAY, entities=twins), DAY)), lake)
+    second, broken = report()
+    assert (first, second) == (["2025-03-14"], ["2025-03-15"]) and broken != clean
+    assert report()[0] == []
+
+
+def test_landed_staging_equals_that_of_any_tables(spark, roots):
+    lake, _ = roots
+    twins = [{"id": f"v{i}", "vehicle": {"trip": {"trip_id": t}, "stop_id": "101N"}} for i, t in enumerate(("a", "", "b", "a", "", "c"))]
+    land_next(payloads(spark, (default_payload(entities=twins), 0), (default_payload(HEADER + DAY), DAY), (default_payload(0), 5)), lake)
+    raw = read_raw(spark, lake)
+    landed = staging.stg_vehicle_positions(raw.vehicles, raw.audit)
+    plain = staging.stg_vehicle_positions(raw.vehicles, raw.fetches.drop(REUSED_IDS))
+    assert landed.columns == plain.columns and rows(landed) == rows(plain)
+    assert landed.filter("has_reused_trip_id").count() == 4
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") <= 3
