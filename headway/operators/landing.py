@@ -23,6 +23,7 @@ from headway.operators.demux import (
 from headway.schemas import INGEST_ERRORS, LANDED_FETCHES, POLL_LOG, RAW_FEED_FETCHES, REUSED_IDS, project
 from headway.session import scratch_dir
 from headway.sources.gtfs_rt import PAYLOAD_HASH, decode_payloads, payload_hash
+from headway.sources.seen import Seen, places
 from headway.sources.store import Batch, Files, commit_once, new_source
 from headway.sources.tables import (
     FOLDERS,
@@ -112,10 +113,14 @@ def cycle_counters(polls: DataFrame) -> DataFrame:
     return polls.agg(*counts, F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
 
 
+def poll_content(content: Column) -> Column:
+    """Tells one poll from another, with the content it brought."""
+    return F.xxhash64("path", "feed_key", "fetched_at", content)
+
+
 def payload_fingerprint(polls: DataFrame, content: Column) -> str:
     """Tells one batch of payloads from another, whatever the order of its rows."""
-    each = F.xxhash64("path", "feed_key", "fetched_at", content)
-    rows = polls.agg(F.count(F.lit(1)), F.sum(each.cast("decimal(38,0)"))).first()
+    rows = polls.agg(F.count(F.lit(1)), F.sum(poll_content(content).cast("decimal(38,0)"))).first()
     return f"{rows[0]}:{rows[1]}"
 
 
@@ -178,8 +183,9 @@ def _write_tables(payloads: DataFrame, root: str, attempt: str) -> tuple[str, li
     polls = with_snapshot_date(snapshots).select(
         "fetch_id", "fetched_at", "path", "poll_id", "snapshot_date"
     )
-    days = days_of(polls)
-    landed = read_batches(spark, root, "raw_feed_fetches", RAW_FEED_FETCHES, SNAPSHOT_FOLDERS, days)
+    _, days = places(with_snapshot_date(snapshots), F.lit(0))
+    met = Seen(spark, root, "raw_feed_fetches").claim(days)
+    landed = read_batches(spark, root, "raw_feed_fetches", RAW_FEED_FETCHES, SNAPSHOT_FOLDERS, met)
     new_snapshots(polls, landed, (*POLL_ID, "poll_id")).select("poll_id").write.parquet(accepted_path)
     accepted = snapshots.join(spark.read.parquet(accepted_path), "poll_id", "left_semi")
 
@@ -188,7 +194,7 @@ def _write_tables(payloads: DataFrame, root: str, attempt: str) -> tuple[str, li
         write_batch(rows, root, table, attempt, SNAPSHOT_FOLDERS)
     content = payload_fingerprint(decoded, F.col(PAYLOAD_HASH))
     remove_folder(spark, staging)
-    return content, days
+    return content, sorted(days)
 
 
 def write_hidden(payloads: DataFrame, root: str) -> str:
@@ -206,22 +212,6 @@ def land_next(payloads: DataFrame, root: str) -> Batch:
     return batch
 
 
-def days_of(dated: DataFrame) -> list[str]:
-    """The days that rows with a ``snapshot_date`` have snapshots of; those of a batch are few."""
-    return sorted(str(row[0]) for row in dated.select("snapshot_date").distinct().collect())
-
-
-def landed_on_days_of(
-    polls: DataFrame, root: str, table: str, schema: StructType
-) -> DataFrame:
-    """Snapshots already landed, on the very days ``polls`` has snapshots of.
-
-    An id fixes its day, so other days cannot hold a duplicate. Only the folders
-    of these days are listed, however long the table grows.
-    """
-    return read_batches(polls.sparkSession, root, table, schema, SNAPSHOT_FOLDERS, days_of(polls))
-
-
 def store_summary(raw: RawTables) -> DataFrame:
     """Rows in each raw table, first and last fetch and how many feeds."""
     tables = {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway.operators import landing
 from headway.operators.demux import good_payloads, split_entities
 from headway.sources.gtfs_rt import decode_payloads
+from headway.sources.seen import MERGE_AT, Seen
 from headway.sources.store import Batch, BatchMismatch, Files, Log, committed, failed_attempts
 from headway.sources.tables import BATCH, compact_day, read_raw, remove_failed
 from headway.schemas import RAW_FEED_FETCHES
@@ -173,15 +174,34 @@ def test_listings_do_not_grow_with_other_days(spark, root, monkeypatch):
     del listed[:]
     landing.land_next(payloads(spark, (default_payload(HEADER + 60), 60)), root)
     assert len(listed) <= before + 1
-    (files,) = read_days(spark, root)
-    assert "2020-01-01" not in files
 
 
-def read_days(spark, root):
-    polls = good_payloads(split_entities(decode_payloads(payloads(spark, (default_payload(), 0)))))
-    dated = polls.withColumn("snapshot_date", F.to_date("header_timestamp"))
-    rows = landing.landed_on_days_of(dated, root, "raw_feed_fetches", RAW_FEED_FETCHES)
-    return [" ".join(rows.inputFiles())]
+def test_new_snapshots_read_nothing_that_is_landed(spark, root, monkeypatch):
+    asked: list[list[str]] = []
+    read = landing.read_batches
+
+    def spy(spark, root, table, schema, folders, days):
+        asked.append(days)
+        return read(spark, root, table, schema, folders, days)
+
+    monkeypatch.setattr(landing, "read_batches", spy)
+    for later in (0, 60, 30, 86_400):
+        landing.land_next(payloads(spark, (default_payload(HEADER + later), later), (default_payload(0), later)), root)
+    assert asked == [[], [], [], []] and counts(spark, root)[0] == 8
+    landing.land_next(payloads(spark, (default_payload(HEADER + 60), 90), (default_payload(HEADER + 90), 90)), root)
+    assert asked[-1] == ["2025-03-14"] and counts(spark, root)[0] == 9
+    # A day landed before places were kept is looked at.
+    Files(spark, root).remove(f"{root}/seen")
+    landing.land_next(payloads(spark, (default_payload(HEADER), 90)), root)
+    assert asked[-1] == ["2025-03-14"] and counts(spark, root)[0] == 9
+
+
+def test_places_of_a_day_stay_in_few_files(spark, root):
+    seen = Seen(spark, root, "t")
+    for n in range(3 * MERGE_AT):
+        assert seen.claim({"2025-03-14": {"A|0|1": 1 << n}}) == []
+    assert seen.claim({"2025-03-14": {"A|0|1": 6, "B|0|1": 6}, "2025-03-15": {"A|0|1": 6}}) == ["2025-03-14"]
+    assert len(Files(spark, root).names(f"{root}/seen/t/2025-03-14")) <= MERGE_AT + 2
 
 
 def test_compaction_keeps_the_rows(spark, root):
