@@ -131,8 +131,8 @@ def landed_audit_rows(snapshots: DataFrame) -> DataFrame:
 
 def land_batch(
     payloads: DataFrame, root: str, batch: Batch, before_commit: Callable[[], None] | None = None
-) -> None:
-    """Land one batch of payloads under ``root``. Landing it again changes nothing.
+) -> dict:
+    """Land one batch of payloads under ``root``; returns its record. Landing it again changes nothing.
 
     A batch is its source's name and a number, so batches of different sources
     never stand in for each other; another batch of the same name is an error.
@@ -152,7 +152,7 @@ def land_batch(
             before_commit()
         return written
 
-    commit_once(
+    return commit_once(
         payloads.sparkSession,
         root,
         batch,

@@ -24,6 +24,12 @@ FOLDERS = dict.fromkeys(LANDED, SNAPSHOT_FOLDERS) | {
     "ingest_errors": ("error_date",),
 }
 
+# A stream compacts a day when it has so many batches of one size.
+COMPACT_AT = 16
+# What was compacted stays so long for those who read it, and a compaction that
+# died may be taken over after that.
+KEEP_SECONDS = LOCK_SECONDS = 3600
+
 
 @dataclass(frozen=True)
 class RawTables:
@@ -204,27 +210,93 @@ def remove_failed(spark: SparkSession, root: str, attempt: str) -> None:
     files.remove(f"{root}/marks/{attempt}")
 
 
-def compact_day(spark: SparkSession, root: str, table: str, day: str) -> int:
-    """Rewrite the committed batches of a day as one; returns how many there were.
+def compact_day(
+    spark: SparkSession, root: str, table: str, day: str, some: Iterable[str] | None = None
+) -> int:
+    """Rewrite the committed batches of a day (or some of them) as one; returns how many there were.
 
     The new folders are hidden by a mark. Rewriting the mark in one step shows
-    them and hides the old ones, which are then removed, and the mark with them.
-    A reader that listed the old folders before that must read again.
+    them and hides the old ones, which stay for those who read them already:
+    ``tidy`` removes them when ``KEEP_SECONDS`` are over. One compaction of a
+    table and day runs at a time; one that finds another leaves it alone.
     """
     columns = FOLDERS[table]
-    rows = read_batches(spark, root, table, LANDED[table], columns, [day])
-    old = {row[0] for row in rows.select(BATCH).distinct().collect()}
-    if len(old) < 2:
+    files, lock = Files(spark, root), f"{root}/compacting/{table}.{day}"
+    if (age := files.age(lock)) is not None and age > LOCK_SECONDS:
+        files.remove(lock)
+    if not files.create(lock, "{}"):
+        return 0
+    try:
+        rows = read_batches(spark, root, table, LANDED[table], columns, [day])
+        old = {row[0] for row in rows.select(BATCH).distinct().collect()}
+        if some is not None:
+            old &= set(some)
+        if len(old) < 2:
+            return len(old)
+        level = 1 + max(_level(name) for name in old)
+        attempt = f"{new_source(f'compact{level}')}.{table}.{day}"
+        mark = f"{root}/marks/{attempt}"
+        files.write(mark, json.dumps([attempt]))
+        write_batch(rows.filter(F.col(BATCH).isin(*old)).drop(BATCH), root, table, attempt, columns)
+        files.write(mark, json.dumps([f"{table}/{day}/{name}" for name in sorted(old)]))
         return len(old)
-    files, attempt = Files(spark, root), f"{new_source('compact')}.{table}.{day}"
-    mark = f"{root}/marks/{attempt}"
-    files.write(mark, json.dumps([attempt]))
-    write_batch(rows.drop(BATCH), root, table, attempt, columns)
-    files.write(mark, json.dumps([f"{table}/{day}/{name}" for name in sorted(old)]))
-    for folder in _attempt_folders(files, root, table, day, old):
-        files.remove(folder)
-    files.remove(mark)
-    return len(old)
+    finally:
+        files.remove(lock)
+
+
+def _level(attempt: str) -> int:
+    """How often the rows of an attempt were compacted."""
+    kind = attempt.split("-", 1)[0]
+    return int(kind.removeprefix("compact") or 0) if kind.startswith("compact") else 0
+
+
+def compact_due(spark: SparkSession, root: str, days: Iterable[str], fan: int | None = None) -> int:
+    """Compact, on some days, what a table has ``fan`` batches of one size of; returns how many times.
+
+    Batches compacted once make a batch of the next size, so a row is written
+    again a number of times that grows as the logarithm of the batches of a day,
+    and folders of a day stay below ``fan`` of each size.
+    """
+    files, done = Files(spark, root), 0
+    hidden = hidden_attempts(spark, root)
+    for table in LANDED:
+        for day in days:
+            by_level: dict[int, list[str]] = {}
+            for name in sorted(_attempts_of(files, root, table, day)):
+                if name not in hidden and f"{table}/{day}/{name}" not in hidden:
+                    by_level.setdefault(_level(name), []).append(name)
+            for names in by_level.values():
+                if len(names) >= (fan or COMPACT_AT):
+                    done += compact_day(spark, root, table, day, names) > 1
+    return done
+
+
+def _attempts_of(files: Files, root: str, table: str, day: str) -> set[str]:
+    """The attempts that have rows of a day."""
+    base = f"{root}/{table}/{FOLDERS[table][0]}={day}"
+    within = [base] if len(FOLDERS[table]) == 1 else [f"{base}/{n}" for n in files.names(base)]
+    return {n.split("=", 1)[1] for folder in within for n in files.names(folder)}
+
+
+def tidy(spark: SparkSession, root: str, keep_seconds: float | None = None) -> int:
+    """Remove what was compacted into other folders long enough ago; returns how many marks went."""
+    files, gone = Files(spark, root), 0
+    keep = KEEP_SECONDS if keep_seconds is None else keep_seconds
+    for name in files.names(f"{root}/marks"):
+        mark = f"{root}/marks/{name}"
+        if not name.startswith("compact") or name.endswith(".draft"):
+            continue
+        if (age := files.age(mark)) is None or age < keep:
+            continue
+        old = [entry.split("/") for entry in json.loads(files.read(mark) or "[]") if "/" in entry]
+        if not old:
+            continue
+        for table, day, attempt in old:
+            for folder in _attempt_folders(files, root, table, day, {attempt}):
+                files.remove(folder)
+        files.remove(mark)
+        gone += 1
+    return gone
 
 
 def read_raw(spark: SparkSession, root: str) -> RawTables:

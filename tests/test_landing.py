@@ -12,7 +12,7 @@ from headway.operators.demux import good_payloads, split_entities
 from headway.sources.gtfs_rt import decode_payloads
 from headway.sources.seen import MERGE_AT, Seen
 from headway.sources.store import Batch, BatchMismatch, Files, Log, committed, failed_attempts
-from headway.sources.tables import BATCH, compact_day, read_raw, remove_failed
+from headway.sources.tables import BATCH, compact_day, compact_due, read_raw, remove_failed, tidy
 from headway.schemas import RAW_FEED_FETCHES
 from tests.builders import FETCHED, HEADER, default_payload, frame, payloads, raw
 
@@ -218,6 +218,34 @@ def test_compaction_keeps_the_rows(spark, root):
     assert counts(spark, root) == before
 
 
+def test_a_read_begun_before_a_compaction_ends_with_the_same_rows(spark, root):
+    for later in (0, 30, 60):
+        landing.land_next(payloads(spark, (default_payload(HEADER + later), later)), root)
+    begun, want = read_raw(spark, root).vehicles, read_raw(spark, root).vehicles.count()
+    day = str(begun.first().snapshot_date)
+    assert compact_day(spark, root, "raw_vehicle_positions", day) == 3
+    assert begun.count() == want == read_raw(spark, root).vehicles.count()
+    assert tidy(spark, root) == 0
+    # One that runs is left alone; one that died is taken over.
+    files, lock = Files(spark, root), f"{root}/compacting/raw_alerts.{day}"
+    files.write(lock, "{}")
+    assert compact_day(spark, root, "raw_alerts", day) == 0
+    assert tidy(spark, root, 0) == 1 and counts(spark, root)[1] == want
+    assert not files.names(f"{root}/marks")
+
+
+def test_days_are_compacted_by_size(spark, root):
+    for later in range(5):
+        landing.land_next(payloads(spark, (default_payload(HEADER + 30 * later), later)), root)
+        compact_due(spark, root, ["2025-03-14"], 2)
+    assert counts(spark, root) == (5, 10, 10, 5, 0)
+    # One of four batches and one of one.
+    assert read_raw(spark, root).stops.select(BATCH).distinct().count() == 2
+    tidy(spark, root, 0)
+    assert counts(spark, root) == (5, 10, 10, 5, 0)
+    assert len(list((Path(root) / "raw_alerts" / "snapshot_date=2025-03-14").glob("*/*"))) == 2
+
+
 def test_crash_during_compaction_shows_the_old_rows(spark, root, monkeypatch):
     from headway.sources import tables
 
