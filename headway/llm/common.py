@@ -58,16 +58,17 @@ def release(df: DataFrame) -> None:
 
 
 def hash_sample(rows: DataFrame, keys: list[str], size: int, seed: int) -> DataFrame:
-    """About ``size`` rows at most, the first in the order of a hash of their keys.
+    """``size`` rows at most, each of another key: the first in the order of a hash of their keys.
 
-    A threshold on the hash, taken from the number of rows, leaves twice as many
-    as wanted, so no task sends the driver more than its share of them.
+    A threshold on the hash, taken from the number of keys, leaves twice as many
+    as wanted, so no task sends the driver more than its share of them. Rows
+    that repeat a key, however often, count as one.
     """
     hashed = F.xxhash64(*keys, F.lit(seed))
-    share = 2.0 * size / max(1, rows.count())
+    share = 2.0 * size / max(1, rows.select(*keys).distinct().count())
     if share < 1:
         rows = rows.filter(F.pmod(hashed, F.lit(1 << 30)) < int(share * (1 << 30)))
-    return rows.orderBy(hashed, *keys).limit(size)
+    return rows.dropDuplicates(keys).orderBy(hashed, *keys).limit(size)
 
 
 def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

@@ -249,8 +249,7 @@ def nearest(
     centroids are fitted on a sample of ``TRAIN_VECTORS``, the first in hash
     order. Scores are cosines of the original vectors in double precision; ties
     go to the smaller vec_id. Vectors that are null, empty, zero, hold null or
-    non-finite components, or differ in length from the vector with the smallest
-    id in the sample take no part, and so do rows without an id. Rows that repeat
+    non-finite components, or are not of the commonest length take no part, and so do rows without an id. Rows that repeat
     an id are one query, are not candidates of it, and each a candidate of
     others. Without valid vectors the result is empty.
 
@@ -270,12 +269,15 @@ def nearest(
         ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    total = good.count()
-    sample = hash_sample(good, ["vec_id"], TRAIN_VECTORS, 5).select("vec_id", "vector").collect()
-    if not sample:
+    # The commonest width, the smaller of equally common ones.
+    widths = good.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    most = widths.orderBy(F.desc("n"), "width").first()
+    if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = len(min(sample)["vector"])
-    points = _unit(np.array([row["vector"] for row in sample if len(row["vector"]) == width]))
+    width, total = most
+    good = good.filter(F.size("vector") == width)
+    sample = hash_sample(good, ["vec_id"], TRAIN_VECTORS, 5).select("vec_id", "vector").collect()
+    points = _unit(np.array([row["vector"] for row in sample]))
     k = int(min(MOST_CENTROIDS, max(4, round((total / CELL_VECTORS) ** 0.5)), len(points)))
     index = MultiIndex(points, k)
     entries = staged(good.select("vec_id", "vector").mapInArrow(_entries(index, kind), _ENTRY_SQL), "cells")

@@ -24,6 +24,8 @@ SHARD_PIECES = 20_000
 _CORE_CACHE = 1_000_000
 #: Marks that end words; an apostrophe may join what follows it.
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: What the vocabulary's added tokens begin with.
+_ADDED = b"<|"
 #: The printable stand-ins of bytes in byte-level vocabularies. Printable
 #: Latin-1 characters stand for themselves, the others for characters from 256 on.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -39,7 +41,8 @@ class WordTokenizer:
     are those of its words, one after the other. Marks after a letter or digit
     are a piece of their own, so a word is looked up by its core and its marks.
     A core of Latin letters is one piece already: it goes straight to the
-    vocabulary's merges. Any other goes through the whole tokenizer.
+    vocabulary's merges. Any other goes through the whole tokenizer, and so does
+    a word that may hold one of its added tokens, as it is, which come first.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,13 +50,12 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._merge = self._tokenizer.model.tokenize
         self._known: dict[bytes, bytes] = {}
 
     def _encode(self, core: bytes) -> bytes:
         """The ids of one core, or of a run of marks."""
-        if core.isascii() and (core.isalpha() or not core.strip(_MARKS)):
+        if _ADDED not in core and core.isascii() and (core.isalpha() or not core.strip(_MARKS)):
             ids = [token.id for token in self._merge(core.lower().decode())]
         else:
             word = core.decode("utf-8", "replace")
@@ -73,7 +75,7 @@ class WordTokenizer:
         for word in words:
             ids = known.get(word)
             if ids is None:
-                core = word.rstrip(_MARKS)
+                core = word if _ADDED in word else word.rstrip(_MARKS)
                 if len(core) == len(word) or not _ends_piece(core):
                     known[word] = ids = self._encode(word)
                 else:
@@ -90,7 +92,9 @@ class WordTokenizer:
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         # Lower-casing ASCII alone is what the tokenizer does, too; it makes fewer words.
-        split = [text.lower().split() if text.isascii() else text.split() for text in texts]
+        split = [
+            text.lower().split() if text.isascii() and _ADDED not in text else text.split() for text in texts
+        ]
         ids_of = self._look_up(set().union(*split)).__getitem__
         for words in split:
             yield b"".join(map(ids_of, words))
@@ -232,7 +236,8 @@ def pack(pieces: DataFrame, capacity: int, shard_pieces: int = SHARD_PIECES) ->
     """
     total = pieces.count()
     shards = max(1, -(-total // shard_pieces))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(shards))
+    # The number of a row within its task keeps rows that are equal apart.
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards))
     own = [f for f in pieces.schema.fieldNames()]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return (

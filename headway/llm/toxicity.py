@@ -181,7 +181,7 @@ def train(
         # A document is named by id and text, so that one is drawn and not all that share an id.
         named = texts.withColumn("_key", F.xxhash64("_id", "_text"))
         labelled = named.select("_id", "_key").join(marks.filter(F.col("_label") == label), "_id")
-        keys = hash_sample(labelled.select("_key"), ["_key"], train_docs, 7).distinct()
+        keys = hash_sample(labelled.select("_key"), ["_key"], train_docs, 7)
         rows = named.join(F.broadcast(keys), "_key", "left_semi").dropDuplicates(["_key"])
         sample += [(row["_text"], label) for row in rows.select("_text").collect()]
     sample.sort()

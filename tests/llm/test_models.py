@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.llm import language, multi_index, suffix_tree_lm, toxicity
+from headway.llm.common import hash_sample
 from headway.llm.common import remainder
 from tests.llm.data import ODD, documents, frame, prose, words
 
@@ -175,6 +176,23 @@ def test_neighbours(spark):
     assert [j for _, j, _ in found[150]] == [100, 101, 102, 103, 104]
 
 
+def test_one_stray_vector_changes_nothing(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(1, 300)]
+    schema = "vec_id long, embedding array<double>"
+    ask = F.col("vec_id") % 50 == 0
+    clean = multi_index.nearest(frame(spark, rows, schema), ask).collect()
+    stray = multi_index.nearest(frame(spark, [(0, [1.0, 0.0]), *rows], schema), ask).collect()
+    assert len(clean) == 25 and sorted(clean) == sorted(stray)
+
+
+def test_a_sample_is_of_distinct_keys(spark):
+    rows = spark.range(20_000).unionByName(spark.range(5000).selectExpr("77L AS id"))
+    drawn = [r.id for r in hash_sample(rows, ["id"], 1500, 7).collect()]
+    assert len(drawn) == len(set(drawn)) == 1500
+    assert hash_sample(rows.filter("id = 77"), ["id"], 1500, 7).count() == 1
+
+
 def test_neighbours_of_few_and_none(spark):
     df = frame(spark, [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r["rank"], r.vec_id) for r in multi_index.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()]

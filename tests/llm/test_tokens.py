@@ -29,12 +29,12 @@ TEXTS = [
     " " * 700 + "\n\n\t x",
     "word " * 3000,
     "x\x1fy\x1cz　wide",
+    "see <|endoftext|> marks, a<|startoftext|>B<|endoftext|><|ENDOFTEXT|> <| |> <|endoftext <|endoftext|>'s é<|endoftext|>É",
 ]
 
 
 def reference_ids():
     tokenizer = Tokenizer.from_file(WORD_BPE)
-    tokenizer.encode_special_tokens = True
     return [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in TEXTS]
 
 
@@ -74,6 +74,14 @@ def test_packing_is_tight_over_shards(spark):
     assert packing.pack(pieces.filter("false"), 2048).count() == 0
 
 
+def test_rows_that_repeat_are_dealt_to_all_shards(spark):
+    pieces = spark.range(4000).selectExpr("null doc_id", "0 piece", "0L start", "100L length", "7L ids_crc32")
+    pieces = pieces.withColumn("doc_id", F.lit(None).cast("long"))
+    out = packing.pack(pieces, 2048, 200).withColumn("shard", F.shiftright("sequence_id", 32))
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 300
+
+
 def test_fullest_combination_equals_brute_force():
     rng = random.Random(1)
     for _ in range(300):
