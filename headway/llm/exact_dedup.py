@@ -147,24 +147,34 @@ def exact_groups(contents: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFra
     ``contents`` (columns of ``_GROUPS_SQL``) is dealt by a hash of the content;
     each partition fills one content table. Content that comes when a table is
     full goes to spill files in the shared folder, and is dealt again by another
-    hash to other partitions, until all of it has met a table.
+    hash to other partitions, until all of it has met a table. There are as many
+    partitions as the content left needs, so levels do not grow with the data;
+    the spill files of a level go when the next one is written.
     """
-    done = None
+    done: list[DataFrame] = []
+    before: DataFrame | None = None
     level = 0
     while True:
-        dealt = contents.repartition(F.xxhash64(F.lit(level), "text_sha256"))
+        # As many partitions as fill a quarter of a table each, however much is left.
+        left = contents.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0))).first()[0]
+        dealt = contents.repartition(1 + 4 * left // table_bytes, F.xxhash64(F.lit(level), "text_sha256"))
         out = staged(dealt.mapInArrow(_buckets(table_bytes), _GROUPS_SQL), f"grace-{level}")
+        if before is not None:
+            release(before)
         groups = out.filter("content IS NULL").drop("content")
-        done = groups if done is None else done.unionByName(groups)
-        spilled = out.filter("content IS NOT NULL")
-        if not spilled.limit(1).count():
-            return done.select(
-                "text_sha256",
-                "keep_id",
-                F.col("chars").alias("keep_chars"),
-                F.col("rows").alias("group_size"),
-            )
-        contents, level = spilled, level + 1
+        contents = out.filter("content IS NOT NULL")
+        if not contents.limit(1).count():
+            break
+        done.append(staged(groups, f"grace-groups-{level}"))
+        before, level = out, level + 1
+    for more in done:
+        groups = groups.unionByName(more)
+    return groups.select(
+        "text_sha256",
+        "keep_id",
+        F.col("chars").alias("keep_chars"),
+        F.col("rows").alias("group_size"),
+    )
 
 
 def exact_dedup(

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from headway.llm import exact_dedup as exact
 from headway.llm import suffix_dedup as suffix
 from headway.llm.components import components
 from headway.llm.exact_dedup import exact_dedup
@@ -177,3 +178,21 @@ def test_kept_text_is_whole_characters(spark):
     docs = documents(spark, [f"start é{common}ü end", f"begin è{common}ú stop"])
     got = {r.doc_id: r.kept_text for r in suffix_dedup(docs, with_text=True).collect()}
     assert got == {1: "start éü end", 2: "begin èú stop"}
+
+
+@pytest.mark.parametrize("texts", [40, 160])
+def test_levels_do_not_grow_with_what_is_spilled(spark, monkeypatch, texts):
+    """Tables hold one text each; partitions come from the bytes that are left."""
+    levels: list[str] = []
+    write = exact.staged
+
+    def spy(df, label):
+        if label.startswith("grace-") and "groups" not in label:
+            levels.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(exact, "staged", spy)
+    docs = documents(spark, [f"{i:04d}" * 250 for i in range(texts)] * 2)
+    found = exact_dedup(docs, table_bytes=1000).collect()
+    assert sum(r.kept for r in found) == texts and {r.group_size for r in found} == {2}
+    assert len(levels) <= 4
