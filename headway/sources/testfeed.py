@@ -203,6 +203,10 @@ class EventTables:
     def __init__(self, events: DataFrame) -> None:
         self._events = events
 
+    @property
+    def audit(self) -> DataFrame:
+        return self.fetches
+
     @cached_property
     def fetches(self) -> DataFrame:
         return fetches(self._events)
