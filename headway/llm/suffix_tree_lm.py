@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,20 +15,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import batch, python_rows, release, staged, text_bytes
+from headway.llm.common import batch, python_rows, staged, text_bytes
 
-#: A context must make up this share of the training tokens: so there are at most 4000 of a length.
-CONTEXT_SHARE = 1 / 4000
-#: What follows a context is counted by itself if it makes up this share: at most 200 symbols.
-SYMBOL_SHARE = 1 / 200
-#: Longest context, in words (4 at most).
-DEPTH = 4
-#: Words of documents that share a list of words.
+#: A context must occur this often in training.
+LEAST = 2
+#: Longest context, in words.
+DEPTH = 3
+#: Weight of what a shorter context predicts, in tokens.
+PRIOR = 2.0
+#: Words of documents that are visited together.
 BLOCK_TOKENS = 2_000_000
-_WORD_CACHE = 300_000
 
 #: The end of a text; no word hashes an empty string.
-END = xxhash.xxh3_64_intdigest(b"") - (1 << 64) if xxhash.xxh3_64_intdigest(b"") >> 63 else xxhash.xxh3_64_intdigest(b"")
+END = np.uint64(xxhash.xxh3_64_intdigest(b""))
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -36,407 +37,314 @@ def tokens(text: bytes) -> list[bytes]:
     return out
 
 
-def word_hash(word: bytes) -> int:
-    value = xxhash.xxh3_64_intdigest(word)
-    return value - (1 << 64) if value >> 63 else value
+def _pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
 
 
-# Words as numbers within blocks, so that each word of a block is counted and looked up once
+def _unpack(packed: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
 
 
-_CODED_SQL = "block long, doc_id long, held_out boolean, n_tokens long, ids binary, hash long, local int, n long"
-_CODED = pa.schema(
-    [
-        ("block", pa.int64()),
-        ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()),
-        ("n_tokens", pa.int64()),
-        ("ids", pa.binary()),
-        ("hash", pa.int64()),
-        ("local", pa.int32()),
-        ("n", pa.int64()),
-    ]
+# Blocks of documents: words as places in the block's sorted list of word hashes
+
+_BLOCK_SQL = "in_block long, n_tokens long, ids binary, hashes binary, doc_ids binary, nulls binary, held binary, sizes binary"
+_BLOCK = pa.schema(
+    [("in_block", pa.int64()), ("n_tokens", pa.int64())]
+    + [(name, pa.binary()) for name in ("ids", "hashes", "doc_ids", "nulls", "held", "sizes")]
 )
 
 
+def _block(number: int, known: dict[bytes, int], docs: list[tuple]) -> pa.RecordBatch:
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    order = np.argsort(hashes)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    doc_ids, held, ids = zip(*docs)
+    places = rank[np.concatenate(ids)]
+    columns = [
+        places,
+        hashes[order],
+        np.array([0 if d is None else d for d in doc_ids], np.int64),
+        np.array([d is None for d in doc_ids], bool),
+        np.array(held, bool),
+        np.array([len(i) for i in ids], np.int64),
+    ]
+    return batch(_BLOCK, [[number], [len(places)], *([_pack(c)] for c in columns)])
+
+
 def _code_blocks(block_tokens: int):
-    """A row per document with its word numbers, then a row per word of the block with its training count."""
+    """A row per block of documents."""
 
     def run(batches):
         task = TaskContext.get()
-        first = (task.partitionId() if task else 0) << 24
-        pack = zstandard.ZstdCompressor(level=1).compress
-
-        def words_of(block, known, counts):
-            n = np.bincount(np.concatenate([np.empty(0, np.int32), *counts]), minlength=len(known))
-            words = list(known)
-            for start in range(0, len(words), 20_000):
-                part = words[start : start + 20_000]
-                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, part), np.uint64, len(part))
-                nothing = [pa.nulls(len(part), _CODED.field(i).type) for i in range(1, 5)]
-                local = np.arange(start, start + len(part), dtype=np.int32)
-                filled = [hashes.view(np.int64), local, n[start : start + len(part)]]
-                yield batch(_CODED, [np.full(len(part), block), *nothing, *filled])
-
-        def documents_of(rows):
-            nothing = [pa.nulls(len(rows), _CODED.field(i).type) for i in range(5, 8)]
-            return batch(_CODED, [*map(list, zip(*rows)), *nothing])
-
-        block, known, held, counts, rows = first, {}, 0, [], []
+        number = (task.partitionId() if task else 0) << 24
+        known: dict[bytes, int] = {}
+        docs: list[tuple] = []
+        waiting = 0
         for doc_id, held_out, text in python_rows(batches):
             words = tokens(text)
             for word in set(words).difference(known):
                 known[word] = len(known)
-            ids = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-            if not held_out:
-                counts.append(ids)
-            rows.append((block, doc_id, held_out, len(ids), pack(ids.tobytes())))
-            held += len(ids)
-            if len(rows) >= 500:
-                yield documents_of(rows)
-                rows = []
-            if held >= block_tokens:
-                if rows:
-                    yield documents_of(rows)
-                yield from words_of(block, known, counts)
-                block, known, held, counts, rows = block + 1, {}, 0, [], []
-        if rows:
-            yield documents_of(rows)
-        if held:
-            yield from words_of(block, known, counts)
+            docs.append((doc_id, held_out, np.fromiter(map(known.__getitem__, words), np.int32, len(words))))
+            waiting += len(words)
+            if waiting >= block_tokens:
+                yield _block(number, known, docs)
+                number, known, docs, waiting = number + 1, {}, [], 0
+        if docs:
+            yield _block(number, known, docs)
 
     return run
 
 
-# The tree
+# What a block asks of all others: sums for its phrases, in buckets of their hashes
 
+_COUNT, _GAIN = 0, 1
+_ASK_SQL = "in_block long, kind int, level int, bucket long, keys binary, vals binary"
+_ANSWER_SQL = "in_block long, kind int, level int, bucket long, vals binary, members long, total double"
+
+
+def _asks(block: int, kind: int, level: int, keys: np.ndarray, values: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """Sorted keys with the block's own share of each sum, a row per bucket that has any."""
+    at = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(keys)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield block, kind, level, int(at[a]), _pack(keys[a:b]), _pack(values[a:b])
 
-@dataclass
-class SuffixTree:
-    """Contexts are numbered, 0 is the empty one; a context's parent lacks its oldest word.
 
-    ``child_codes`` (parent * symbols + oldest word, sorted) lead to ``child``;
-    ``next_codes`` (context * symbols + next symbol, sorted) to ``next_count``.
-    Symbol -1 stands for all words without a number.
+def _answer(price: float):
+    """Adds up a bucket: counts as they are, gains as whether they pay the price.
+
+    ``members`` and ``total`` of the bucket (phrases counted and their sum, or
+    contexts retained) stand on its first row.
     """
 
-    symbols: dict[int, int]
-    child_codes: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    child: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    total: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    level: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    parent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    next_codes: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    next_count: np.ndarray = field(default_factory=lambda: np.empty(0))
-    back: np.ndarray = field(default_factory=lambda: np.ones(1))
-
-    def _width(self) -> int:
-        return len(self.symbols) + 1
-
-    def contexts(self, symbol: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For each place the context of 1 to ``depth`` words before it, -1 where there is none."""
-        out = []
-        held = np.zeros(len(symbol), np.int64)
-        for back in range(1, depth + 1):
-            older = np.full(len(symbol), -1, np.int64)
-            older[back:] = symbol[:-back] if back < len(symbol) else older[back:]
-            held = _look_up(self.child_codes, self.child, held * self._width() + older, (held >= 0) & (older >= 0))
-            out.append(held)
-        return out
-
-    def log10(self, symbol: np.ndarray, root: np.ndarray) -> float:
-        """The log probability of a text, from the probabilities of its tokens at the root.
-
-        Each token is predicted by the longest suffix of what stands before it
-        that is a state. Of ``total`` + k shares a state's k symbols have what
-        they were counted; the rest goes to all other symbols as its parent would
-        divide it (``back``). So it sums to one if the root does.
-        """
-        p = root.copy()
-        if len(self.child):
-            kinds = np.bincount(self.next_codes // self._width(), minlength=len(self.total))
-            for state in self.contexts(symbol, int(self.level.max())):
-                at = np.flatnonzero(state >= 0)
-                if not len(at):
-                    break
-                s, own = state[at], symbol[at]
-                seen = _look_up(self.next_codes, self.next_count, s * self._width() + own, own >= 0, 0.0)
-                shares = self.total[s] + kinds[s]
-                p[at] = np.where(seen > 0, seen / shares, self.back[s] * p[at])
-        return float(np.log10(p).sum())
-
-
-def _look_up(codes: np.ndarray, values: np.ndarray, wanted: np.ndarray, valid: np.ndarray, missing=-1):
-    out = np.full(len(wanted), missing, values.dtype)
-    if len(codes):
-        at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-        hit = valid & (codes[at] == wanted)
-        out[hit] = values[at[hit]]
-    return out
+    def run(_key: tuple, asks: pd.DataFrame) -> pd.DataFrame:
+        count = int(asks["kind"].iloc[0]) == _COUNT
+        keys = [_unpack(k, np.uint64) for k in asks["keys"]]
+        values = np.concatenate([_unpack(v, np.int64 if count else np.float64) for v in asks["vals"]])
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.zeros(len(distinct), values.dtype)
+        np.add.at(sums, place, values)
+        out = sums if count else (sums > price).astype(np.uint8)
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        members = np.zeros(len(asks), np.int64)
+        total = np.zeros(len(asks))
+        members[0], total[0] = np.count_nonzero(out), float(out.sum())
+        answers = asks[["in_block", "kind", "level", "bucket"]].copy()
+        answers["vals"] = [_pack(v) for v in np.split(out[place], ends)]
+        return answers.assign(members=members, total=total)
 
+    return run
 
-class _Numbers(dict):
-    """Symbol numbers of words, -1 for those that have none."""
-
-    def __init__(self, symbols: dict[int, int]) -> None:
-        super().__init__()
-        self._symbols = symbols
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORD_CACHE:
-            self.clear()
-        self[word] = value = self._symbols.get(word_hash(word), -1)
-        return value
-
-
-class _Counter:
-    """Sums of codes, merged whenever many are waiting."""
-
-    def __init__(self) -> None:
-        self._codes, self._n = np.empty(0, np.int64), np.empty(0, np.int64)
-        self._held: list[np.ndarray] = []
-        self._waiting = 0
-
-    def add(self, codes: np.ndarray) -> None:
-        self._held.append(codes)
-        self._waiting += len(codes)
-        if self._waiting > 2_000_000:
-            self.merge()
-
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if self._held:
-            fresh, n = np.unique(np.concatenate(self._held), return_counts=True)
-            at = np.searchsorted(self._codes, fresh)
-            hit = at < len(self._codes)
-            hit[hit] = self._codes[at[hit]] == fresh[hit]
-            self._n[at[hit]] += n[hit]
-            codes = np.concatenate([self._codes, fresh[~hit]])
-            order = np.argsort(codes, kind="stable")
-            self._codes = codes[order]
-            self._n = np.concatenate([self._n, n[~hit]])[order]
-            self._held, self._waiting = [], 0
-        return self._codes, self._n
-
-
-_COUNT_SQL = "level int, context long, symbol long, n long"
-_COUNT = pa.schema(
-    [("level", pa.int32()), ("context", pa.int64()), ("symbol", pa.int64()), ("n", pa.int64())]
-)
+
+# The tree, as far as a block meets it
 
 
-def _next_counts(symbols: dict[int, int], contexts: np.ndarray, pairs: np.ndarray | None, depth: int):
-    """How often each symbol follows each context, summed within the task.
+def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a context and the word after it."""
+    x = context * np.uint64(0x9E3779B97F4A7C15) + word
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
-    Without ``pairs`` contexts are single words, numbered by their place among
-    ``contexts``. With the codes of frequent pairs of these they are two to
-    ``depth`` words, each two neighbours a frequent pair; a context's number is
-    made of the places of its pairs. Documents follow each other with their ends
-    between, which are in no context.
+
+@dataclass
+class _Phrases:
+    """The phrases of one length in a block: where they end, which they are, their sorted hashes.
+
+    ``context`` has the place, among the phrases one word shorter, of what stands
+    before the last word. ``asked`` lists those places, each once.
     """
 
+    at: np.ndarray
+    which: np.ndarray
+    keys: np.ndarray
+    context: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    asked: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+
+
+class _Visit:
+    """A block with what has been answered to it: counts of phrases of up to ``counted``
+    words, which contexts of up to ``tested`` words are retained."""
+
+    def __init__(self, block, answers: pd.DataFrame, least: int, counted: int, tested: int) -> None:
+        self.number = int(block["in_block"])
+        self.least = least
+        self.ids = _unpack(block["ids"], np.int32)
+        self.sizes = _unpack(block["sizes"], np.int64)
+        self.held = _unpack(block["held"], bool)
+        self.doc_ids = _unpack(block["doc_ids"], np.int64)
+        self.nulls = _unpack(block["nulls"], bool)
+        hashes = _unpack(block["hashes"], np.uint64)
+        self.words = hashes[self.ids]
+        self.train = np.repeat(~self.held, self.sizes)
+        self.phrases = [_Phrases(np.arange(len(self.ids)), self.ids, hashes)]
+        self.counts: list[np.ndarray] = []
+        self.retained: list[np.ndarray] = []
+        filed: dict[tuple, list] = {}
+        for kind, level, bucket, values in zip(*(answers[c] for c in ("kind", "level", "bucket", "vals"))):
+            filed.setdefault((kind, level), []).append((bucket, values))
+
+        def told(kind: int, level: int, dtype) -> np.ndarray:
+            parts = sorted(filed.get((kind, level), []))
+            return np.concatenate([np.empty(0, dtype), *(_unpack(v, dtype) for _, v in parts)])
+
+        for level in range(1, counted + 1):
+            if level > 1:
+                self.phrases.append(self.longer())
+            self.counts.append(told(_COUNT, level, np.int64))
+        for level in range(1, tested + 1):
+            bits = np.zeros(len(self.phrases[level - 1].keys), bool)
+            bits[self.phrases[level].asked] = told(_GAIN, level, np.uint8) > 0
+            self.retained.append(bits)
+
+    def longer(self) -> _Phrases:
+        """The phrases that a word makes of frequent contexts; nothing follows an end."""
+        last = self.phrases[-1]
+        ok = (self.counts[-1][last.which] >= self.least) & (self.words[last.at] != END)
+        at, context = last.at[ok] + 1, last.which[ok]
+        keys, which = np.unique(_mix(last.keys[context], self.words[at]), return_inverse=True)
+        used = np.zeros(len(last.keys), bool)
+        used[context] = True
+        return _Phrases(at, which, keys, context, np.flatnonzero(used))
+
+    def own_counts(self, level: int) -> np.ndarray:
+        here = self.phrases[level - 1]
+        return np.bincount(here.which[self.train[here.at]], minlength=len(here.keys)).astype(np.int64)
+
+    def root(self, n_tokens: int, n_words: int) -> np.ndarray:
+        return (self.counts[0][self.ids] + 1) / (n_tokens + n_words + 1)
+
+    def predicted(self, root: np.ndarray, prior: float) -> np.ndarray:
+        """What the longest retained contexts give each token.
+
+        A context has its counts and, for ``prior`` tokens more, what the longest
+        retained context within it predicts. So it sums to one if the root does.
+        """
+        p = root.copy()
+        for k in range(len(self.retained)):
+            here = self.phrases[k + 1]
+            kept = self.retained[k][here.context]
+            at = here.at[kept]
+            n, c = self.counts[k + 1][here.which[kept]], self.counts[k][here.context[kept]]
+            p[at] = (n + prior * p[at]) / (c + prior)
+        return p
+
+    def gains(self, p: np.ndarray, prior: float, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts of ``level`` words and by how much they beat ``p`` on the block's training tokens.
+
+        Every token is predicted from the counts without itself.
+        """
+        here = self.phrases[level]
+        mine = self.train[here.at]
+        at, context = here.at[mine], here.context[mine]
+        n, c = self.counts[level][here.which[mine]], self.counts[level - 1][context]
+        gain = np.log((n - 1 + prior * p[at]) / ((c - 1 + prior) * p[at]))
+        shorter = self.phrases[level - 1].keys
+        sums = np.bincount(context, weights=gain, minlength=len(shorter))
+        return shorter[here.asked], sums[here.asked]
+
+
+def _first_asks(buckets: int):
     def run(batches):
-        numbers = _Numbers(symbols)
-        width, k = len(symbols) + 1, len(contexts)
-        place = np.full(width, -1, np.int64)
-        place[contexts] = np.arange(k)
-        counters = [_Counter() for _ in range(depth + 1)]
+        names = ("in_block", "kind", "level", "bucket", "keys", "vals")
+        nothing = pd.DataFrame(columns=["kind", "level", "bucket", "vals"])
         for one in batches:
-            words: list[bytes] = []
-            for text in one.column(0).to_pylist():
-                words += tokens(text)
-            symbol = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-            # Words without a number share the last place of a row of codes.
-            symbol[symbol < 0] = width - 1
-            single = place[symbol]
-            if pairs is None:
-                at = np.flatnonzero(single[:-1] >= 0)
-                counters[1].add(single[at] * width + symbol[at + 1])
-                continue
-            pair = _look_up(
-                pairs, np.arange(len(pairs)), single[:-1] * k + single[1:], (single[:-1] >= 0) & (single[1:] >= 0)
-            )
-            state = pair  # of the words that end at each place but the first
-            for level in range(2, depth + 1):
-                at = np.flatnonzero(state[:-1] >= 0)
-                counters[level].add(state[at] * width + symbol[level:][at])
-                after = pair[level - 1 :]
-                state = np.where((state[:-1] >= 0) & (after >= 0), state[:-1] * len(pairs) + after, -1)
-                if not (state >= 0).any():
-                    break
-        for level, counter in enumerate(counters):
-            codes, n = counter.merge()
-            for start in range(0, len(codes), 100_000):
-                part = codes[start : start + 100_000]
-                levels = np.full(len(part), level, np.int32)
-                yield batch(_COUNT, [levels, part // width, part % width, n[start : start + 100_000]])
+            for block in one.to_pylist():
+                visit = _Visit(block, nothing, 1, 0, 0)
+                rows = _asks(visit.number, _COUNT, 1, visit.phrases[0].keys, visit.own_counts(1), buckets)
+                yield pa.RecordBatch.from_pandas(
+                    pd.DataFrame(rows, columns=names).astype({"kind": "int32", "level": "int32"}), preserve_index=False
+                )
 
     return run
 
 
-def _frequent(found: DataFrame, least: float) -> list[tuple]:
-    """(level, context, symbol, n, total) of frequent contexts and what often follows them.
+def _next_asks(step: int, depth: int, n_tokens: int, n_words: int, least: int, prior: float, buckets: int):
+    """Counts of phrases of ``step`` + 1 words, gains of contexts of ``step`` - 1 words."""
 
-    A context's total is of all that follows it. Kept are symbols with a share
-    of it, and those frequent enough to make a longer context. All of it is
-    bounded by the shares.
-    """
-    sums = staged(found.groupBy("level", "context", "symbol").agg(F.sum("n").alias("n")), "next-counts")
-    totals = sums.groupBy("level", "context").agg(F.sum("n").alias("total"))
-    totals = totals.filter(F.col("total") >= least)
-    kept = sums.join(F.broadcast(totals), ["level", "context"])
-    often = F.least(SYMBOL_SHARE * F.col("total"), F.lit(float(least)))
-    kept = kept.filter(F.col("n") >= often)
-    rows = [tuple(r) for r in kept.select("level", "context", "symbol", "n", "total").collect()]
-    release(sums)
-    return rows
-
-
-def grow(train: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = DEPTH) -> SuffixTree:
-    """Build the tree from the training texts in two passes, then prune it.
-
-    ``train``: text; ``counts``: hash, c. The first pass counts what follows
-    single words, the second what follows longer contexts, all of whose pairs of
-    neighbours are frequent. What comes to the driver is bounded by the shares,
-    whatever the size of the corpus.
+    def run(_key: tuple, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        for _, block in blocks.iterrows():
+            visit = _Visit(block, answers, least, step, max(0, step - 2))
+            if step <= depth:
+                visit.phrases.append(visit.longer())
+                asked = visit.phrases[step].keys, visit.own_counts(step + 1)
+                rows += _asks(visit.number, _COUNT, step + 1, *asked, buckets)
+            if step >= 2:
+                asked = visit.gains(visit.predicted(visit.root(n_tokens, n_words), prior), prior, step - 1)
+                rows += _asks(visit.number, _GAIN, step - 1, *asked, buckets)
+        out = pd.DataFrame(rows, columns=["in_block", "kind", "level", "bucket", "keys", "vals"])
+        return out.astype({"in_block": "int64", "kind": "int32", "level": "int32", "bucket": "int64"})
+
+    return run
+
+
+@dataclass
+class SuffixTree:
+    """A tree that lies with the blocks: what each was answered about its own contexts.
+
+    ``states`` has the number of retained contexts by length, from one word.
     """
-    least = max(1.0, CONTEXT_SHARE * n_tokens)
-    frequent = counts.filter(F.col("c") >= SYMBOL_SHARE * least).filter(F.col("hash") != END)
-    rows = frequent.orderBy(F.desc("c"), "hash").collect()
-    symbols = {row["hash"]: i for i, row in enumerate(rows)}
-    # The end follows contexts, but nothing follows it.
-    symbols[END] = len(symbols)
-    tree = SuffixTree(symbols)
-    end = counts.filter(F.col("hash") == END).first()
-    root = np.array([*[row["c"] for row in rows], end["c"] if end else 0], np.float64)
-    tree.total = np.array([float(n_tokens)])
-    width = len(symbols) + 1
-    contexts = np.flatnonzero(root[:-1] >= least)
-    if not len(contexts):
-        return tree
-
-    def count(pairs):
-        run = _next_counts(symbols, contexts, pairs, depth)
-        return _frequent(train.mapInArrow(run, _COUNT_SQL), least)
-
-    found = [((int(contexts[c]),), s, n, total) for _, c, s, n, total in count(None)]
-    place = {int(s): i for i, s in enumerate(contexts)}
-    frequent_pairs = sorted(
-        place[c[0]] * len(contexts) + place[s] for c, s, n, _ in found if n >= least and s in place
-    )
-    if frequent_pairs and depth > 1:
-        pairs = np.array(frequent_pairs, np.int64)
-
-        def sequence(level: int, code: int) -> tuple[int, ...]:
-            held = []
-            for _ in range(level - 1):
-                code, last = divmod(code, len(pairs))
-                held.append(int(pairs[last]))
-            held.reverse()
-            first = int(contexts[held[0] // len(contexts)])
-            return (first, *[int(contexts[p % len(contexts)]) for p in held])
-
-        found += [(sequence(level, c), s, n, total) for level, c, s, n, total in count(pairs)]
-    return prune(_as_tree(tree, found), (root + 1) / (n_tokens + n_words + 1))
-
-
-def _as_tree(tree: SuffixTree, found: list[tuple]) -> SuffixTree:
-    """Number the contexts, shorter ones first, and file what follows them."""
-    width = tree._width()
-    totals = {context: total for context, _, _, total in found}
-    number: dict[tuple, int] = {(): 0}
-    child_codes, child, total, level, parent = [], [], [tree.total[0]], [0], [0]
-    for context in sorted(totals, key=lambda c: (len(c), c)):
-        up = number.get(context[1:])
-        if up is None:
-            continue
-        number[context] = len(total)
-        child_codes.append(up * width + context[0])
-        child.append(number[context])
-        total.append(float(totals[context]))
-        level.append(len(context))
-        parent.append(up)
-    nexts = [
-        (number[c] * width + s, n)
-        for c, s, n, t in found
-        if c in number and s < width - 1 and n >= SYMBOL_SHARE * t
-    ]
-    order = np.argsort(np.array(child_codes, np.int64))
-    next_codes = np.array([x[0] for x in nexts], np.int64)
-    next_order = np.argsort(next_codes)
-    return SuffixTree(
-        tree.symbols,
-        np.array(child_codes, np.int64)[order],
-        np.array(child, np.int64)[order],
-        np.array(total),
-        np.array(level, np.int64),
-        np.array(parent, np.int64),
-        next_codes[next_order],
-        np.array([float(x[1]) for x in nexts])[next_order],
-    )
 
+    blocks: DataFrame
+    answers: list[DataFrame]
+    n_tokens: int
+    n_words: int
+    states: list[int]
+    least: int
+    prior: float
+
+    def visit(self, run, schema: str) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, self.answers).select("in_block", "kind", "level", "bucket", "vals")
+        rows = rows.withColumnRenamed("in_block", "block")
+        return self.blocks.groupBy("in_block").cogroup(rows.groupBy("block")).applyInPandas(run, schema)
 
-def prune(tree: SuffixTree, base: np.ndarray) -> SuffixTree:
-    """Keep the contexts whose next symbols differ from their parent's.
 
-    The test: the count times the Kullback-Leibler divergence of the symbols
-    (and of all others together) from the parent's distribution must exceed half
-    the logarithm of the number of tokens for each symbol counted. A kept context's suffixes are kept. ``base`` has the
-    probabilities of the symbols at the root.
+def grow(
+    plain: DataFrame,
+    depth: int = DEPTH,
+    least: int = LEAST,
+    prior: float = PRIOR,
+    block_tokens: int = BLOCK_TOKENS,
+) -> SuffixTree:
+    """Learn a tree from doc_id, held_out, text (bytes).
+
+    A context of up to ``depth`` words is a candidate if it occurs ``least``
+    times in training: so their number grows with the corpus. It is retained if
+    it tells its training tokens, each from the counts without itself, better
+    than the longest retained context within it does: the sum of the log ratios,
+    which is its count times the divergence of the two, must exceed half the
+    logarithm of the number of tokens.
+
+    Each step is one visit of all blocks. A block asks for each of its phrases
+    once, in buckets by hash; a bucket is added up in one task and its answers go
+    back. There are as many buckets as keep one at about a quarter of
+    ``block_tokens`` phrases, so a frequent word or phrase has one entry a block in its bucket
+    and the tree is in no place as a whole.
     """
-    width = tree._width()
-    start = np.searchsorted(tree.next_codes, np.arange(len(tree.total) + 1) * width)
-    keep = np.zeros(len(tree.total), bool)
-    keep[0] = True
-    price = max(1.0, 0.5 * np.log(max(1.0, tree.total[0])))
-    cache: dict[int, tuple] = {}
-    back = np.ones(len(tree.total))
-
-    def probability(context: int, wanted: np.ndarray) -> np.ndarray:
-        if context == 0:
-            return base[wanted]
-        symbols, share = cache[context]
-        own = _look_up(symbols, share, wanted, np.ones(len(wanted), bool), 0.0)
-        return np.where(own > 0, own, back[context] * probability(int(tree.parent[context]), wanted))
-
-    for context in np.argsort(tree.level, kind="stable").tolist():
-        if context == 0:
-            continue
-        a, b = start[context], start[context + 1]
-        symbols = tree.next_codes[a:b] - context * width
-        shares = tree.total[context] + len(symbols)
-        cache[context] = (symbols, tree.next_count[a:b] / shares)
-        if not len(symbols):
-            continue
-        here = tree.next_count[a:b] / tree.total[context]
-        above = probability(int(tree.parent[context]), symbols)
-        other_here, other_above = max(0.0, 1 - here.sum()), max(1e-12, 1 - above.sum())
-        back[context] = (1 - tree.next_count[a:b].sum() / shares) / other_above
-        divergence = float((here * np.log(here / above)).sum())
-        if other_here > 0:
-            divergence += other_here * np.log(other_here / other_above)
-        if tree.total[context] * divergence > len(symbols) * price:
-            while not keep[context]:
-                keep[context] = True
-                context = int(tree.parent[context])
-    number = np.cumsum(keep) - 1
-    children = keep[tree.child]
-    owner = tree.next_codes // width
-    nexts = keep[owner]
-    child_codes = number[tree.child_codes[children] // width] * width + tree.child_codes[children] % width
-    order = np.argsort(child_codes)
-    next_codes = number[owner[nexts]] * width + tree.next_codes[nexts] % width
-    next_order = np.argsort(next_codes)
-    return SuffixTree(
-        tree.symbols,
-        child_codes[order],
-        number[tree.child[children]][order],
-        tree.total[keep],
-        tree.level[keep],
-        number[tree.parent[keep]],
-        next_codes[next_order],
-        tree.next_count[nexts][next_order],
-        back[keep],
-    )
+    blocks = staged(plain.mapInArrow(_code_blocks(block_tokens), _BLOCK_SQL), "blocks")
+    size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
+    buckets = max(8, 4 * size // block_tokens)
+    tree = SuffixTree(blocks, [], 0, 0, [], least, prior)
+
+    def answered(asks: DataFrame, price: float, label: str) -> DataFrame:
+        found = asks.groupBy("kind", "level", "bucket").applyInPandas(_answer(price), _ANSWER_SQL)
+        found = staged(found, label)
+        tree.answers.append(found)
+        return found
+
+    words = answered(blocks.mapInArrow(_first_asks(buckets), _ASK_SQL), 0.0, "words")
+    row = words.agg(F.sum("members"), F.sum("total")).first()
+    tree.n_words, tree.n_tokens = int(row[0] or 0), int(row[1] or 0)
+    price = 0.5 * float(np.log(max(2, tree.n_tokens)))
+    for step in range(1, depth + 2):
+        run = _next_asks(step, depth, tree.n_tokens, tree.n_words, least, prior, buckets)
+        found = answered(tree.visit(run, _ASK_SQL), price, f"phrases-{step}")
+        if step >= 2:
+            tree.states.append(int(found.filter(F.col("kind") == _GAIN).agg(F.sum("members")).first()[0] or 0))
+    return tree
 
 
 _SCORED_SQL = (
@@ -444,26 +352,28 @@ _SCORED_SQL = (
 )
 
 
-def _score_block(tree: SuffixTree, n_tokens: int, n_words: int):
-    def run(_key, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+def _score_blocks(n_tokens: int, n_words: int, least: int, prior: float, depth: int):
+    def run(_key: tuple, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
-        count = np.zeros(int(words["local"].max()) + 1 if len(words) else 0, np.int64)
-        symbol = np.full(len(count), -1, np.int64)
-        local = words["local"].to_numpy(np.int64)
-        count[local] = words["c"].to_numpy(np.int64)
-        symbol[local] = words["symbol"].to_numpy(np.int64)
-        unpack = zstandard.ZstdDecompressor().decompress
-        for doc_id, held_out, packed in zip(docs["doc_id"], docs["held_out"], docs["ids"]):
-            ids = np.frombuffer(unpack(packed), np.int32)
-            c = count[ids]
-            root = (c + 1) / (n_tokens + n_words + 1)
-            base = float(np.log10(root).sum())
-            out.append(
-                (doc_id, held_out, len(ids), int((c > 0).sum()), n_tokens, base, tree.log10(symbol[ids], root))
+        for _, block in blocks.iterrows():
+            visit = _Visit(block, answers, least, depth + 1, depth)
+            root = visit.root(n_tokens, n_words)
+            starts = np.concatenate([[0], np.cumsum(visit.sizes)[:-1]])
+            p = visit.predicted(root, prior)
+            scored = pd.DataFrame(
+                {
+                    "doc_id": pd.array(visit.doc_ids, "Int64"),
+                    "held_out": visit.held,
+                    "n_tokens": visit.sizes,
+                    "n_known": np.add.reduceat((visit.counts[0][visit.ids] > 0).astype(np.int64), starts),
+                    "train_tokens": n_tokens,
+                    "base_score": np.add.reduceat(np.log10(root), starts),
+                    "score": np.add.reduceat(np.log10(p), starts),
+                }
             )
-        columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        scored = pd.DataFrame(out, columns=columns)
-        return scored.astype({"doc_id": "Int64"})
+            scored.loc[visit.nulls, "doc_id"] = pd.NA
+            out.append(scored)
+        return pd.concat(out)
 
     return run
 
@@ -474,6 +384,8 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     depth: int = DEPTH,
+    least: int = LEAST,
+    prior: float = PRIOR,
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Log probabilities of all texts under a suffix tree learnt from those not held out.
@@ -484,35 +396,14 @@ def score(
     token has probability one. Other columns are ignored; an empty table gives
     an empty result.
 
-    Words are numbered within blocks of documents. Counts are summed over the
-    words of blocks, not over tokens, and go back to blocks the same way, so no
-    vocabulary is ever in one place.
+    Words and phrases are told apart by 64-bit hashes. A document lies in one
+    block, so one document is the unit of memory.
     """
     plain = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         text_bytes(text_col).alias("text"),
     )
-    coded = staged(plain.mapInArrow(_code_blocks(block_tokens), _CODED_SQL), "coded")
-    words = coded.filter("hash IS NOT NULL").select("block", "hash", "local", "n")
-    counts = staged(words.groupBy("hash").agg(F.sum("n").alias("c")).filter("c > 0"), "word-counts")
-    total = counts.agg(F.count(F.lit(1)).alias("words"), F.sum("c").alias("tokens")).first()
-    n_words, n_tokens = int(total["words"]), int(total["tokens"] or 0)
-    tree = grow(plain.filter("NOT held_out").select("text"), counts, n_tokens, n_words, depth)
-    spark = docs.sparkSession
-    numbered = spark.createDataFrame(list(tree.symbols.items()), "hash long, symbol int")
-    known = counts.join(F.broadcast(numbered), "hash", "left")
-    looked_up = words.select("block", "hash", "local").join(known, "hash").select(
-        "block", "local", "c", F.coalesce("symbol", F.lit(-1)).alias("symbol")
-    )
-    # Words never met in training count 0; the last word of a block is named to give its size.
-    sizes = words.groupBy("block").agg(F.max("local").alias("local"))
-    looked_up = looked_up.unionByName(
-        sizes.select("block", "local", F.lit(0).cast("long").alias("c"), F.lit(-1).alias("symbol"))
-    )
-    looked_up = looked_up.groupBy("block", "local").agg(F.max("c").alias("c"), F.max("symbol").alias("symbol"))
-    texts = coded.filter("hash IS NULL").select(
-        F.col("block").alias("in_block"), "doc_id", "held_out", "ids"
-    )
-    scored = texts.groupBy("in_block").cogroup(looked_up.groupBy("block"))
-    return scored.applyInPandas(_score_block(tree, n_tokens, n_words), _SCORED_SQL)
+    tree = grow(plain, depth, least, prior, block_tokens)
+    run = _score_blocks(tree.n_tokens, tree.n_words, least, prior, depth)
+    return tree.visit(run, _SCORED_SQL)

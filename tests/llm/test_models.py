@@ -262,31 +262,90 @@ def test_a_next_word_of_a_hundredth_counts_by_itself(spark):
     assert [r.score > r.base_score for r in rows] == [True]
 
 
-def test_next_symbols_sum_to_one(spark):
+class BruteTree:
+    """The same model over one list of training texts, phrase by phrase."""
+
+    def __init__(self, train, depth=3, least=2, prior=2.0):
+        self.depth, self.prior, self.n = depth, prior, Counter()
+        for t in train:
+            for k in range(1, depth + 2):
+                self.n.update(tuple(t[i : i + k]) for i in range(len(t) - k + 1))
+        self.tokens = sum(len(t) for t in train)
+        self.words = sum(len(g) == 1 for g in self.n)
+        self.kept: set = set()
+        price = 0.5 * math.log(max(2, self.tokens))
+        for k in range(1, depth + 1):
+            gain: Counter = Counter()
+            for g, n in self.n.items():
+                if len(g) == k + 1 and self.n[g[:-1]] >= least:
+                    p = self.p(g[:-1], g[-1])
+                    gain[g[:-1]] += n * math.log((n - 1 + prior * p) / ((self.n[g[:-1]] - 1 + prior) * p))
+            self.kept |= {c for c, x in gain.items() if x > price}
+
+    def p(self, before, word):
+        out = (self.n[(word,)] + 1) / (self.tokens + self.words + 1)
+        for k in range(1, min(self.depth, len(before)) + 1):
+            c = tuple(before[-k:])
+            if c in self.kept:
+                out = (self.n[(*c, word)] + self.prior * out) / (self.n[c] + self.prior)
+        return out
+
+    def score(self, text):
+        return sum(math.log10(self.p(text[:i], text[i])) for i in range(len(text)))
+
+
+def lm_tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+def test_scores_equal_a_tree_in_one_place(spark):
+    rng = random.Random(5)
+    shared = prose(99, 30, 3000)
+    texts = [t for i in range(30) for t in (chain_text(rng, 60), prose(i // 2, 20, 3000), f"{prose(1000 + i, 9, 3000)} {shared}")]
+    texts += [" ".join(f"{a} m n {a}2" for a in rng.choices("rst", k=12)) for _ in range(12)]
+    texts += [t[1] if isinstance(t, tuple) else t for t in ODD]
+    split = {i: lm_tokens(t) for i, t in enumerate(texts, 1)}
+    tree = BruteTree([t for i, t in split.items() if zlib.crc32(str(i).encode()) % 7 != 2])
+    assert {len(c) for c in tree.kept} == {1, 2, 3}
+    for options in ({}, {"block_tokens": 200}):
+        for r in lm_rows(spark, texts, **options):
+            assert r.score == pytest.approx(tree.score(split[r.doc_id]), rel=1e-9)
+    for depth in (1, 2):
+        tree = BruteTree([t for i, t in split.items() if zlib.crc32(str(i).encode()) % 7 != 2], depth, 3, 0.5)
+        for r in lm_rows(spark, texts, depth=depth, least=3, prior=0.5):
+            assert r.score == pytest.approx(tree.score(split[r.doc_id]), rel=1e-9)
+
+
+def test_next_symbols_sum_to_one():
     rng = random.Random(2)
-    texts = [chain_text(rng, 200) for _ in range(30)]
-    docs = documents(spark, texts).selectExpr("cast(text as binary) as text")
-    count: Counter = Counter()
-    for t in texts:
-        count.update(suffix_tree_lm.tokens(t.encode()))
-    n, v = sum(count.values()), len(count)
-    counts = frame(spark, [(suffix_tree_lm.word_hash(w), c) for w, c in count.items()], "hash long, c long")
-    tree = suffix_tree_lm.grow(docs, counts, n, v)
-    assert int(tree.level.max()) >= 2
+    tree = BruteTree([lm_tokens(chain_text(rng, 200)) for _ in range(30)])
+    assert max(len(c) for c in tree.kept) >= 2
+    known = [g[0] for g in tree.n if len(g) == 1]
     for before in ("a", "a b", "b c b", "d d a b", "x a b", "x"):
-        given = [tree.symbols.get(suffix_tree_lm.word_hash(w.encode()), -1) for w in before.split()]
-        total = 0.0
-        for word in [*count, b"never"]:
-            symbol = np.array([*given, tree.symbols.get(suffix_tree_lm.word_hash(word), -1)])
-            root = np.ones(len(symbol))
-            head = tree.log10(symbol[:-1], root[:-1])
-            root[-1] = (count[word] + 1) / (n + v + 1)
-            total += 10 ** (tree.log10(symbol, root) - head)
-        assert total == pytest.approx(1)
+        assert sum(tree.p(before.encode().split(), w) for w in [*known, b"never"]) == pytest.approx(1)
+
+
+def test_documents_that_occur_twice_are_told(spark):
+    texts = [prose(i, 60, 4000) for i in range(100)]
+    docs = documents(spark, [*texts, *texts[:10]])
+    rows = {r.doc_id: r.score / r.base_score for r in suffix_tree_lm.score(docs, F.lit(False)).collect()}
+    twice = max(rows[i] for i in [*range(1, 11), *range(101, 111)])
+    assert twice < 0.5 and twice < 0.7 * min(rows[i] for i in range(11, 101))
+
+
+def test_states_grow_with_the_corpus(spark):
+    def states(n):
+        texts = [prose(i // 2, 50, 3000 * n) for i in range(20 * n)]
+        plain = documents(spark, texts).selectExpr("doc_id", "false AS held_out", "cast(text AS binary) AS text")
+        return sum(suffix_tree_lm.grow(plain).states)
+
+    assert states(10) >= 5 * states(1) > 0
 
 
 def test_suffix_tree_of_nothing(spark):
     docs = documents(spark, ["a"]).filter("false")
     assert suffix_tree_lm.score(docs, F.lit(False)).count() == 0
+    plain = docs.selectExpr("doc_id", "false AS held_out", "cast(text AS binary) AS text")
+    assert suffix_tree_lm.grow(plain).states == [0, 0, 0]
     (row,) = suffix_tree_lm.score(documents(spark, ["a b"]), F.lit(True)).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
