@@ -38,14 +38,25 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    """Numbers by planes: the first bytes of all, then the second bytes, and so on."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).data)
 
 
 def _unpack(packed: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
-# Blocks of documents: words as places in the block's sorted list of word hashes
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
+
+
+# Blocks of documents: words as numbers, frequent ones first, into the block's list of word hashes
 
 _BLOCK_SQL = "in_block long, n_tokens long, ids binary, hashes binary, doc_ids binary, nulls binary, held binary, sizes binary"
 _BLOCK = pa.schema(
@@ -56,11 +67,12 @@ _BLOCK = pa.schema(
 
 def _block(number: int, known: dict[bytes, int], docs: list[tuple]) -> pa.RecordBatch:
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-    order = np.argsort(hashes)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
     doc_ids, held, ids = zip(*docs)
-    places = rank[np.concatenate(ids)]
+    places = np.concatenate(ids)
+    order = np.argsort(-np.bincount(places), kind="stable")
+    number_of = np.empty(len(order), np.int32)
+    number_of[order] = np.arange(len(order), dtype=np.int32)
+    places = number_of[places]
     columns = [
         places,
         hashes[order],
@@ -100,31 +112,35 @@ def _code_blocks(block_tokens: int):
 
 _COUNT, _GAIN = 0, 1
 _ASK_SQL = "in_block long, kind int, level int, bucket long, keys binary, vals binary"
-_ANSWER_SQL = "in_block long, kind int, level int, bucket long, vals binary, members long, total double"
+_ANSWER_SQL = "in_block long, kind int, level int, bucket long, vals binary, places binary, members long, total double"
 
 
-def _asks(block: int, kind: int, level: int, keys: np.ndarray, values: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """Sorted keys with the block's own share of each sum, a row per bucket that has any."""
-    at = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def _asks(
+    block: int, kind: int, level: int, hashes: np.ndarray, keys: np.ndarray, values: np.ndarray, buckets: int
+) -> Iterator[tuple]:
+    """The block's own share of each key's sum, a row per bucket of the sorted hashes that has any."""
+    at = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(keys)]
     for a, b in zip(edges, edges[1:]):
         if b > a:
-            yield block, kind, level, int(at[a]), _pack(keys[a:b]), _pack(values[a:b])
+            yield block, kind, level, int(at[a]), _pack_sorted(keys[a:b]), _pack(values[a:b])
 
 
-def _answer(price: float):
+def _answer(price: float, least: int):
     """Adds up a bucket: counts as they are, gains as whether they pay the price.
 
-    ``members`` and ``total`` of the bucket (phrases counted and their sum, or
-    contexts retained) stand on its first row.
+    ``places`` number the phrases that occur ``least`` times, so that they can be
+    named by a small number when they are contexts. ``members`` and ``total`` of
+    the bucket (phrases counted and their sum, or contexts retained) stand on its
+    first row.
     """
 
     def run(_key: tuple, asks: pd.DataFrame) -> pd.DataFrame:
         count = int(asks["kind"].iloc[0]) == _COUNT
-        keys = [_unpack(k, np.uint64) for k in asks["keys"]]
-        values = np.concatenate([_unpack(v, np.int64 if count else np.float64) for v in asks["vals"]])
+        keys = [_unpack_sorted(k) for k in asks["keys"]]
+        values = np.concatenate([_unpack(v, np.int32 if count else np.float32) for v in asks["vals"]])
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.zeros(len(distinct), values.dtype)
+        sums = np.zeros(len(distinct), np.int64 if count else np.float64)
         np.add.at(sums, place, values)
         out = sums if count else (sums > price).astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])[:-1]
@@ -133,6 +149,11 @@ def _answer(price: float):
         members[0], total[0] = np.count_nonzero(out), float(out.sum())
         answers = asks[["in_block", "kind", "level", "bucket"]].copy()
         answers["vals"] = [_pack(v) for v in np.split(out[place], ends)]
+        answers["places"] = None
+        if count:
+            often = sums >= least
+            named = (np.cumsum(often) - 1).astype(np.uint64)
+            answers["places"] = [_pack_sorted(named[p[often[p]]]) for p in np.split(place, ends)]
         return answers.assign(members=members, total=total)
 
     return run
@@ -154,7 +175,8 @@ class _Phrases:
     """The phrases of one length in a block: where they end, which they are, their sorted hashes.
 
     ``context`` has the place, among the phrases one word shorter, of what stands
-    before the last word. ``asked`` lists those places, each once.
+    before the last word. ``asked`` lists those places, each once. Once answered,
+    ``places`` has the number, within its bucket, of each phrase frequent enough.
     """
 
     at: np.ndarray
@@ -162,6 +184,7 @@ class _Phrases:
     keys: np.ndarray
     context: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     asked: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    places: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
 
 
 class _Visit:
@@ -171,29 +194,40 @@ class _Visit:
     def __init__(self, block, answers: pd.DataFrame, least: int, counted: int, tested: int) -> None:
         self.number = int(block["in_block"])
         self.least = least
-        self.ids = _unpack(block["ids"], np.int32)
+        hashes = _unpack(block["hashes"], np.uint64)
+        order = np.argsort(hashes)
+        sorted_place = np.empty(len(order), np.int32)
+        sorted_place[order] = np.arange(len(order), dtype=np.int32)
+        self.ids = sorted_place[_unpack(block["ids"], np.int32)]
         self.sizes = _unpack(block["sizes"], np.int64)
         self.held = _unpack(block["held"], bool)
         self.doc_ids = _unpack(block["doc_ids"], np.int64)
         self.nulls = _unpack(block["nulls"], bool)
-        hashes = _unpack(block["hashes"], np.uint64)
+        hashes = hashes[order]
         self.words = hashes[self.ids]
         self.train = np.repeat(~self.held, self.sizes)
-        self.phrases = [_Phrases(np.arange(len(self.ids)), self.ids, hashes)]
+        self.phrases = [_Phrases(np.arange(len(self.ids), dtype=np.int32), self.ids, hashes)]
         self.counts: list[np.ndarray] = []
         self.retained: list[np.ndarray] = []
         filed: dict[tuple, list] = {}
-        for kind, level, bucket, values in zip(*(answers[c] for c in ("kind", "level", "bucket", "vals"))):
-            filed.setdefault((kind, level), []).append((bucket, values))
+        columns = (answers[c] for c in ("kind", "level", "bucket", "vals", "places"))
+        for kind, level, bucket, values, places in zip(*columns):
+            filed.setdefault((kind, level), []).append((bucket, values, places))
+        for parts in filed.values():
+            parts.sort(key=lambda part: part[0])
 
         def told(kind: int, level: int, dtype) -> np.ndarray:
-            parts = sorted(filed.get((kind, level), []))
-            return np.concatenate([np.empty(0, dtype), *(_unpack(v, dtype) for _, v in parts)])
+            parts = filed.get((kind, level), [])
+            return np.concatenate([np.empty(0, dtype), *(_unpack(v, dtype) for _, v, _ in parts)])
 
         for level in range(1, counted + 1):
             if level > 1:
                 self.phrases.append(self.longer())
             self.counts.append(told(_COUNT, level, np.int64))
+            here = self.phrases[-1]
+            here.places = np.zeros(len(here.keys), np.uint64)
+            named = [_unpack_sorted(places) for _, _, places in filed.get((_COUNT, level), [])]
+            here.places[self.counts[-1] >= least] = np.concatenate([np.empty(0, np.uint64), *named])
         for level in range(1, tested + 1):
             bits = np.zeros(len(self.phrases[level - 1].keys), bool)
             bits[self.phrases[level].asked] = told(_GAIN, level, np.uint8) > 0
@@ -207,11 +241,11 @@ class _Visit:
         keys, which = np.unique(_mix(last.keys[context], self.words[at]), return_inverse=True)
         used = np.zeros(len(last.keys), bool)
         used[context] = True
-        return _Phrases(at, which, keys, context, np.flatnonzero(used))
+        return _Phrases(at, which.astype(np.int32), keys, context, np.flatnonzero(used))
 
     def own_counts(self, level: int) -> np.ndarray:
         here = self.phrases[level - 1]
-        return np.bincount(here.which[self.train[here.at]], minlength=len(here.keys)).astype(np.int64)
+        return np.bincount(here.which[self.train[here.at]], minlength=len(here.keys)).astype(np.int32)
 
     def root(self, n_tokens: int, n_words: int) -> np.ndarray:
         return (self.counts[0][self.ids] + 1) / (n_tokens + n_words + 1)
@@ -231,8 +265,8 @@ class _Visit:
             p[at] = (n + prior * p[at]) / (c + prior)
         return p
 
-    def gains(self, p: np.ndarray, prior: float, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts of ``level`` words and by how much they beat ``p`` on the block's training tokens.
+    def gains(self, p: np.ndarray, prior: float, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes and numbers of contexts of ``level`` words, and by how much they beat ``p`` on the block's training tokens.
 
         Every token is predicted from the counts without itself.
         """
@@ -241,19 +275,20 @@ class _Visit:
         at, context = here.at[mine], here.context[mine]
         n, c = self.counts[level][here.which[mine]], self.counts[level - 1][context]
         gain = np.log((n - 1 + prior * p[at]) / ((c - 1 + prior) * p[at]))
-        shorter = self.phrases[level - 1].keys
-        sums = np.bincount(context, weights=gain, minlength=len(shorter))
-        return shorter[here.asked], sums[here.asked]
+        shorter = self.phrases[level - 1]
+        sums = np.bincount(context, weights=gain, minlength=len(shorter.keys)).astype(np.float32)
+        return shorter.keys[here.asked], shorter.places[here.asked], sums[here.asked]
 
 
 def _first_asks(buckets: int):
     def run(batches):
         names = ("in_block", "kind", "level", "bucket", "keys", "vals")
-        nothing = pd.DataFrame(columns=["kind", "level", "bucket", "vals"])
+        nothing = pd.DataFrame(columns=["kind", "level", "bucket", "vals", "places"])
         for one in batches:
             for block in one.to_pylist():
                 visit = _Visit(block, nothing, 1, 0, 0)
-                rows = _asks(visit.number, _COUNT, 1, visit.phrases[0].keys, visit.own_counts(1), buckets)
+                keys = visit.phrases[0].keys
+                rows = _asks(visit.number, _COUNT, 1, keys, keys, visit.own_counts(1), buckets)
                 yield pa.RecordBatch.from_pandas(
                     pd.DataFrame(rows, columns=names).astype({"kind": "int32", "level": "int32"}), preserve_index=False
                 )
@@ -270,8 +305,8 @@ def _next_asks(step: int, depth: int, n_tokens: int, n_words: int, least: int, p
             visit = _Visit(block, answers, least, step, max(0, step - 2))
             if step <= depth:
                 visit.phrases.append(visit.longer())
-                asked = visit.phrases[step].keys, visit.own_counts(step + 1)
-                rows += _asks(visit.number, _COUNT, step + 1, *asked, buckets)
+                keys = visit.phrases[step].keys
+                rows += _asks(visit.number, _COUNT, step + 1, keys, keys, visit.own_counts(step + 1), buckets)
             if step >= 2:
                 asked = visit.gains(visit.predicted(visit.root(n_tokens, n_words), prior), prior, step - 1)
                 rows += _asks(visit.number, _GAIN, step - 1, *asked, buckets)
@@ -297,7 +332,7 @@ class SuffixTree:
     prior: float
 
     def visit(self, run, schema: str) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, self.answers).select("in_block", "kind", "level", "bucket", "vals")
+        rows = reduce(DataFrame.unionByName, self.answers).select("in_block", "kind", "level", "bucket", "vals", "places")
         rows = rows.withColumnRenamed("in_block", "block")
         return self.blocks.groupBy("in_block").cogroup(rows.groupBy("block")).applyInPandas(run, schema)
 
@@ -330,7 +365,7 @@ def grow(
     tree = SuffixTree(blocks, [], 0, 0, [], least, prior)
 
     def answered(asks: DataFrame, price: float, label: str) -> DataFrame:
-        found = asks.groupBy("kind", "level", "bucket").applyInPandas(_answer(price), _ANSWER_SQL)
+        found = asks.groupBy("kind", "level", "bucket").applyInPandas(_answer(price, least), _ANSWER_SQL)
         found = staged(found, label)
         tree.answers.append(found)
         return found
