@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from headway.functions.labels import LOSING_TIME, MAKING_UP_TIME, freshness_level
 from headway.functions.times import elapsed_seconds, humanize_seconds, instant, seconds_between
 from headway.operators.filters import ordered, since, top
+from headway.operators.medians import middle_values
 from headway.sources.tables import RawTables
 
 Moment = datetime | str | Column
@@ -66,7 +67,11 @@ def lines_available(trains: DataFrame) -> DataFrame:
 
 
 def drift_by_line(drift: DataFrame) -> DataFrame:
-    """Drift per line over its trips, each trip counting once however many stops it has."""
+    """Drift per line over its trips, each trip counting once however many stops it has.
+
+    A line's trips are those of all time, so their median is selected by counts.
+    Minutes of trips are rounded to tenths, which are whole numbers.
+    """
     trips = (
         drift.filter(F.col("route_id").isNotNull())
         .groupBy("route_id", "trip_key")
@@ -75,13 +80,23 @@ def drift_by_line(drift: DataFrame) -> DataFrame:
     trip_drift = F.col("trip_drift")
     lines = trips.groupBy("route_id").agg(
         F.count(F.lit(1)).alias("trips_observed"),
-        F.round(F.median(trip_drift), 2).alias("median_drift_minutes"),
         F.count_if(trip_drift > LOST_MINUTES).alias("trips_losing_time"),
         F.count_if(trip_drift < -LOST_MINUTES).alias("trips_making_up_time"),
     )
+    middle = middle_values(trips, ["route_id"], F.round(trip_drift * 10))
+    middle = middle.withColumn("median_drift_minutes", F.round(F.expr("0.5D * (lower / 10D) + 0.5D * (upper / 10D)"), 2))
+    lines = lines.join(middle, "route_id", "left").select(
+        "route_id", "trips_observed", "median_drift_minutes", "trips_losing_time", "trips_making_up_time"
+    )
     return ordered(lines, "route_id")
 
 
+def drift_seconds_by_line(drift: DataFrame) -> DataFrame:
+    """The median drift of a line's stops, in seconds; stops without a line are one group."""
+    middle = middle_values(drift, ["route_id"], F.col("drift_seconds"))
+    return middle.select("route_id", F.expr("0.5D * lower + 0.5D * upper").alias("median_drift_seconds"))
+
+
 def drift_leaders(drift: DataFrame, limit: int = 10) -> DataFrame:
     """The trips whose predictions slipped most."""
     trips = drift.select(

@@ -479,6 +479,9 @@ over_raw("filter_trains")(
     lambda raw: filter_trains(_served(raw), ["1", "2", "3", "5"], "Northbound", True)
 )
 over_raw("drift_by_line")(_drift_lines)
+over_raw("drift_seconds_by_line")(
+    lambda raw: serving.drift_seconds_by_line(marts.fct_prediction_drift(raw))
+)
 over_raw("drift_leaders")(lambda raw: serving.drift_leaders(marts.fct_prediction_drift(raw)))
 over_raw("drift_sides")(lambda raw: serving.drift_sides(_drift_lines(raw)))
 over_raw("drift_sides_labelled")(
