@@ -175,6 +175,23 @@ def test_escaping_is_reversible_and_hides_marks(text):
     assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text) + "|"[:0]
 
 
+def test_long_conversations_come_in_runs(spark):
+    """A hot conversation and rows without one are spread; what is read back stays the same."""
+    rng = random.Random(6)
+    rows = [(1 if i % 3 else i, rng.randrange(400), rng.choice(["user", "assistant", None]), f"t{rng.randrange(900)} <|end|>") for i in range(600)]
+    rows += [(None, i, "assistant", "x" * 40) for i in range(50)] + [(1, 5, "user", "same")] * 40
+    df = frame(spark, rows, "conv_id long, turn int, role string, text string")
+    whole = chat.format_conversations(df.coalesce(1), CHAT_BPE, run_chars=1 << 30)
+    runs = chat.format_conversations(df.repartition(7), CHAT_BPE, run_chars=60)
+    assert runs.filter("conv_id = 1").count() > 50 and runs.filter("conv_id IS NULL").count() > 10
+    assert runs.filter("whole").groupBy("conv_id").count().filter("count > 1").count() == 0
+    assert sorted(map(str, chat.read_back(runs).collect())) == sorted(map(str, chat.read_back(whole).collect()))
+    ids = b"".join(r.ids for r in runs.filter("conv_id = 1").orderBy("run").collect())
+    turns = sorted(((r[1], r[2] is not None, r[2] or "", r[3]) for r in rows if r[0] == 1))
+    text = chat.render([(role, text) for _, _, role, text in turns])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == chat.chat_tokenizer(CHAT_BPE).encode(text, add_special_tokens=False).ids
+
+
 def test_masks_by_brute_force():
     rng = random.Random(8)
     for _ in range(200):
