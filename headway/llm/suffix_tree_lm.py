@@ -24,7 +24,7 @@ DEPTH = 3
 #: Weight of what a shorter context predicts, in tokens.
 PRIOR = 2.0
 #: Words of documents that are visited together.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 
 #: The end of a text; no word hashes an empty string.
 END = np.uint64(xxhash.xxh3_64_intdigest(b""))
@@ -205,6 +205,7 @@ class _Visit:
         self.nulls = _unpack(block["nulls"], bool)
         hashes = hashes[order]
         self.words = hashes[self.ids]
+        self.goes_on = (hashes != END)[self.ids]
         self.train = np.repeat(~self.held, self.sizes)
         self.phrases = [_Phrases(np.arange(len(self.ids), dtype=np.int32), self.ids, hashes)]
         self.counts: list[np.ndarray] = []
@@ -236,12 +237,18 @@ class _Visit:
     def longer(self) -> _Phrases:
         """The phrases that a word makes of frequent contexts; nothing follows an end."""
         last = self.phrases[-1]
-        ok = (self.counts[-1][last.which] >= self.least) & (self.words[last.at] != END)
+        ok = (self.counts[-1] >= self.least)[last.which] & self.goes_on[last.at]
         at, context = last.at[ok] + 1, last.which[ok]
-        keys, which = np.unique(_mix(last.keys[context], self.words[at]), return_inverse=True)
+        hashes = _mix(last.keys[context], self.words[at])
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        new = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        which = np.empty(len(hashes), np.int32)
+        which[order] = np.cumsum(new, dtype=np.int32) - 1
         used = np.zeros(len(last.keys), bool)
         used[context] = True
-        return _Phrases(at, which.astype(np.int32), keys, context, np.flatnonzero(used))
+        return _Phrases(at, which, hashes[new], context, np.flatnonzero(used))
 
     def own_counts(self, level: int) -> np.ndarray:
         here = self.phrases[level - 1]
@@ -355,13 +362,13 @@ def grow(
 
     Each step is one visit of all blocks. A block asks for each of its phrases
     once, in buckets by hash; a bucket is added up in one task and its answers go
-    back. There are as many buckets as keep one at about a quarter of
+    back. There are as many buckets as keep one at about half of
     ``block_tokens`` phrases, so a frequent word or phrase has one entry a block in its bucket
     and the tree is in no place as a whole.
     """
     blocks = staged(plain.mapInArrow(_code_blocks(block_tokens), _BLOCK_SQL), "blocks")
     size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = max(8, 4 * size // block_tokens)
+    buckets = max(8, 2 * size // block_tokens)
     tree = SuffixTree(blocks, [], 0, 0, [], least, prior)
 
     def answered(asks: DataFrame, price: float, label: str) -> DataFrame:
