@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
 from headway.operators.demux import (
@@ -13,7 +14,9 @@ from headway.operators.demux import (
     stop_rows,
     vehicle_rows,
 )
-from headway.sources.gtfs_rt import decode_payload, decode_payloads
+from headway.schemas import PAYLOADS
+from headway.sources import testfeed
+from headway.sources.gtfs_rt import PAYLOAD_HASH, decode_payload, decode_payloads, parts_of
 from headway.sources.payloads import read_payloads
 from tests.builders import (
     HEADER,
@@ -155,3 +158,47 @@ def test_payload_files(spark, tmp_path):
     assert named.feed_key == "ACE" and named.feed_url.endswith("nyct%2Fgtfs-ace")
     assert named.fetched_at == datetime(2025, 3, 14, 14, 30, 0, 123000)
     assert unnamed.fetched_at is not None and unnamed.payload == b"junk"
+
+
+def test_parts_go_by_rows_and_size():
+    batch = pa.record_batch({"at": list(range(8))})
+    sizes = pa.array([1, 1, None, 9, 1, 1, 1, 1])
+
+    def parts(rows, size):
+        return [part["at"].to_pylist() for part in parts_of(batch, sizes, rows, size)]
+
+    assert parts(3, 4) == [[0, 1, 2], [3], [4, 5, 6], [7]]
+    assert parts(8, 100) == [list(range(8))]
+    assert [*parts_of(batch.slice(0, 0), sizes.slice(0, 0), 3, 4)] == []
+
+
+def test_a_worker_holds_few_messages_at_once(spark, monkeypatch):
+    """Python sees bounded batches of payloads, and turns a bounded part of one into messages."""
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+    held = []
+    run = {}
+    given = payloads(spark, *[(default_payload(), n) for n in range(3)])
+    monkeypatch.setattr(type(given), "mapInArrow", lambda self, f, schema: run.update(f=f))
+    decode_payloads(given)
+    big = default_payload(entities=[vehicle_entity(f"v{n}") for n in range(6000)])
+    names = [*[n for n in PAYLOADS.names if n != "payload"], PAYLOAD_HASH]
+    columns = {n: pa.nulls(12, pa.string()) for n in names} | {"payload": pa.array([big] * 12)}
+    columns["feed_key"] = pa.array(["k"] * 12)
+    for part in run["f"](iter([pa.record_batch(columns)])):
+        held.append((part.num_rows, len(part["entity"].flatten())))
+    assert sum(n for n, _ in held) == 12 and len(held) >= 3
+    assert max(entities for _, entities in held) < 12 * 6000 / 2
+
+
+def test_test_feed_encodes_a_bounded_number_of_events_at_once(spark, monkeypatch):
+    run = {}
+    events = spark.createDataFrame([], testfeed.EVENTS)
+    monkeypatch.setattr(type(events), "mapInArrow", lambda self, f, schema: run.update(f=f) or given)
+    given = spark.createDataFrame([], "block long, payload binary")
+    testfeed.payloads(events)
+    event = {"event_id": 1, "event_type": "view", "value": 1.0, "user_id": 2,
+             "trip_id": "t", "route_id": "1", "start_date": None}
+    batch = pa.record_batch({"block": list(range(300)), "events": [[event] * 40] * 300})
+    held = [part.num_rows for part in run["f"](iter([batch]))]
+    assert sum(held) == 300 and max(held) <= 100
