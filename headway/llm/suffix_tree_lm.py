@@ -56,6 +56,32 @@ def _unpack_sorted(packed: bytes) -> np.ndarray:
     return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
 
 
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and for each value which of them it is.
+
+    Sorted by their leading bits with the place in the bits below, which is much
+    faster than sorting places by value. If values share the leading bits but
+    differ below, the order may be wrong, so it is looked at and made anew.
+    """
+    n = len(values)
+    which = np.empty(n, np.int32)
+    if not n:
+        return values, which
+    low, for_place = values.min(), n.bit_length()
+    cut = max(0, int(values.max() - low).bit_length() + for_place - 64)
+    marked = (((values - low) >> np.uint64(cut)) << np.uint64(for_place)) | np.arange(n, dtype=np.uint64)
+    marked.sort()
+    order = (marked & np.uint64((1 << for_place) - 1)).view(np.int64)
+    ranked = values[order]
+    if cut and (ranked[1:] < ranked[:-1]).any():
+        order = np.argsort(values)
+        ranked = values[order]
+    new = np.ones(n, bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return ranked[new], which
+
+
 # Blocks of documents: words as numbers, frequent ones first, into the block's list of word hashes
 
 _BLOCK_SQL = "in_block long, n_tokens long, ids binary, hashes binary, doc_ids binary, nulls binary, held binary, sizes binary"
@@ -65,6 +91,14 @@ _BLOCK = pa.schema(
 )
 
 
+class _Numbers(dict):
+    """Numbers of words, given in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _block(number: int, known: dict[bytes, int], docs: list[tuple]) -> pa.RecordBatch:
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
     doc_ids, held, ids = zip(*docs)
@@ -90,18 +124,16 @@ def _code_blocks(block_tokens: int):
     def run(batches):
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 24
-        known: dict[bytes, int] = {}
+        known = _Numbers()
         docs: list[tuple] = []
         waiting = 0
         for doc_id, held_out, text in python_rows(batches):
             words = tokens(text)
-            for word in set(words).difference(known):
-                known[word] = len(known)
             docs.append((doc_id, held_out, np.fromiter(map(known.__getitem__, words), np.int32, len(words))))
             waiting += len(words)
             if waiting >= block_tokens:
                 yield _block(number, known, docs)
-                number, known, docs, waiting = number + 1, {}, [], 0
+                number, known, docs, waiting = number + 1, _Numbers(), [], 0
         if docs:
             yield _block(number, known, docs)
 
@@ -139,9 +171,10 @@ def _answer(price: float, least: int):
         count = int(asks["kind"].iloc[0]) == _COUNT
         keys = [_unpack_sorted(k) for k in asks["keys"]]
         values = np.concatenate([_unpack(v, np.int32 if count else np.float32) for v in asks["vals"]])
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.zeros(len(distinct), np.int64 if count else np.float64)
-        np.add.at(sums, place, values)
+        distinct, place = _ranked(np.concatenate(keys))
+        # Exact for counts, too: they are far below 2 ** 53.
+        sums = np.bincount(place, weights=values, minlength=len(distinct))
+        sums = sums.astype(np.int64) if count else sums
         out = sums if count else (sums > price).astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])[:-1]
         members = np.zeros(len(asks), np.int64)
@@ -239,16 +272,10 @@ class _Visit:
         last = self.phrases[-1]
         ok = (self.counts[-1] >= self.least)[last.which] & self.goes_on[last.at]
         at, context = last.at[ok] + 1, last.which[ok]
-        hashes = _mix(last.keys[context], self.words[at])
-        order = np.argsort(hashes)
-        hashes = hashes[order]
-        new = np.ones(len(hashes), bool)
-        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
-        which = np.empty(len(hashes), np.int32)
-        which[order] = np.cumsum(new, dtype=np.int32) - 1
+        keys, which = _ranked(_mix(last.keys[context], self.words[at]))
         used = np.zeros(len(last.keys), bool)
         used[context] = True
-        return _Phrases(at, which, hashes[new], context, np.flatnonzero(used))
+        return _Phrases(at, which, keys, context, np.flatnonzero(used))
 
     def own_counts(self, level: int) -> np.ndarray:
         here = self.phrases[level - 1]
