@@ -77,6 +77,25 @@ def test_phrases_equal_a_full_count(spark, shards, block_words, least):
     assert mined(spark, rows, shards=shards, block_words=block_words, least=least) == want
 
 
+def test_a_word_is_looked_up_once_in_a_block(spark, monkeypatch):
+    """Later visits only look up words that have reached the threshold since the last one."""
+    met = []
+    plain = collocations._Shard._look_up
+
+    def watched(self, k, *more):
+        rows = plain(self, k, *more)
+        if k == 1:
+            met.extend((r.home, item.at) for r in rows.collect() for item in r["items"])
+        return rows
+
+    monkeypatch.setattr(collocations._Shard, "_look_up", watched)
+    texts = some_texts(11, 120, 9)
+    docs = frame(spark, [(i, *row, 0, 0, "x", 0) for i, row in enumerate(texts)], DOCS).repartition(3)
+    out = collocations.collocations(docs, least=4, shards=2, block_words=60).collect()
+    assert {(r.lang, r.phrase): (r.a, r.n, r.score, r.cut, r.l, r.r) for r in out} == phrases_of(texts, 4)
+    assert met and len(met) == len(set(met))
+
+
 def test_phrases_of_nothing_and_of_one_long_text(spark):
     assert mined(spark, []) == {} and mined(spark, [(None, None), ("a b", "en")]) == {}
     rows = [("one two three " * 5000 + "q" * 50_000, "en"), ("q" * 50_000, "en")]
