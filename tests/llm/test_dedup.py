@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from headway.llm import exact_dedup as exact
+from headway.llm import ngram_join as ngram
 from headway.llm import suffix_dedup as suffix
 from headway.llm.components import components
 from headway.llm.exact_dedup import exact_dedup
@@ -114,6 +115,31 @@ def test_join_of_nothing(spark):
     assert ngram_join(documents(spark, ["a"]).filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("sent", [4_000_000, 0])
+def test_texts_and_sets_meet_ids_where_they_are_read(spark, monkeypatch, sent):
+    plans = {}
+
+    def staged(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return ngram.staged_before(df, label)
+
+    monkeypatch.setattr(ngram, "staged_before", ngram.staged, raising=False)
+    monkeypatch.setattr(ngram, "staged", staged)
+    monkeypatch.setattr(ngram, "_IDS_SENT", sent, raising=False)
+    rng = random.Random(3)
+    text = " ".join(words(rng, 60))
+    pairs = [(1, text), (2, text + " more"), (2, text + " more"), (3, " ".join(words(rng, 60))), (4, None), (5, text)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rows_of(ngram_join(documents(spark, pairs)), "doc_id", "component_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == [(1, 1), (2, 1), (2, 1), (3, 3), (4, 4), (5, 1)]
+    # With few ids no text is shuffled, and with many they are joined as before.
+    assert ("Exchange" in plans["sets"].replace("BroadcastExchange", "")) == (sent == 0)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = dict(components(frame(spark, edges, "u long, v long")).collect())
