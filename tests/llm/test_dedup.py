@@ -140,6 +140,68 @@ def test_texts_and_sets_meet_ids_where_they_are_read(spark, monkeypatch, sent):
     assert ("Exchange" in plans["sets"].replace("BroadcastExchange", "")) == (sent == 0)
 
 
+def test_chance_groups_bring_no_whole_sets_together(spark, monkeypatch):
+    """Texts with a passage in common share keys, but their prefixes tell them apart."""
+    led = []
+    monkeypatch.setattr(ngram, "led_before", ngram._led_groups, raising=False)
+    monkeypatch.setattr(ngram, "_led_groups", lambda *a: led.append(a) or ngram.led_before(*a))
+    rng = random.Random(6)
+    passage = words(rng, 90)
+    texts = [words(rng, 120) + passage + words(rng, 120) for _ in range(30)]
+    pairs = [(i, " ".join(t)) for i, t in enumerate(texts, 100)]
+    found = rows_of(ngram_join(documents(spark, pairs)), "doc_id", "component_id")
+    assert found == [(i, i) for i, _ in pairs] and not led
+
+
+def test_slices_of_groups_are_on_disk_one_at_a_time(spark, monkeypatch):
+    """Groups beyond the limit, in many slices: the same result, and a slice goes before the next comes."""
+    live, most = set(), []
+
+    def staged(df, label):
+        out = ngram.staged_before(df, label)
+        if label in ("diffs", "led"):
+            live.add(folder(out))
+            most.append(len(live))
+        return out
+
+    def folder(df):
+        return df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else None
+
+    def release(df):
+        live.discard(folder(df))
+        ngram.release_before(df)
+
+    for name, spy in (("staged", staged), ("release", release)):
+        monkeypatch.setattr(ngram, f"{name}_before", getattr(ngram, name), raising=False)
+        monkeypatch.setattr(ngram, name, spy)
+    for name, value in (("GROUP_MEMBERS", 30), ("_SLICE_SHARE", 0.8), ("_PAIRS_A_MEMBER", 1)):
+        monkeypatch.setattr(ngram, name, value)
+    rng = random.Random(9)
+    texts = []
+    for size in (140, 90, 60):
+        base = words(rng, size)
+        texts += [changed(rng, base, rng.randrange(size // 15)) for _ in range(45)]
+    pairs = [(i, " ".join(t)) for i, t in enumerate(texts, 100)]
+    df = ngram_join(documents(spark, pairs))
+    assert rows_of(df, "doc_id", "n_shingles", "component_id") == brute_components(pairs, 3, 90)
+    assert len(most) > 2 and max(most) <= 2
+
+
+@pytest.mark.parametrize("percent", [100, 90, 80])
+def test_parts_by_size_hold_all_pairs_that_may_be_linked(spark, percent):
+    sizes = [1, 2, 3, 9, 10, 11, 18, 20, 80, 81, 90, 99, 100, 110, 111, 125, 900, 1000, 5000]
+    rows = [(7, i, n, i % 3 == 0) for i, n in enumerate(sizes)]
+    parts = ngram._by_size(frame(spark, rows, "group long, rep long, n long, loose boolean"), percent).collect()
+    of = defaultdict(set)
+    for r in parts:
+        of[r.group].add(r.rep)
+    for _, i, n, a in rows:
+        for _, j, m, b in rows[:i]:
+            if (a or b) and 100 * min(n, m) >= percent * max(n, m):
+                assert any({i, j} <= x for x in of.values())
+    assert len(parts) <= 2 * len(rows)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = dict(components(frame(spark, edges, "u long, v long")).collect())
