@@ -140,7 +140,8 @@ def test_texts_and_sets_meet_ids_where_they_are_read(spark, monkeypatch, sent):
     assert ("Exchange" in plans["sets"].replace("BroadcastExchange", "")) == (sent == 0)
 
 
-def test_chance_groups_bring_no_whole_sets_together(spark, monkeypatch):
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_chance_groups_bring_no_whole_sets_together(spark, monkeypatch, k, percent):
     """Texts with a passage in common share keys, but their prefixes tell them apart."""
     led = []
     monkeypatch.setattr(ngram, "led_before", ngram._led_groups, raising=False)
@@ -149,7 +150,7 @@ def test_chance_groups_bring_no_whole_sets_together(spark, monkeypatch):
     passage = words(rng, 90)
     texts = [words(rng, 120) + passage + words(rng, 120) for _ in range(30)]
     pairs = [(i, " ".join(t)) for i, t in enumerate(texts, 100)]
-    found = rows_of(ngram_join(documents(spark, pairs)), "doc_id", "component_id")
+    found = rows_of(ngram_join(documents(spark, pairs), words=k, percent=percent), "doc_id", "component_id")
     assert found == [(i, i) for i, _ in pairs] and not led
 
 
